@@ -114,7 +114,7 @@ def fail_on_errors(summary: DataFrame) -> None:
         raise SyncFailed(f"{counted} snapshot(s) failed, among them {[row.asDict() for row in shown]}")
 
 
-def newest_archive(archives: DataFrame) -> DataFrame:
+def archive_ranges(archives: DataFrame) -> DataFrame:
     """First and last month of each account's listing."""
     month = F.concat_ws("/", "year", "month")
     return archives.groupBy("account").agg(
