@@ -106,6 +106,18 @@ def time_since(start: str, previous_end: str) -> Column:
     return F.when(gap.isNotNull(), F.greatest(F.lit(0.0), gap))
 
 
+def _within(total: Column, window, seconds: int) -> Column:
+    """``total`` over the last ``seconds``, this second excluded.
+
+    Taken as the difference of two frames that only grow along the order, so
+    that a partition costs one pass: Spark adds up a sliding frame anew for
+    every row, which is quadratic in a busy partition. Counts subtract exactly.
+    """
+    start = Window.unboundedPreceding
+    upto, before = (F.coalesce(total.over(window.rangeBetween(start, end)), F.lit(0)) for end in (-1, -seconds))
+    return upto - before
+
+
 def _rate(hits: Column, n: Column) -> Column:
     return F.when(n > 0, F.round(100.0 * hits / n, 2)).otherwise(F.lit(0.0))
 
@@ -125,11 +137,10 @@ def _plain(df: DataFrame, line: Timeline, trailing, previous) -> DataFrame:
     by_time = Window.partitionBy(*line.entity, apart).orderBy(line.at)
     columns: dict[str, Column] = {}
     for frame in trailing:
-        window = by_time.rangeBetween(1 - frame.seconds, -1)
-        n = F.count("*").over(window)
+        n = _within(F.count("*"), by_time, frame.seconds)
         columns[f"{frame.name}_n"] = n
         for name, condition in frame.rates.items():
-            columns[f"{frame.name}_{name}"] = _rate(F.count_if(condition).over(window), n)
+            columns[f"{frame.name}_{name}"] = _rate(_within(F.count_if(condition), by_time, frame.seconds), n)
     columns |= _lags(Window.partitionBy(*line.entity, apart).orderBy(*line.sequence), previous)
     return df.withColumns({name: F.when(dated, column) for name, column in columns.items()})
 
@@ -222,11 +233,10 @@ def _trailing_in_cells(df: DataFrame, line: Timeline, trailing: Sequence[Trailin
     by_time = Window.partitionBy(*entity, "bucket").orderBy(at)
     columns: dict[str, Column] = {}
     for frame in trailing:
-        window = by_time.rangeBetween(1 - frame.seconds, -1)
-        n = F.coalesce(F.sum("_n").over(window), F.lit(0))
+        n = _within(F.sum("_n"), by_time, frame.seconds)
         columns[f"{frame.name}_n"] = n
         for name in frame.rates:
-            columns[f"{frame.name}_{name}"] = _rate(F.sum(hits[frame.name, name]).over(window), n)
+            columns[f"{frame.name}_{name}"] = _rate(_within(F.sum(hits[frame.name, name]), by_time, frame.seconds), n)
     framed = spread.withColumns(columns).where("own")
     keys = [*entity, "_slice", at]
     names = [f"_k{i}" for i in range(len(keys))]

@@ -19,10 +19,14 @@ def with_provenance(snapshots: DataFrame) -> DataFrame:
 
 
 def parse_payloads(rows: DataFrame, schema: str = SNAPSHOT) -> DataFrame:
-    """Landed payload rows as bronze rows, the document opened by ``schema``."""
-    located = with_provenance(rows.select("payload", "_metadata"))
+    """Landed payload rows as bronze rows, the document opened by ``schema``.
+
+    Many share a file, so the account follows the file's path.
+    """
+    located = with_provenance(rows.select("payload", "username", "_metadata"))
     opened = located.withColumn("_doc", F.from_json("payload", schema))
-    return opened.select("_doc.*", "_source_file", "_file_modified_at", "_ingested_at")
+    file = F.concat("_source_file", F.lit("?username="), "username")
+    return opened.select("_doc.*", file.alias("_source_file"), "_file_modified_at", "_ingested_at")
 
 
 def read_documents(spark: SparkSession, paths: str | list[str], schema: str = SNAPSHOT) -> DataFrame:

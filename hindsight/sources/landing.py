@@ -66,26 +66,32 @@ def game_count(payload: str | Column) -> Column:
     return F.coalesce(F.size(F.from_json(payload, PAYLOAD)["games"]), F.lit(0))
 
 
-def land_snapshots(payloads: DataFrame, path: str, as_files: bool = False) -> DataFrame:
+def land_snapshots(payloads: DataFrame, path: str, as_files: bool = False) -> None:
     """Append ``payloads(account, year, month, payload, source_url, fetched_at)`` unmodified.
 
     Nothing is ever overwritten: a re-pull of a month adds to its partition.
-    As rows (the default) many payloads share a Parquet file. ``as_files``
-    writes one text file per payload below ``username=/year=/month=`` and the
-    other columns to ``<path>_log``. Returns the landed rows' log columns.
+
+    As rows (the default) payloads share Parquet files by month, the account
+    being a column: the number of folders does not grow with the accounts.
+    ``as_files`` writes one text file per payload below
+    ``username=/year=/month=`` and all other columns to ``<path>_log``.
     """
     rows = payloads.withColumn("game_count", game_count("payload")).withColumnRenamed("account", "username")
-    months = ["username", "year", "month"]
-    # AQE evens out the partitions, splitting a month that is very large
-    rows = rows.hint("rebalance", *months)
-    log = rows.select(*months, "source_url", "fetched_at", "game_count")
     if as_files:
-        text = rows.select("payload", *months).write.mode("append").partitionBy(*months)
-        text.option("maxRecordsPerFile", 1).text(path)
-        log.write.mode("append").parquet(f"{path.rstrip('/')}_log")
+        folders = ["username", "year", "month"]
+        text = rows.select("payload", *folders).hint("rebalance", *folders)
+        writer = text.write.mode("append").partitionBy(*folders).option("maxRecordsPerFile", 1)
+        writer.text(path)
+        rows.drop("payload").write.mode("append").parquet(f"{path.rstrip('/')}_log")
     else:
-        rows.write.mode("append").partitionBy(*months).parquet(path)
-    return log.withColumnRenamed("username", "account")
+        # AQE evens out the partitions, splitting a month that is very large
+        rows.hint("rebalance", "year", "month").write.mode("append").partitionBy("year", "month").parquet(path)
+
+
+def landed_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Distinct (account, year, month) among payloads landed as rows; reads no payload."""
+    keys = "username string, year string, month string"
+    return spark.read.schema(keys).parquet(path).select(F.col("username").alias("account"), "year", "month").distinct()
 
 
 def sync_summary(plan: DataFrame, outcomes: DataFrame) -> DataFrame:

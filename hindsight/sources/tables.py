@@ -9,9 +9,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hindsight.operators.upsert import require_unique, upsert, upsert_groups
-from hindsight.session import broadcast_if_small, null_safe
+from hindsight.session import broadcast_if_small, delete, null_safe, staged
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -77,53 +78,85 @@ class VersionedTable:
     def upsert(self, df: DataFrame, keys: list[str], version: int | None = None, check: bool = True) -> int:
         """Create on the first run, else update matching keys and insert the others."""
         base = (self.read() if self.exists() else None) if version is None else self.before(version)
-        if base is not None:
-            return self.write(upsert(base, df, keys, check), version)
-        if check:
-            require_unique(df, keys)
-        return self.write(df, version)
+        with staged(df) as source:
+            if base is not None:
+                return self.write(upsert(base, source, keys, check), version)
+            if check:
+                require_unique(source, keys)
+            return self.write(source, version)
 
     def upsert_groups(self, df: DataFrame, group: list[str]) -> int:
-        return self.write(upsert_groups(self.read(), df, group) if self.exists() else df)
+        """Replace every group ``df`` has rows of."""
+        with staged(df) as source:
+            return self.write(upsert_groups(self.read(), source, group) if self.exists() else source)
 
 
-def upsert_partitions(df: DataFrame, path: str, keys: list[str], partition: str) -> None:
-    """Upsert into a table partitioned by ``partition``, rewriting only what it touches.
+@dataclass(frozen=True)
+class PartitionedTable:
+    """A folder of partitions, of which an upsert rewrites only those it touches.
 
-    Touched are the partitions of the new rows and those now holding one of
-    their keys, which a narrow scan of keys finds; so a key that moves to
-    another partition leaves no copy behind. Spark stages the new files and
-    swaps partitions when the job commits.
+    For tables too large to write anew. Spark stages the new files and swaps
+    whole partitions when the job commits; a reader in that moment may see
+    some old and some new ones. Replaying an upsert changes nothing.
     """
-    spark = df.sparkSession
-    require_unique(df, keys)
-    if not exists(spark, path):
-        df.write.partitionBy(partition).parquet(path)
-        return
-    target = spark.read.schema(_read_schema(spark, path, df, partition)).parquet(path)
-    touched_keys = broadcast_if_small(df.select(*keys))
-    holding = target.join(touched_keys, null_safe(target, touched_keys, keys), "left_semi").select(partition)
-    parts = broadcast_if_small(holding.unionByName(df.select(partition)).distinct())
-    # the dynamic overwrite needs every surviving row of a touched partition
-    affected = target.join(parts, null_safe(target, parts, [partition]), "left_semi")
-    merged = upsert(affected, df, keys, check=False).select(*[c for c in target.columns])
-    emptied = holding.distinct().join(merged.select(partition).distinct(), partition, "left_anti")
-    gone = [row[0] for row in emptied.collect()]  # partition names only
-    writer = merged.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition)
-    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
-    for name in gone:
-        folder = "__HIVE_DEFAULT_PARTITION__" if name is None else name
-        files, location = _files(spark, f"{path}/{partition}={folder}")
-        files.delete(location, True)
-
-
-def _read_schema(spark: SparkSession, path: str, df: DataFrame, partition: str):
-    """The table's fields plus new ones of ``df``, the partition column typed as in ``df``."""
-    have = spark.read.option("mergeSchema", True).parquet(path).schema
-    known = {f.name for f in have}
-    fields = [df.schema[f.name] if f.name == partition else f for f in have]
-    fields += [f for f in df.schema if f.name not in known]
-    return type(have)(fields)
+
+    spark: SparkSession
+    path: str
+    partition: str
+
+    def exists(self) -> bool:
+        return exists(self.spark, self.path)
+
+    def read(self, like: DataFrame | None = None) -> DataFrame:
+        """All rows; with ``like`` its column types win and its new columns are there, null."""
+        reader = self.spark.read.option("mergeSchema", True)
+        have = reader.parquet(self.path)
+        kinds = {self.partition: T.StringType()}
+        kinds |= {} if like is None else {f.name: f.dataType for f in like.schema}
+        fields = [T.StructField(f.name, kinds.pop(f.name, f.dataType)) for f in have.schema]
+        fields += [T.StructField(name, kind) for name, kind in kinds.items()]
+        return self.spark.read.schema(T.StructType(fields)).parquet(self.path)
+
+    def upsert(self, df: DataFrame, keys: list[str], check: bool = True) -> None:
+        """Update matching keys, insert the others."""
+        with staged(df) as source:
+            if check:
+                require_unique(source, keys)
+            self._replace(source, source.select(*keys), keys)
+
+    def replace_groups(self, df: DataFrame, groups: DataFrame, keys: list[str]) -> None:
+        """All rows of ``groups`` give way to those ``df`` has of them, which may be none."""
+        with staged(df) as source:
+            self._replace(source, groups.select(*keys).distinct(), keys)
+
+    def _replace(self, source: DataFrame, touched: DataFrame, keys: list[str]) -> None:
+        if not self.exists():
+            self._write(source, "errorifexists")
+            return
+        # Touched are the partitions of the new rows and those now holding one of
+        # the keys: a row that moves to another partition leaves no copy behind.
+        target = self.read(like=source)
+        small = broadcast_if_small(touched)
+        holding = target.join(small, null_safe(target, small, keys), "left_semi").select(self.partition).distinct()
+        names = [row[0] for row in holding.unionByName(source.select(self.partition)).distinct().collect()]
+        known = [n for n in names if n is not None]
+        in_touched = F.col(self.partition).isin(known)
+        if len(known) < len(names):
+            in_touched = in_touched | F.col(self.partition).isNull()
+        affected = target.where(in_touched)  # literals, so that the scan prunes partitions
+        kept = affected.join(small, null_safe(affected, small, keys), "left_anti")
+        merged = kept.unionByName(source, allowMissingColumns=True)
+        left = {row[0] for row in merged.select(self.partition).distinct().collect()}
+        self._write(merged, "overwrite")
+        for name in names:
+            if name not in left:  # nothing was written over these
+                folder = "__HIVE_DEFAULT_PARTITION__" if name is None else name
+                delete(self.spark, f"{self.path}/{self.partition}={folder}")
+
+    def _write(self, df: DataFrame, mode: str) -> None:
+        # one task per partition, or several where AQE finds one large
+        even = df.hint("rebalance", self.partition).write.mode(mode).partitionBy(self.partition)
+        even.option("partitionOverwriteMode", "dynamic").parquet(self.path)
 
 
 def create_namespaces(spark: SparkSession, prefix: str = "") -> None:

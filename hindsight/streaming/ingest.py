@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from hindsight.schemas import SNAPSHOT
 from hindsight.sources.bronze import parse_payloads, with_provenance
 
-LANDED_ROWS = "payload string, source_url string, fetched_at timestamp, game_count int"
+LANDED_ROWS = "payload string, username string, source_url string, fetched_at timestamp, game_count int"
 
 
 def document_stream(

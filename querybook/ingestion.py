@@ -161,12 +161,18 @@ def _land(spark, sf_dir, name):
 @book.add(BY_ACCOUNT_SQL)
 def land_snapshots(spark, sf_dir):
     """Landed payloads with the count of games each holds."""
-    landed_rows = spark.read.parquet(_land(spark, sf_dir, "landing"))
-    return landed_rows.groupBy(F.col("username").alias("account")).agg(
+    rows = spark.read.parquet(_land(spark, sf_dir, "landing"))
+    return rows.groupBy(F.col("username").alias("account")).agg(
         F.count("*").alias("snapshots"), F.sum("game_count").cast("bigint").alias("game_rows")
     )
 
 
+@book.add(f"WITH {LANDED_SQL} SELECT DISTINCT account, '2024' AS year, '01' AS month FROM s")
+def landed_payload_months(spark, sf_dir):
+    """Months present after landing, from the landed rows' own columns."""
+    return landing.landed_rows(spark, _land(spark, sf_dir, "landing"))
+
+
 @book.add(BY_ACCOUNT_SQL)
 def stream_ingest(spark, sf_dir):
     """Landed rows into bronze; the second run finds nothing new."""
@@ -188,9 +194,12 @@ def _documents(spark, sf_dir, path):
     writer.option("maxRecordsPerFile", 1).text(path)
 
 
-@book.add(f"""
+GAME_ROWS_SQL = f"""
 WITH {LANDED_SQL} SELECT account, CAST(sum(snapshots * copies) AS BIGINT) AS game_rows FROM s GROUP BY account
-""")
+"""
+
+
+@book.add(GAME_ROWS_SQL)
 def batch_ingest(spark, sf_dir):
     """JSON files into bronze by anti join with bronze; the second run finds nothing new."""
     path, bronze = shared_dir(spark, "documents"), shared_dir(spark, "bronze")

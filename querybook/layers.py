@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from hindsight.config import DAY, ECO_CODES, WEEK, WEEKDAYS, Settings
 from hindsight.plans import gold, silver
 from hindsight.plans.checks import layer_report
+from hindsight.session import stage
 from querybook import standins
 from querybook.base import Book
 from querybook.standins import GAMES_SQL, MOVES_SQL, POPULATION_SQL
@@ -88,7 +89,7 @@ def move_volume(spark, sf_dir):
 )
 def orphan_moves(spark, sf_dir):
     """Moves against rated games only, so that some are orphans."""
-    all_games = games(spark, sf_dir)
+    all_games = stage(games(spark, sf_dir), "games")
     return silver.orphan_moves(silver.build_moves(all_games), all_games.where("rated"))
 
 
@@ -170,7 +171,8 @@ GOLD_SQL = f"{GAMES_SQL}, {MOVES_SQL}, {CONTEXT_SQL}, {AGGREGATES_SQL}, {FEATURE
 
 
 def features(spark, sf_dir):
-    all_games = games(spark, sf_dir)
+    """Gold over written games, as a run of the layers has it."""
+    all_games = stage(games(spark, sf_dir), "games")
     return gold.feature_table(all_games, silver.build_moves(all_games))
 
 
@@ -200,7 +202,8 @@ def dashboard_rows(spark, sf_dir):
     f"CAST(sum({' + '.join(f'ECO_{c}' for c in [*ECO_CODES, 'Other'])}) AS BIGINT) AS eco_onehot_sum FROM gold"
 )
 def gold_invariants(spark, sf_dir):
-    return gold.gold_invariants(games(spark, sf_dir), features(spark, sf_dir))
+    all_games = stage(games(spark, sf_dir), "games")
+    return gold.gold_invariants(all_games, gold.feature_table(all_games, silver.build_moves(all_games)))
 
 
 @book.add(
@@ -240,7 +243,8 @@ SELECT unnest([
 """)
 def check_report(spark, sf_dir):
     """All rules at once; the rule on start times fails on these data, and is reported so."""
-    bronze, all_games = standins.snapshots(spark, sf_dir), games(spark, sf_dir)
-    moves = silver.build_moves(all_games)
-    settings = Settings(min_games=500, min_population=5769)
-    return layer_report(bronze, all_games, moves, gold.feature_table(all_games, moves), settings)
+    bronze = standins.snapshots(spark, sf_dir)
+    all_games = stage(games(spark, sf_dir), "games")
+    moves = stage(silver.build_moves(all_games), "moves")
+    table = stage(gold.feature_table(all_games, moves), "gold")
+    return layer_report(bronze, all_games, moves, table, Settings(min_games=500, min_population=5769))

@@ -8,7 +8,7 @@ from hindsight.operators.latest import duplicate_counts, latest_per_key
 from hindsight.operators.upsert import duplicate_keys, upsert, upsert_groups
 from hindsight.session import shared_dir
 from hindsight.sources.bronze import bronze_counts, dedup_preview as preview, sample_games, widen
-from hindsight.sources.tables import VersionedTable, upsert_partitions
+from hindsight.sources.tables import PartitionedTable, VersionedTable
 from querybook.base import Book, table
 from querybook.standins import snapshots
 
@@ -97,11 +97,10 @@ def versioned_table_upsert(spark, sf_dir):
 @book.add(UPSERT_SQL)
 def partitioned_table_upsert(spark, sf_dir):
     """The same into a table by ship month; keys change month, so old copies must go."""
-    path = shared_dir(spark, "lines-by-month")
+    lines = PartitionedTable(spark, shared_dir(spark, "lines-by-month"), "ship_month")
     for part in _old_and_new(spark, sf_dir):
-        monthly = part.withColumn("ship_month", F.date_format("l_shipdate", "yyyy-MM"))
-        upsert_partitions(monthly, path, LINE_KEY, "ship_month")
-    return spark.read.parquet(path).select(*LINE_COLUMNS)
+        lines.upsert(part.withColumn("ship_month", F.date_format("l_shipdate", "yyyy-MM")), LINE_KEY)
+    return lines.read().select(*LINE_COLUMNS)
 
 
 @book.add(
