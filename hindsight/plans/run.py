@@ -6,68 +6,133 @@ import argparse
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hindsight.config import Settings
 from hindsight.operators.checks import enforce
+from hindsight.operators.latest import SNAPSHOT_ORDER, latest_per_key
 from hindsight.plans.checks import layer_report
 from hindsight.plans.gold import feature_table
 from hindsight.plans.silver import build_games, build_moves
-from hindsight.session import configure
-from hindsight.sources.tables import VersionedTable
-from hindsight.streaming.ingest import document_stream, ingest_stream
+from hindsight.schemas import BRONZE, GAME_KEY
+from hindsight.session import broadcast_if_small, configure, staged
+from hindsight.sources.tables import PartitionedTable, VersionedTable
+from hindsight.streaming.ingest import document_stream, ingest_stream, payload_stream
+
+MONTH = "activity_month"
 
 
 @dataclass(frozen=True)
 class Layout:
     """Where everything is, below one root on shared storage."""
 
+    spark: SparkSession
     root: str
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
-    def table(self, spark: SparkSession, name: str) -> VersionedTable:
-        return VersionedTable(spark, self.path(name))
+    def bronze(self) -> DataFrame:
+        return self.spark.read.option("mergeSchema", True).parquet(self.path("bronze"))
+
+    @property
+    def games(self) -> PartitionedTable:
+        return PartitionedTable(self.spark, self.path("games"), MONTH)
+
+    @property
+    def moves(self) -> PartitionedTable:
+        return PartitionedTable(self.spark, self.path("moves"), MONTH)
+
+    @property
+    def gold(self) -> VersionedTable:
+        return VersionedTable(self.spark, self.path("game_features"))
+
+
+def with_month(games: DataFrame) -> DataFrame:
+    return games.withColumn(MONTH, F.date_format(F.coalesce("start_ts", "end_ts"), "yyyy-MM"))
+
+
+def moves_by_month(games: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Moves beside their game's month, so that both tables rewrite the same partitions."""
+    return build_moves(games, settings, keep=[MONTH])
+
+
+def apply_snapshots(
+    bronze: DataFrame, layout: Layout, accounts: DataFrame, friends: DataFrame, settings: Settings = Settings()
+) -> None:
+    """Bring games and moves up to date with some new snapshots.
+
+    Only months that the snapshots or their games touch are written. A stored
+    game newer than its new snapshot stays. Moves are replaced game by game,
+    so that a game read anew with fewer moves keeps no old ones. Applying the
+    same snapshots twice changes nothing.
+    """
+    incoming = with_month(build_games(bronze, accounts, friends, settings))
+    with staged(incoming, "games") as fresh:
+        if layout.games.exists():
+            keys = broadcast_if_small(fresh.select(*GAME_KEY))
+            stored = layout.games.read(like=fresh).join(keys, GAME_KEY, "left_semi")
+            both = fresh.unionByName(stored, allowMissingColumns=True)
+            newest = latest_per_key(both, GAME_KEY, list(SNAPSHOT_ORDER))
+        else:
+            newest = fresh
+        with staged(newest, "newest") as settled:
+            layout.games.upsert(settled, GAME_KEY, check=False)
+            layout.moves.replace_groups(moves_by_month(settled, settings), settled, GAME_KEY)
+
+
+def refresh_silver(
+    layout: Layout, accounts: DataFrame, friends: DataFrame, settings: Settings = Settings(), files_per_batch: int = 1_000
+) -> None:
+    """Apply whatever bronze has received since the last time; the checkpoint knows."""
+    stream = layout.spark.readStream.schema(BRONZE).option("maxFilesPerTrigger", files_per_batch)
+    query = (
+        stream.parquet(layout.path("bronze"))
+        .writeStream.foreachBatch(lambda batch, _: apply_snapshots(batch, layout, accounts, friends, settings))
+        .option("checkpointLocation", layout.path("_checkpoints/silver"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
 
 
 def refresh(
-    spark: SparkSession,
     landing: str,
     layout: Layout,
     accounts: DataFrame,
     friends: DataFrame,
     settings: Settings = Settings(),
+    landed_as: str = "documents",
 ) -> list[tuple[str, bool, str]]:
     """Bronze, silver, gold, checks, in this order; raises after the full report if a check fails.
 
-    Each layer is written and read back before the next one uses it, which
-    cuts lineage: a lost executor costs tasks, not the run.
+    Bronze and silver take in only what is new. Gold is a projection of silver
+    and rebuilt whole, as any new game may be context for later ones. Every
+    layer is written and read back before the next one uses it, so a lost
+    executor costs tasks, not the run.
     """
-    configure(spark)
-    ingest_stream(document_stream(spark, landing), layout.path("bronze"), layout.path("_checkpoints/bronze"))
-    bronze = spark.read.option("mergeSchema", True).parquet(layout.path("bronze"))
-    games_table, moves_table = layout.table(spark, "games"), layout.table(spark, "moves")
-    games_table.upsert(build_games(bronze, accounts, friends, settings), ["game_uuid", "account"], check=False)
-    games = games_table.read()
-    # whole games at a time: a game read anew with fewer moves keeps no old ones
-    moves_table.upsert_groups(build_moves(games, settings), ["game_uuid", "account"])
-    moves = moves_table.read()
-    gold_table = layout.table(spark, "game_features")
-    gold_table.write(feature_table(games, moves, settings))
-    return enforce(layer_report(bronze, games, moves, gold_table.read(), settings))
+    spark = configure(layout.spark)
+    source = {"documents": document_stream, "rows": payload_stream}[landed_as]
+    ingest_stream(source(spark, landing), layout.path("bronze"), layout.path("_checkpoints/bronze"))
+    refresh_silver(layout, accounts, friends, settings)
+    games, moves = layout.games.read(), layout.moves.read()
+    layout.gold.write(feature_table(games, moves, settings))
+    return enforce(layer_report(layout.bronze(), games, moves, layout.gold.read(), settings))
 
 
 def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("--landing", required=True)
-    parser.add_argument("--root", required=True)
+    parser.add_argument("--landing", required=True, help="folder of landed snapshots")
+    parser.add_argument("--landed-as", choices=["documents", "rows"], default="documents")
+    parser.add_argument("--root", required=True, help="folder of all tables, on shared storage")
     parser.add_argument("--accounts", required=True, help="Parquet of account, person_id, account_code")
     parser.add_argument("--friends", required=True, help="Parquet of person_id, opponent")
     args = parser.parse_args()
     spark = SparkSession.builder.appName("hindsight").getOrCreate()
     accounts, friends = spark.read.parquet(args.accounts), spark.read.parquet(args.friends)
-    for name, ok, detail in refresh(spark, args.landing, Layout(args.root), accounts, friends):
-        print(f"[{'PASS' if ok else 'FAIL'}] {name}: {detail}")
+    report = refresh(args.landing, Layout(spark, args.root), accounts, friends, landed_as=args.landed_as)
+    for name, _, detail in report:
+        print(f"[PASS] {name}: {detail}")
 
 
 if __name__ == "__main__":
