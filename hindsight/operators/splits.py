@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from hindsight.session import broadcast_if_small
 
 SMALL = 100_000
-PROBES = 64
+PROBES = 32
 
 
 def order_key(df: DataFrame, order: list[str]) -> Column:
@@ -26,6 +26,18 @@ def _literal(key: Row) -> Column:
     return F.struct(*[F.lit(value).alias(name) for name, value in key.asDict().items()])
 
 
+def _gap_of(key: Column, probes: list[Column], low: int, high: int) -> Column:
+    """Even numbers lie between probes, odd ones are rows equal to a probe.
+
+    A search tree over literals: a handful of generated comparisons per row.
+    """
+    if low == high:
+        return F.lit(2 * low)
+    middle = (low + high) // 2
+    left, right = _gap_of(key, probes, low, middle), _gap_of(key, probes, middle + 1, high)
+    return F.when(key < probes[middle], left).when(key == probes[middle], 2 * middle + 1).otherwise(right)
+
+
 def nth_key(df: DataFrame, order: list[str], n: int, small: int = SMALL) -> Row | None:
     """Order key of the ``n``-th row (from 0); None past the end.
 
@@ -42,12 +54,11 @@ def nth_key(df: DataFrame, order: list[str], n: int, small: int = SMALL) -> Row
     seed = 0
     while rows > small:
         seed += 1
-        sampled = keys.sample(fraction=min(1.0, PROBES / rows), seed=seed).distinct().limit(4 * PROBES).collect()
-        probes = F.array(*[_literal(r["k"]) for r in sampled])
-        if not sampled:
+        sample = keys.sample(fraction=min(1.0, PROBES / rows), seed=seed).distinct().limit(4 * PROBES)
+        probes = [_literal(row["k"]) for row in sample.orderBy("k").collect()]
+        if not probes:
             continue
-        # even numbers lie between probes, odd ones are rows equal to a probe
-        gap = F.size(F.filter(probes, lambda p: p < F.col("k"))) + F.size(F.filter(probes, lambda p: p <= F.col("k")))
+        gap = _gap_of(F.col("k"), probes, 0, len(probes))
         gaps = keys.groupBy(gap.alias("gap")).agg(
             F.count("*").alias("rows"), F.min("k").alias("low"), F.max("k").alias("high")
         )

@@ -26,8 +26,7 @@ from pyspark.sql import types as T
 from hindsight.session import null_safe
 
 MAX_HOT_ENTITIES = 10_000
-MAX_SPLITTERS = 16_384
-FAN_OUT = 128
+MAX_SPLITTERS = 65_536
 
 
 @dataclass(frozen=True)
@@ -163,23 +162,21 @@ def _with_slices(df: DataFrame, line: Timeline, rows: int) -> DataFrame:
         .distinct()
         .groupBy(*line.entity)
         .agg(F.array_sort(F.collect_list("_key")).alias("_splitters"))
-        .select(
-            *[F.col(c).alias(f"_of_{i}") for i, c in enumerate(line.entity)],
-            "_splitters",
-            # a first look at every 128th splitter leaves 128 to compare
-            F.filter("_splitters", lambda _, i: i % FAN_OUT == FAN_OUT - 1).alias("_coarse"),
-        )
+        .select(*[F.col(c).alias(f"_of_{i}") for i, c in enumerate(line.entity)], "_splitters")
+        # powers of two up to the number of splitters, the largest first
+        .withColumn("_bits", F.floor(F.log2(F.size("_splitters"))).cast("int"))
+        .withColumn("_steps", F.transform(F.sequence("_bits", F.lit(0)), lambda b: F.pow(F.lit(2), b).cast("int")))
     )
     small = F.broadcast(picked)
     condition = null_safe(df, small, list(line.entity), [f"_of_{i}" for i in range(len(line.entity))])
     joined = df.join(small, condition, "left").withColumn("_key", key)
-    start = F.size(F.filter("_coarse", lambda s: s <= F.col("_key"))) * FAN_OUT
-    joined = joined.withColumn("_start", start)
-    near = F.slice("_splitters", F.col("_start") + 1, FAN_OUT)
-    number = F.col("_start") + F.size(F.filter(near, lambda s: s <= F.col("_key")))
-    return joined.withColumn("_slice", F.when(F.col("_splitters").isNull(), 0).otherwise(number)).select(
-        *df.columns, "_slice"
-    )
+
+    def advance(found: Column, step: Column) -> Column:
+        # beyond the end the splitter is null and the search stays where it is
+        return F.when(F.get("_splitters", found + step - 1) <= F.col("_key"), found + step).otherwise(found)
+
+    at_or_before = F.coalesce(F.aggregate("_steps", F.lit(0), advance), F.lit(0))
+    return joined.withColumn("_slice", at_or_before).select(*df.columns, "_slice")
 
 
 def _sliced(df: DataFrame, line: Timeline, trailing, previous, rows: int) -> DataFrame:

@@ -43,7 +43,7 @@ def predicted(spark, sf_dir):
 )
 def chronological_split(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "ts")
-    return splits.chronological_split(events, "ts", "event_id", 0.1, small=500).select("event_id", "split")
+    return splits.chronological_split(events, "ts", "event_id", 0.1, small=5_000).select("event_id", "split")
 
 
 @book.add("SELECT event_id, ts FROM events ORDER BY ts, event_id LIMIT 100")
