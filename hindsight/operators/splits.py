@@ -9,6 +9,7 @@ from hindsight.session import broadcast_if_small
 
 SMALL = 100_000
 PROBES = 32
+MAX_BUCKETS = 100_000
 
 
 def order_key(df: DataFrame, order: list[str]) -> Column:
@@ -38,7 +39,7 @@ def _gap_of(key: Column, probes: list[Column], low: int, high: int) -> Column:
     return F.when(key < probes[middle], left).when(key == probes[middle], 2 * middle + 1).otherwise(right)
 
 
-def nth_key(df: DataFrame, order: list[str], n: int, small: int = SMALL) -> Row | None:
+def nth_key(df: DataFrame, order: list[str], n: int, small: int = SMALL, rows: int | None = None) -> Row | None:
     """Order key of the ``n``-th row (from 0); None past the end.
 
     Selection by narrowing: count the rows at and between a few dozen sampled
@@ -48,7 +49,7 @@ def nth_key(df: DataFrame, order: list[str], n: int, small: int = SMALL) -> Row
     sampled decides how fast it narrows, never where it ends.
     """
     keys = df.select(order_key(df, order).alias("k"))
-    rows = keys.count()
+    rows = keys.count() if rows is None else rows
     if not 0 <= n < rows:
         return None
     seed = 0
@@ -80,8 +81,8 @@ def chronological_split(
 
     The result is a comparison with one key: no exchange, no sort.
     """
-    train = int(df.count() * (1 - test_share))
-    cut = nth_key(df, [time, tie], train, small)
+    rows = df.count()
+    cut = nth_key(df, [time, tie], int(rows * (1 - test_share)), small, rows)
     if cut is None:
         return df.withColumn("split", F.lit("train"))
     return df.withColumn(
@@ -98,7 +99,8 @@ def stratified_folds(
     that grow in number with the data, on top of the counts of the buckets
     before, so a class holding most rows is still many small windows.
     """
-    buckets = max(1, -(-df.count() // bucket_rows))
+    rows = df.count()
+    buckets = max(1, min(-(-rows // bucket_rows), MAX_BUCKETS))
     hashed = df.withColumn("_hash", F.xxhash64(F.lit(seed), F.col(identity)))
     hashed = hashed.withColumn("_bucket", F.pmod(F.col("_hash"), F.lit(buckets)))
     sizes = hashed.groupBy(label, "_bucket").agg(F.count("*").alias("_rows"))

@@ -69,25 +69,28 @@ def apply_snapshots(
     """
     incoming = with_month(build_games(bronze, accounts, friends, settings))
     with staged(incoming, "games") as fresh:
-        if layout.games.exists():
+        # Where these games are now. Moves lie in the same months, so that the
+        # far larger table of moves is not searched for them.
+        held = layout.games.holding(fresh, GAME_KEY)
+        newest = fresh
+        if held:
             keys = broadcast_if_small(fresh.select(*GAME_KEY))
-            stored = layout.games.read(like=fresh).join(keys, GAME_KEY, "left_semi")
-            both = fresh.unionByName(stored, allowMissingColumns=True)
-            newest = latest_per_key(both, GAME_KEY, list(SNAPSHOT_ORDER))
-        else:
-            newest = fresh
+            stored = layout.games.rows_in(held, like=fresh).join(keys, GAME_KEY, "left_semi")
+            newest = latest_per_key(fresh.unionByName(stored), GAME_KEY, list(SNAPSHOT_ORDER))
         with staged(newest, "newest") as settled:
-            layout.games.upsert(settled, GAME_KEY, check=False)
-            layout.moves.replace_groups(moves_by_month(settled, settings), settled, GAME_KEY)
+            layout.games.upsert(settled, GAME_KEY, check=False, held=held)
+            layout.moves.replace_groups(moves_by_month(settled, settings), settled, GAME_KEY, held=held)
 
 
-def refresh_silver(
-    layout: Layout, accounts: DataFrame, friends: DataFrame, settings: Settings = Settings(), files_per_batch: int = 1_000
-) -> None:
-    """Apply whatever bronze has received since the last time; the checkpoint knows."""
-    stream = layout.spark.readStream.schema(BRONZE).option("maxFilesPerTrigger", files_per_batch)
+def refresh_silver(layout: Layout, accounts: DataFrame, friends: DataFrame, settings: Settings = Settings()) -> None:
+    """Apply whatever bronze has received since the last time; the checkpoint knows.
+
+    All of it in one batch, a backfill too: small batches would write the same
+    months over and over.
+    """
     query = (
-        stream.parquet(layout.path("bronze"))
+        layout.spark.readStream.schema(BRONZE)
+        .parquet(layout.path("bronze"))
         .writeStream.foreachBatch(lambda batch, _: apply_snapshots(batch, layout, accounts, friends, settings))
         .option("checkpointLocation", layout.path("_checkpoints/silver"))
         .trigger(availableNow=True)

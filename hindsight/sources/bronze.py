@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from itertools import islice
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hindsight.schemas import BRONZE, SNAPSHOT
+from hindsight.session import staged
 
 
 def with_provenance(snapshots: DataFrame) -> DataFrame:
@@ -59,13 +62,14 @@ def ingest_batch(
     reach the driver in batches, as they do for any file source; file contents
     do not. Returns the number of files appended.
     """
-    total = 0
-    while True:
-        todo = [r[0] for r in new_files(spark, path, read_bronze(spark, bronze_path)).limit(files_per_batch).collect()]
-        if not todo:
-            return total
-        read_documents(spark, todo, schema).write.mode("append").parquet(bronze_path)
-        total += len(todo)
+    bronze = read_bronze(spark, bronze_path)
+    with staged(new_files(spark, path, bronze), "files") as todo:
+        names = (row[0] for row in todo.toLocalIterator())
+        total = 0
+        while batch := list(islice(names, files_per_batch)):
+            read_documents(spark, batch, schema).write.mode("append").parquet(bronze_path)
+            total += len(batch)
+    return total
 
 
 def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame | None:

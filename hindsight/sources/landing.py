@@ -98,7 +98,8 @@ def sync_summary(plan: DataFrame, outcomes: DataFrame) -> DataFrame:
     """One row per account: what there was, what was fetched and skipped, what failed.
 
     ``outcomes(account, year, month, games, error)`` holds the fetched months;
-    an ``error`` marks one that did not land and will be missing next time.
+    an ``error`` marks one that did not land and will be missing next time. The
+    lists hold months, so their length is that of an account's life.
     """
     month = F.concat_ws("/", "year", "month")
     failed = F.col("error").isNotNull()

@@ -5,6 +5,7 @@ One writer per table is assumed, as there is no commit log to arbitrate.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -117,41 +118,58 @@ class PartitionedTable:
         fields += [T.StructField(name, kind) for name, kind in kinds.items()]
         return self.spark.read.schema(T.StructType(fields)).parquet(self.path)
 
-    def upsert(self, df: DataFrame, keys: list[str], check: bool = True) -> None:
-        """Update matching keys, insert the others."""
+    def holding(self, keys_of: DataFrame, keys: list[str]) -> list[str | None]:
+        """Partitions that now hold one of the keys: a scan of the key columns only."""
+        if not self.exists():
+            return []
+        target = self.read(like=keys_of.select(*keys))
+        small = broadcast_if_small(keys_of.select(*keys).distinct())
+        held = target.join(small, null_safe(target, small, keys), "left_semi")
+        return [row[0] for row in held.select(self.partition).distinct().collect()]
+
+    def rows_in(self, partitions: Sequence[str | None], like: DataFrame | None = None) -> DataFrame:
+        """Rows of some partitions, named by literals so that the scan reads no others."""
+        wanted = F.col(self.partition).isin([p for p in partitions if p is not None])
+        if None in partitions:
+            wanted = wanted | F.col(self.partition).isNull()
+        return self.read(like).where(wanted)
+
+    def upsert(
+        self, df: DataFrame, keys: list[str], check: bool = True, held: Sequence[str | None] | None = None
+    ) -> None:
+        """Update matching keys, insert the others.
+
+        ``held`` may name the partitions that hold the keys, if known.
+        """
         with staged(df) as source:
             if check:
                 require_unique(source, keys)
-            self._replace(source, source.select(*keys), keys)
+            self._replace(source, source.select(*keys), keys, held)
 
-    def replace_groups(self, df: DataFrame, groups: DataFrame, keys: list[str]) -> None:
+    def replace_groups(
+        self, df: DataFrame, groups: DataFrame, keys: list[str], held: Sequence[str | None] | None = None
+    ) -> None:
         """All rows of ``groups`` give way to those ``df`` has of them, which may be none."""
         with staged(df) as source:
-            self._replace(source, groups.select(*keys).distinct(), keys)
+            self._replace(source, groups.select(*keys).distinct(), keys, held)
 
-    def _replace(self, source: DataFrame, touched: DataFrame, keys: list[str]) -> None:
+    def _replace(self, source: DataFrame, touched: DataFrame, keys: list[str], held) -> None:
         if not self.exists():
             self._write(source, "errorifexists")
             return
         # Touched are the partitions of the new rows and those now holding one of
         # the keys: a row that moves to another partition leaves no copy behind.
-        target = self.read(like=source)
+        names = set(self.holding(touched, keys) if held is None else held)
+        names |= {row[0] for row in source.select(self.partition).distinct().collect()}
+        affected = self.rows_in(sorted(names, key=str), like=source)
         small = broadcast_if_small(touched)
-        holding = target.join(small, null_safe(target, small, keys), "left_semi").select(self.partition).distinct()
-        names = [row[0] for row in holding.unionByName(source.select(self.partition)).distinct().collect()]
-        known = [n for n in names if n is not None]
-        in_touched = F.col(self.partition).isin(known)
-        if len(known) < len(names):
-            in_touched = in_touched | F.col(self.partition).isNull()
-        affected = target.where(in_touched)  # literals, so that the scan prunes partitions
         kept = affected.join(small, null_safe(affected, small, keys), "left_anti")
         merged = kept.unionByName(source, allowMissingColumns=True)
         left = {row[0] for row in merged.select(self.partition).distinct().collect()}
         self._write(merged, "overwrite")
-        for name in names:
-            if name not in left:  # nothing was written over these
-                folder = "__HIVE_DEFAULT_PARTITION__" if name is None else name
-                delete(self.spark, f"{self.path}/{self.partition}={folder}")
+        for name in names - left:  # nothing was written over these
+            folder = "__HIVE_DEFAULT_PARTITION__" if name is None else name
+            delete(self.spark, f"{self.path}/{self.partition}={folder}")
 
     def _write(self, df: DataFrame, mode: str) -> None:
         # one task per partition, or several where AQE finds one large
