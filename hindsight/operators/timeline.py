@@ -180,11 +180,15 @@ def _with_slices(df: DataFrame, line: Timeline, rows: int) -> DataFrame:
 
 
 def _sliced(df: DataFrame, line: Timeline, trailing, previous, rows: int) -> DataFrame:
-    out = _with_slices(df, line, rows)
-    if previous:
-        out = _previous_in_slices(out, line, previous)
+    sliced = _with_slices(df, line, rows)
+    out = _previous_in_slices(sliced, line, previous) if previous else sliced
     if trailing:
-        out = _trailing_in_cells(out, line, trailing)
+        cells = _framed_cells(sliced, line, trailing)
+        keys = [*line.entity, "_slice", line.at]
+        names = [f"_k{i}" for i in range(len(keys))]
+        cells = cells.withColumnsRenamed(dict(zip(keys, names)))
+        # a key is one second of one slice, so no hot timeline meets here
+        out = out.join(cells, null_safe(out, cells, keys, names), "left").drop(*names)
     return out.drop("_slice")
 
 
@@ -212,8 +216,12 @@ def _previous_in_slices(df: DataFrame, line: Timeline, previous: dict[str, int])
     return inner.unionByName(heads)
 
 
-def _trailing_in_cells(df: DataFrame, line: Timeline, trailing: Sequence[Trailing]) -> DataFrame:
-    """Range frames over per-second counts, joined back on (entity, slice, second)."""
+def _framed_cells(df: DataFrame, line: Timeline, trailing: Sequence[Trailing]) -> DataFrame:
+    """Range frames over per-second counts: one row per (entity, slice, second).
+
+    A window partition is a time bucket as wide as the longest frame, with the
+    one before it as context: at most two frames' worth of seconds and slices.
+    """
     entity, at = list(line.entity), line.at
     width = max(frame.seconds for frame in trailing)
     rates = {(f.name, r): c for f in trailing for r, c in f.rates.items()}
@@ -234,8 +242,4 @@ def _trailing_in_cells(df: DataFrame, line: Timeline, trailing: Sequence[Trailin
         columns[f"{frame.name}_n"] = n
         for name in frame.rates:
             columns[f"{frame.name}_{name}"] = _rate(_within(F.sum(hits[frame.name, name]), by_time, frame.seconds), n)
-    framed = spread.withColumns(columns).where("own")
-    keys = [*entity, "_slice", at]
-    names = [f"_k{i}" for i in range(len(keys))]
-    framed = framed.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], *columns)
-    return df.join(framed, null_safe(df, framed, keys, names), "left").drop(*names)
+    return spread.withColumns(columns).where("own").select(*entity, "_slice", at, *columns)
