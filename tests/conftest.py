@@ -10,6 +10,6 @@ from hindsight.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, shuffle_partitions=8)
+    session = local_session(8, shuffle_partitions=4)
     yield session
     session.stop()
