@@ -122,7 +122,9 @@ class PartitionedTable:
         """Partitions that now hold one of the keys: a scan of the key columns only."""
         if not self.exists():
             return []
-        target = self.read(like=keys_of.select(*keys))
+        fields = [keys_of.schema[k] for k in keys if k != self.partition]
+        schema = T.StructType([*fields, T.StructField(self.partition, T.StringType())])
+        target = self.spark.read.schema(schema).parquet(self.path)
         small = broadcast_if_small(keys_of.select(*keys).distinct())
         held = target.join(small, null_safe(target, small, keys), "left_semi")
         return [row[0] for row in held.select(self.partition).distinct().collect()]

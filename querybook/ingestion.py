@@ -188,7 +188,7 @@ def _documents(spark, sf_dir, path):
         path_value("_source_file", "username").alias("username"), F.explode("games").alias("g")
     )
     sizes = rows.groupBy("username").agg(F.ceil(F.count("*") / 1000).alias("parts"))
-    split = rows.join(sizes, "username").withColumn("part", F.pmod(F.xxhash64("g.url"), F.col("parts")))
+    split = rows.join(sizes, "username").withColumn("part", F.floor(F.rand(7) * F.col("parts")))
     documents = split.groupBy("username", "part").agg(F.to_json(F.struct(F.collect_list("g").alias("games"))).alias("d"))
     writer = documents.select("username", "d").hint("rebalance", "username").write.partitionBy("username")
     writer.option("maxRecordsPerFile", 1).text(path)

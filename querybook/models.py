@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from hindsight.operators import metrics, splits
 from hindsight.plans import training
+from hindsight.session import stage
 from querybook.base import Book, table
 from querybook.layers import GOLD_SQL, features
 
@@ -155,13 +156,22 @@ def model_frame(spark, sf_dir):
     )
 
 
-@book.add()
-def train_eval(spark, sf_dir):
-    """Search, weighted final fit and holdout scores; an iterative fit has no SQL."""
+def _trained(spark, sf_dir):
     made = labelled(spark, sf_dir).selectExpr(
         "cast(event_id as string) game_uuid", "ts start_ts", "label Result", "hour(ts) hour", "weekday(ts) weekday",
         "user_id % 7 person", "if(event_id % 50 = 0, null, cast(event_id % 1000 as double)) TimeSinceLast",
     )
     names = ["hour", "weekday", "person", "TimeSinceLast"]
-    trained = training.train(made, training.forest(numTrees=5), names, trials=2, folds=2)
-    return training.evaluation(trained)
+    return training.train(stage(made, "features"), training.forest(numTrees=5), names, trials=2, folds=2)
+
+
+@book.add()
+def train_eval(spark, sf_dir):
+    """Search, weighted final fit and holdout scores; an iterative fit has no SQL."""
+    return training.evaluation(_trained(spark, sf_dir))
+
+
+@book.add()
+def feature_importances(spark, sf_dir):
+    """Features ranked by a fitted model; an iterative fit has no SQL."""
+    return training.importances(_trained(spark, sf_dir))

@@ -8,7 +8,7 @@ from hindsight.operators.latest import duplicate_counts, latest_per_key
 from hindsight.operators.upsert import duplicate_keys, upsert, upsert_groups
 from hindsight.session import shared_dir
 from hindsight.sources.bronze import bronze_counts, dedup_preview as preview, sample_games, widen
-from hindsight.sources.tables import PartitionedTable, VersionedTable
+from hindsight.sources.tables import PartitionedTable, VersionedTable, create_view
 from querybook.base import Book, table
 from querybook.standins import snapshots
 
@@ -94,6 +94,17 @@ def versioned_table_upsert(spark, sf_dir):
     return lines.read().select(*LINE_COLUMNS)
 
 
+@book.add(UPSERT_SQL)
+def view_of_current_version(spark, sf_dir):
+    """A view over the table's current version, as readers see it."""
+    lines = VersionedTable(spark, shared_dir(spark, "lines"))
+    for part in _old_and_new(spark, sf_dir):
+        lines.upsert(part, LINE_KEY)
+    location = lines.location(lines.current())
+    create_view(spark, "current_lines", f"SELECT * FROM parquet.`{location}`", temporary=True)
+    return spark.table("current_lines").select(*LINE_COLUMNS)
+
+
 @book.add(UPSERT_SQL)
 def partitioned_table_upsert(spark, sf_dir):
     """The same into a table by ship month; keys change month, so old copies must go."""
