@@ -24,7 +24,7 @@ def profile_games(games: DataFrame, settings: Settings = Settings()) -> DataFram
         "friend": friend,
         "friend_rated": friend & rated,
         "friend_unrated": friend & ~rated,
-        "variants": F.col("rules") != settings.rules,
+        "variants": ~F.coalesce(F.col("rules") == settings.rules, F.lit(False)),
     }
     return tally(games, ["account"], counters, total=True)
 

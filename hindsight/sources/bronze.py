@@ -24,12 +24,18 @@ def with_provenance(snapshots: DataFrame) -> DataFrame:
 def parse_payloads(rows: DataFrame, schema: str = SNAPSHOT) -> DataFrame:
     """Landed payload rows as bronze rows, the document opened by ``schema``.
 
-    Many share a file, so the account follows the file's path.
+    Many snapshots share a file, so what tells them apart is said per row: the
+    time of the snapshot is when it was fetched, and fetch time and account
+    follow the file's path.
     """
-    located = with_provenance(rows.select("payload", "username", "_metadata"))
-    opened = located.withColumn("_doc", F.from_json("payload", schema))
-    file = F.concat("_source_file", F.lit("?username="), "username")
-    return opened.select("_doc.*", file.alias("_source_file"), "_file_modified_at", "_ingested_at")
+    opened = rows.withColumn("_doc", F.from_json("payload", schema))
+    fetched = F.date_format("fetched_at", "yyyyMMdd'T'HHmmss.SSSSSS'Z'")
+    return opened.select(
+        "_doc.*",
+        F.concat("_metadata.file_path", F.lit("?fetched="), fetched, F.lit("&username="), "username").alias("_source_file"),
+        F.col("fetched_at").alias("_file_modified_at"),
+        F.current_timestamp().alias("_ingested_at"),
+    )
 
 
 def read_documents(spark: SparkSession, paths: str | list[str], schema: str = SNAPSHOT) -> DataFrame:

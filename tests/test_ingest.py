@@ -76,7 +76,19 @@ def test_landing_as_rows_and_stream(spark, tmp_path):
         ingest_stream(payload_stream(spark, path), bronze, seen)
     rows = spark.read.parquet(bronze)
     assert rows.count() == 2
-    assert all(r._source_file.endswith("?username=acct_a") for r in rows.collect())
+    assert all(r._source_file.endswith("&username=acct_a") for r in rows.collect())
+    # two snapshots in one file are still told apart by when they were fetched
+    assert sorted(r._file_modified_at.second for r in rows.collect()) == [1, 2]
+
+
+def test_newest_of_two_payloads_in_one_file(spark, tmp_path):
+    path, layout = str(tmp_path / "landing"), Layout(spark, str(tmp_path / "lake"))
+    made = payloads(spark, [1, 2]).withColumn(
+        "payload", F.when(F.col("source_url") == "u/1", F.replace("payload", F.lit('"win"'), F.lit('"agreed"'))).otherwise(F.col("payload"))
+    )
+    landing.land_snapshots(made.coalesce(1), path)
+    refresh(path, layout, *dimensions(spark), landed_as="rows")
+    assert [r.result for r in layout.games.read().collect()] == ["won"]
 
 
 def test_files_are_ingested_once(spark, tmp_path):
