@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from querybook.base import Book
 
-from hindsight.llm import toxicity
+from hindsight.llm import fingerprints, mixing, packing, toxicity, urls, vectors
 from hindsight.llm.work import table
 
 book = Book()
@@ -14,3 +14,53 @@ book = Book()
 def op1_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+RULES = [
+    urls.Rule("com/", "allow"),
+    urls.Rule("example.com/en/", "block"),
+    urls.Rule("www.example.com/en/", "allow"),
+    urls.Rule("net/es/", "block"),
+    urls.Rule("net/fr/", "block"),
+]
+
+
+@book.add()
+def op2_url_filter(spark, sf_dir):
+    return urls.judge(table(spark, sf_dir, "pages"), RULES)
+
+
+@book.add()
+def op3_mixing(spark, sf_dir):
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), [3, 1, 2], 1.5)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+@book.add()
+def op4_fingerprints(spark, sf_dir):
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@book.add(
+    """
+    WITH RECURSIVE v AS (
+        SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+        WHERE label IS NOT NULL AND list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]) > 0
+    ), pair AS (
+        SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+        WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+    ), reach(x, y) AS (
+        SELECT vec_id, vec_id FROM embeddings UNION SELECT r.x, p.y FROM reach r JOIN pair p ON r.y = p.x
+    ), named AS (SELECT x AS vec_id, min(y) AS component_id FROM reach GROUP BY x),
+    linked AS (SELECT x AS vec_id, count(*) AS n FROM pair GROUP BY x)
+    SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+    FROM named LEFT JOIN linked USING (vec_id)
+    """
+)
+def op8_embedding_dedup(spark, sf_dir):
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"), 0.98)
+
+
+@book.add()
+def op9_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))

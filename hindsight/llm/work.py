@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,3 +28,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def text_key(text: Column) -> Column:
     """128 bits that stand for a text; null stands for itself."""
     return F.unhex(F.md5(text.cast("binary")))
+
+
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows for jobs that run inside the block: for frames of large rows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
