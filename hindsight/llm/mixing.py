@@ -174,3 +174,10 @@ def mix(docs: DataFrame, weights: list[float] = (3, 1, 2), share: float = 1.5) -
         .withColumn("own", (each + (at <= F.col("copies") - each * F.col("n")).cast("long")).cast("long"))
         .select("doc_id", "d.size", "d.source", "source_size", "target", F.col("own").alias("copies"), (F.col("own") * F.col("d.size")).alias("taken"))
     )
+
+
+def mixed(docs: DataFrame, weights: list[float] = (3, 1, 2), share: float = 1.5) -> DataFrame:
+    """``docs`` with each row as often as the mix takes it; columns unchanged. Ids must be those of one row each."""
+    taken = mix(docs, weights, share).where("copies > 0").select(F.col("doc_id").alias("_id"), "copies")
+    joined = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")))
+    return joined.withColumn("_nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*docs.columns)

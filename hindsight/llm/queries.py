@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from querybook.base import Book
 
-from hindsight.llm import fingerprints, mixing, packing, toxicity, urls, vectors
+from hindsight.llm import fingerprints, mixing, order_minhash, packing, pii, preference, secrets, spans, toxicity, urls, vectors
 from hindsight.llm.work import table
 
 book = Book()
@@ -41,6 +43,76 @@ def op4_fingerprints(spark, sf_dir):
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def _count(kind):
+    return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+def _digests(found, base):
+    """Counts of base kinds, hash of their spans, all spans, in the order that ``found`` has them in."""
+    of_base = F.filter("spans", lambda s: s["kind"].isin(base))
+    return found.select(
+        "doc_id", *[_count(k) for k in base], F.sha2(spans.digest(of_base), 256).alias("base_sha256"), spans.digest(F.col("spans")).alias("spans")
+    )
+
+
+@book.add()
+def op5_personal_data(spark, sf_dir):
+    return _digests(pii.find(table(spark, sf_dir, "documents")), [k.name for k in pii.KINDS if k.always])
+
+
+@book.add()
+def op6_secrets(spark, sf_dir):
+    return _digests(secrets.find(table(spark, sf_dir, "documents")), [r.name for r in secrets.RULES if r.base])
+
+
+@book.add(
+    """
+    WITH t AS (
+        SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
+        FROM conversations WHERE conv_id IS NOT NULL
+    ), n AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k,
+            count(*) OVER (PARTITION BY conv_id) AS size
+        FROM t
+    ), side AS (
+        SELECT conv_id, k, role, text, 'chosen' AS side FROM n WHERE xor(conv_id, 1) IN (SELECT conv_id FROM n)
+        UNION ALL
+        SELECT conv_id, k, role, text, 'rejected' FROM n WHERE k < size AND xor(conv_id, 1) IN (SELECT conv_id FROM n)
+        UNION ALL
+        SELECT a.conv_id, a.size, b.role, b.text, 'rejected' FROM n a JOIN n b ON b.conv_id = xor(a.conv_id, 1)
+        WHERE a.k = a.size AND b.k = b.size
+    ), equal AS (
+        SELECT conv_id, k, count(*) = 2 AND count(DISTINCT (role, text)) = 1 AS same FROM side GROUP BY conv_id, k
+    ), cut AS (
+        SELECT conv_id, coalesce(min(k) FILTER (NOT same), max(k) + 1) - 1 AS p FROM equal GROUP BY conv_id
+    ), drawn AS (
+        SELECT side.*, p, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS line,
+            length(role) + 5 AS head FROM side JOIN cut USING (conv_id)
+    ), placed AS (
+        SELECT *, coalesce(sum(length(line)) OVER (PARTITION BY conv_id, side, k > p ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begun
+        FROM drawn
+    )
+    SELECT conv_id AS pair_id, any_value(p)::INT AS prompt_turns,
+        coalesce(string_agg(line, '' ORDER BY k) FILTER (k <= p AND side = 'chosen'), '') AS prompt,
+        coalesce(string_agg(line, '' ORDER BY k) FILTER (k > p AND side = 'chosen'), '') AS chosen,
+        coalesce(string_agg(line, '' ORDER BY k) FILTER (k > p AND side = 'rejected'), '') AS rejected,
+        coalesce(string_agg((begun + head)::BIGINT || ':' || (begun + length(line) - 1)::BIGINT, ',' ORDER BY k)
+            FILTER (k > p AND side = 'chosen' AND role = 'assistant'), '') AS chosen_mask,
+        coalesce(string_agg((begun + head)::BIGINT || ':' || (begun + length(line) - 1)::BIGINT, ',' ORDER BY k)
+            FILTER (k > p AND side = 'rejected' AND role = 'assistant'), '') AS rejected_mask
+    FROM placed GROUP BY conv_id
+    """
+)
+def op7_preference_format(spark, sf_dir):
+    """Each conversation is chosen; with its last turn exchanged for that of its neighbour (ids 2k and 2k + 1) it is rejected."""
+    own = preference.turns_of(table(spark, sf_dir, "conversations")).toDF("pair_id", "chosen")
+    reply = own.select(F.col("pair_id").bitwiseXOR(F.lit(1)).alias("pair_id"), F.element_at("chosen", -1).alias("reply"))
+    rejected = F.concat(F.slice("chosen", 1, F.size("chosen") - 1), F.array("reply"))
+    formatted = preference.format_pairs(own.join(reply, "pair_id").withColumn("rejected", rejected))
+    listed = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",").alias(c)
+    return formatted.select("pair_id", "prompt_turns", "prompt", "chosen", "rejected", listed("chosen_mask"), listed("rejected_mask"))
+
+
 @book.add(
     """
     WITH RECURSIVE v AS (
@@ -64,3 +136,8 @@ def op8_embedding_dedup(spark, sf_dir):
 @book.add()
 def op9_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@book.add()
+def op10_order_minhash(spark, sf_dir):
+    return order_minhash.near_duplicates(table(spark, sf_dir, "documents"), 0.8)
