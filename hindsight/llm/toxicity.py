@@ -6,7 +6,7 @@ vector the mean of its words'. A softmax layer on top is trained jointly with
 the table, in numpy, by full-batch Adam. Misspellings that never occurred in
 training still share most n-grams with the words that did.
 
-Training sees a bounded sample of labelled rows (``Settings.per_class`` of each
+Training sees a bounded sample of labelled rows (``Settings.most`` of each
 class, picked by hash of the id), scoring sees every text from end to end. The
 layer is linear, so for scoring each n-gram has one number, each word the mean
 of its n-grams' numbers, and a text is scored by one look-up a word.
@@ -34,8 +34,8 @@ WORD = re.compile(r"\w+")
 
 @dataclass(frozen=True)
 class Settings:
-    #: Most labelled rows of each class that training sees, the only bound here.
-    per_class: int = 2500
+    #: Most labelled rows that training sees of label 0 and of label 1, the only bound here.
+    most: tuple[int, int] = (7500, 2500)
     buckets: int = 1 << 17
     dim: int = 4
     shortest: int = 3
@@ -89,7 +89,7 @@ def bag_rows(batches):
 
 
 def sample(docs: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
-    """At most ``per_class`` labelled rows of each class with the weight that restores the class's share."""
+    """At most ``most`` labelled rows of each class with the weight that restores the class's share."""
     known = (
         labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out())
         .groupBy("doc_id")
@@ -98,13 +98,13 @@ def sample(docs: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
     sizes = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).where("toxic in (0, 1)").collect()}
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     parts = [
-        known.where(F.col("toxic") == c).orderBy(*order).limit(s.per_class).withColumn("weight", F.lit(n / min(n, s.per_class)))
+        known.where(F.col("toxic") == c).orderBy(*order).limit(s.most[c]).withColumn("weight", F.lit(n / min(n, s.most[c])))
         for c, n in sizes.items()
     ]
     if not parts:
         return docs.sparkSession.createDataFrame([], "text string, toxic int, weight double")
     picked = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    # At most 2 * per_class narrow rows, whatever the input.
+    # At most ``sum(most)`` narrow rows, whatever the input.
     return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", "toxic", "weight")
 
 
@@ -116,7 +116,11 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model
     if not len(y) or y.min() == y.max():
         share = float(y.mean()) if len(y) else 0.0
         return Model(np.zeros(s.buckets, np.float32), float(np.log((share + 1e-9) / (1 - share + 1e-9))), s)
-    return fit(rows.column("words").to_pylist(), rows.column("counts").to_pylist(), y, weight, s)
+    words = rows.column("words").combine_chunks()
+    coded = words.flatten().dictionary_encode()
+    sizes = np.diff(words.offsets.to_numpy())
+    counts = rows.column("counts").combine_chunks().flatten().to_numpy()
+    return fit(sizes, coded.indices.to_numpy(), coded.dictionary.to_pylist(), counts, y, weight, s)
 
 
 def _sums(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -152,22 +156,18 @@ class Sparse:
         return self._times(self.backward, dense)
 
 
-def fit(words: list[list[str]], counts: list[list[int]], y: np.ndarray, weight: np.ndarray, s: Settings) -> Model:
-    vocabulary: dict[str, int] = {}
-    spread = Counter(w for ws in words for w in ws)
-    doc, at, times = [], [], []
-    for i, (ws, cs) in enumerate(zip(words, counts)):
-        for w, c in zip(ws, cs):
-            if spread[w] >= s.least_docs:
-                doc.append(i)
-                at.append(vocabulary.setdefault(w, len(vocabulary)))
-                times.append(c)
+def fit(sizes: np.ndarray, at: np.ndarray, words: list[str], times: np.ndarray, y: np.ndarray, weight: np.ndarray, s: Settings) -> Model:
+    """Train on texts of ``sizes`` different words each: their numbers in ``words``, and how often they occur."""
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    total = np.bincount(doc, weights=times, minlength=len(sizes))
+    often = np.bincount(at, minlength=len(words)) >= s.least_docs
+    vocabulary = [w for w, keep in zip(words, often) if keep]
     if not vocabulary:
         share = float((weight * y).sum() / weight.sum())
         return Model(np.zeros(s.buckets, np.float32), float(np.log((share + 1e-9) / (1 - share + 1e-9))), s)
-    doc, at, times = np.array(doc), np.array(at), np.array(times, dtype=float)
-    total = np.array([sum(cs) for cs in counts], dtype=float)
-    by_doc = Sparse(doc, at, times / total[doc], (len(words), len(vocabulary)))
+    keep = often[at]
+    doc, at, times = doc[keep], (np.cumsum(often) - 1)[at[keep]], times[keep].astype(float)
+    by_doc = Sparse(doc, at, times / total[doc], (len(sizes), len(vocabulary)))
     grams = [subwords(w, s) for w in vocabulary]
     n_grams = np.array([len(g) for g in grams])
     used, gram = np.unique(np.array([b for g in grams for b in g], dtype=np.int64), return_inverse=True)

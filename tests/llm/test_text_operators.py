@@ -31,7 +31,7 @@ def model(spark):
         labels.append((i, int(bad)))
     labels += [(0, 1), (7, None), (None, 1)]
     d, y = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
-    return d, y, toxicity.train(d, y)
+    return d, y, toxicity.train(d, y, toxicity.Settings(decay=1e-3))  # few texts: more decay
 
 
 def test_held_out_rows_are_told_apart(model):
