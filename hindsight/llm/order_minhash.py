@@ -13,11 +13,12 @@ no candidates is 2e-5.
 
 Texts of equal words are one class and are compared once. Within a bucket no
 list of all pairs is made. First every member is aligned with the bucket's
-least member. Buckets whose members are then all in one component are done; in
-the others, all members outside the largest component are compared with all
-members of other components, in blocks: one matrix product gives the shared
-k-mers of all pairs of two blocks, a bound on S, and pairs that can still link
-two components are aligned. So no link that would join two components is lost.
+least member. Buckets whose members are then all in one component are done.
+Components that still meet in a bucket form a cluster, in which all texts
+outside the largest component are compared with all others, in blocks: one
+matrix product gives the shared k-mers of all pairs of two blocks, a bound on S,
+and pairs that can still link two components are aligned. So no link that would
+join two components is lost.
 
 Edge cases: null texts and texts without words link with nothing and stay; a
 text under five words is one k-mer; rows of equal ids stay or go together; in a
@@ -45,7 +46,7 @@ LEAST = 0.8
 BANDS, ROWS = 36, 3
 FACTORS = mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
 #: Members of a block on either side of a block comparison.
-FEW, MANY = 64, 192
+FEW, MANY = 192, 768
 #: Cells of temporary arrays.
 CELLS = 1 << 21
 
@@ -268,31 +269,34 @@ def compare_block(group: pd.DataFrame, least: float) -> pd.DataFrame:
 
 
 def remaining(members: DataFrame, links: DataFrame) -> DataFrame:
-    """(block, few, key, component): block pairs of the buckets that still hold several components.
+    """(block, few, key, component): block pairs of what may still link components.
 
-    A bucket's members outside its largest component are dealt into groups of about ``FEW``, all its
-    members into groups of about ``MANY``; each pair of groups is one block. Buckets of the same
-    members are compared once.
+    Components that meet in a bucket form a cluster. A cluster's texts outside its largest component
+    are dealt into groups of about ``FEW``, all its texts into groups of about ``MANY``; each pair of
+    groups is one block. Each text is in one cluster, however many buckets hold it, so two texts are
+    compared once, and any two that share a bucket are.
     """
     named = components(links).toDF("key", "component")
-    placed = stage(
-        members.join(named, "key", "left").select("bucket", "key", F.coalesce("component", "key").alias("component"), F.xxhash64("key").alias("h")), "placed"
+    placed = members.join(named, "key", "left").select("bucket", "key", F.coalesce("component", "key").alias("component"))
+    placed = stage(placed, "placed")
+    meeting = placed.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most")
+    pairs = placed.join(stage(meeting, "meeting"), "bucket").select("component", "least").where("least < component").distinct()
+    cluster = components(stage(pairs, "pairs")).toDF("component", "cluster")
+    texts = placed.select("key", "component").distinct().join(stage(cluster, "cluster"), "component")
+    texts = stage(texts.select("cluster", "component", "key", F.xxhash64("key").alias("h")), "texts")
+    sizes = texts.groupBy("cluster", "component").agg(F.count("*").alias("n"))
+    shape = (
+        sizes.groupBy("cluster")
+        .agg(F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("main"))
+        .select("cluster", "main.component", F.ceil((F.col("all") - F.col("main.n")) / FEW).alias("groups"), F.ceil(F.col("all") / MANY).alias("pieces"))
+        .withColumnRenamed("component", "main")
     )
-    by_component = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.sum(F.col("h").cast("decimal(38,0)")).alias("s"))
-    open_ = (
-        by_component.groupBy("bucket")
-        .agg(F.count("*").alias("parts"), F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("main"), F.sum("s").alias("s"))
-        .where("parts > 1")
-        .groupBy("all", "s")
-        .agg(F.min(F.struct("bucket", F.col("main.component").alias("main"), (F.col("all") - F.col("main.n")).alias("rest"))).alias("o"))
-        .select("o.bucket", "o.main", F.ceil(F.col("o.rest") / FEW).alias("groups"), F.ceil(F.col("all") / MANY).alias("pieces"))
-    )
-    inside = placed.join(stage(open_, "open"), "bucket")
+    inside = texts.join(stage(shape, "shape"), "cluster")
     each = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
     few = inside.where(F.col("component") != F.col("main")).select(
-        "bucket", F.pmod("h", "groups").alias("i"), F.explode(each("pieces")).alias("j"), F.lit(1).alias("few"), "key", "component"
+        "cluster", F.pmod("h", "groups").alias("i"), F.explode(each("pieces")).alias("j"), F.lit(1).alias("few"), "key", "component"
     )
-    many = inside.select("bucket", F.explode(each("groups")).alias("i"), F.pmod("h", "pieces").alias("j"), F.lit(0).alias("few"), "key", "component")
+    many = inside.select("cluster", F.explode(each("groups")).alias("i"), F.pmod("h", "pieces").alias("j"), F.lit(0).alias("few"), "key", "component")
     return few.unionByName(many)
 
 
@@ -313,7 +317,7 @@ def near_duplicates(docs: DataFrame, least: float = LEAST) -> DataFrame:
     blocks = stage(remaining(members, links), "blocks")
     rest = (
         blocks.join(words, "key")
-        .groupBy("bucket", "i", "j")
+        .groupBy("cluster", "i", "j")
         .applyInPandas(lambda g: compare_block(g[["few", "key", "component", "words"]], least), "a binary, b binary")
     )
     links = links.unionByName(stage(rest, "rest"))
