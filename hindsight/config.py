@@ -18,29 +18,21 @@ OUTCOMES = {"won": 0, "draw": 1, "lost": 2}
 
 # The 48 feature names, in table order.
 FEATURES_48 = (
-    ("Account",)
-    + tuple(f"Is{day}" for day in WEEKDAYS)
-    + ("TimeOfDay", "GameOfDay", "GameOfWeek", "TimeControl", "EloDifference", "Color")
-    + ("ICastledFirst", "ICastledShort", "ICastledLong", "OppCastledShort", "OppCastledLong")
-    + ("LastResultIsWin", "LastResultIsDraw", "LastResultIsLoss")
-    + ("2ndLastResultIsWin", "2ndLastResultIsDraw", "2ndLastResultIsLoss")
-    + ("MyNumMoves", "OppNumMoves", "MyTotalTime", "OppTotalTime", "MyAvgTPM", "OppAvgTPM")
-    + ("TimeSinceLast",)
-    + ("DailyWinPerc", "DailyLossPerc", "DailyDrawPerc")
-    + ("WeeklyWinPerc", "WeeklyLossPerc", "WeeklyDrawPerc")
-    + tuple(f"ECO_{code}" for code in ECO_CODES)
-    + ("ECO_Other",)
+    "Account", "IsMonday", "IsTuesday", "IsWednesday", "IsThursday", "IsFriday", "IsSaturday", "IsSunday",
+    "TimeOfDay", "GameOfDay", "GameOfWeek", "TimeControl", "EloDifference", "Color", "ICastledFirst",
+    "ICastledShort", "ICastledLong", "OppCastledShort", "OppCastledLong", "LastResultIsWin", "LastResultIsDraw",
+    "LastResultIsLoss", "2ndLastResultIsWin", "2ndLastResultIsDraw", "2ndLastResultIsLoss", "MyNumMoves",
+    "OppNumMoves", "MyTotalTime", "OppTotalTime", "MyAvgTPM", "OppAvgTPM", "TimeSinceLast", "DailyWinPerc",
+    "DailyLossPerc", "DailyDrawPerc", "WeeklyWinPerc", "WeeklyLossPerc", "WeeklyDrawPerc", "ECO_A00", "ECO_A40",
+    "ECO_A45", "ECO_B10", "ECO_B12", "ECO_B13", "ECO_D00", "ECO_D02", "ECO_D10", "ECO_Other",
 )
 
 # The 28 features known before an activity starts.
 MODEL_FEATURES = (
-    ("GameOfDay", "GameOfWeek", "TimeOfDay", "TimeSinceLast")
-    + tuple(f"Is{day}" for day in WEEKDAYS)
-    + ("DailyWinPerc", "DailyDrawPerc", "DailyLossPerc")
-    + ("WeeklyWinPerc", "WeeklyDrawPerc", "WeeklyLossPerc")
-    + ("Color",)
-    + tuple(f"ECO_{code}" for code in ECO_CODES)
-    + ("ECO_Other",)
+    "GameOfDay", "GameOfWeek", "TimeOfDay", "TimeSinceLast", "IsMonday", "IsTuesday", "IsWednesday",
+    "IsThursday", "IsFriday", "IsSaturday", "IsSunday", "DailyWinPerc", "DailyDrawPerc", "DailyLossPerc",
+    "WeeklyWinPerc", "WeeklyDrawPerc", "WeeklyLossPerc", "Color", "ECO_A00", "ECO_A40", "ECO_A45", "ECO_B10",
+    "ECO_B12", "ECO_B13", "ECO_D00", "ECO_D02", "ECO_D10", "ECO_Other",
 )
 
 
@@ -57,4 +49,3 @@ class Settings:
     trailing_months: int = 2
     min_games: int = 0
     min_population: int = 0
-    hot_rows: int = 1_000_000

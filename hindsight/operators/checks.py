@@ -21,10 +21,11 @@ class ChecksFailed(RuntimeError):
 
 @dataclass(frozen=True)
 class RowRule:
-    """At most ``allowed`` rows may violate: true or null is a violation unless ``null_ok``.
+    """At most ``allowed`` rows may violate: false is a violation, and so is null unless ``null_ok``.
 
-    ``holds`` says what a good row looks like. ``per`` makes the bound count
-    once for each distinct value of a column (one first row per person, say).
+    ``holds`` says what a good row looks like. With ``per`` the bound holds for
+    each value of a column on its own (one first row per person, say); null is
+    a value as well.
     """
 
     name: str
@@ -60,28 +61,49 @@ def one_hot_sum(name: str, columns: Sequence[str]) -> RowRule:
 
 
 def check_rows(df: DataFrame, rules: Sequence[RowRule | Floor]) -> DataFrame:
-    """All row rules and floors of one table in a single pass, one report row each."""
-    measures: list[Column] = []
-    for i, rule in enumerate(rules):
-        if isinstance(rule, Floor):
-            where = F.lit(True) if rule.where is None else rule.where
-            measures += [F.count_if(where).alias(f"n{i}"), F.lit(rule.least).cast("bigint").alias(f"bound{i}")]
-            continue
-        bad = ~F.coalesce(rule.holds, F.lit(rule.null_ok))
-        measures.append(F.count_if(bad).alias(f"n{i}"))
-        scale = F.count_distinct(F.col(rule.per)) if rule.per else F.lit(1)
-        measures.append((scale * rule.allowed).cast("bigint").alias(f"bound{i}"))
-    totals = df.agg(*measures)
+    """All row rules and floors of one table, one report row each.
+
+    One pass for all of them, and one more for the rules of each column that bounds are kept per.
+    """
+    columns = dict.fromkeys(r.per for r in rules if isinstance(r, RowRule) and r.per)
+    parts = [_counted_rules(df, [r for r in rules if isinstance(r, Floor) or not r.per])] if any(isinstance(r, Floor) or not r.per for r in rules) else []
+    parts += [_grouped_rules(df, [r for r in rules if isinstance(r, RowRule) and r.per == c], c) for c in columns]
+    return combine(parts)
+
+
+def _bad(rule: RowRule) -> Column:
+    return ~F.coalesce(rule.holds, F.lit(rule.null_ok))
+
+
+def _report(totals: DataFrame, rules: Sequence[RowRule | Floor], text: str) -> DataFrame:
     rows = []
     for i, rule in enumerate(rules):
         n, bound = F.col(f"n{i}"), F.col(f"bound{i}")
         floor = isinstance(rule, Floor)
-        ok = n >= bound if floor else n <= bound
-        text = F.format_string("%d rows, at least %d" if floor else "%d bad rows, at most %d", n, bound)
-        rows.append(F.struct(F.lit(rule.name).alias("name"), ok.alias("ok"), text.alias("detail")))
+        detail = F.format_string("%d rows, at least %d" if floor else text, n, bound)
+        ok = n >= bound if floor else (n == 0 if rule.per else n <= bound)
+        rows.append(F.struct(F.lit(rule.name).alias("name"), ok.alias("ok"), detail.alias("detail")))
     return totals.select(F.inline(F.array(*rows)))
 
 
+def _counted_rules(df: DataFrame, rules: Sequence[RowRule | Floor]) -> DataFrame:
+    measures: list[Column] = []
+    for i, rule in enumerate(rules):
+        floor = isinstance(rule, Floor)
+        counted = (F.lit(True) if rule.where is None else rule.where) if floor else _bad(rule)
+        measures.append(F.count_if(counted).alias(f"n{i}"))
+    bounds = {f"bound{i}": F.lit(r.least if isinstance(r, Floor) else r.allowed).cast("bigint") for i, r in enumerate(rules)}
+    return _report(df.agg(*measures).withColumns(bounds), rules, "%d bad rows, at most %d")
+
+
+def _grouped_rules(df: DataFrame, rules: Sequence[RowRule], per: str) -> DataFrame:
+    """Values of ``per`` with more bad rows than allowed."""
+    counts = df.groupBy(per).agg(*[F.count_if(_bad(r)).alias(f"bad{i}") for i, r in enumerate(rules)])
+    totals = counts.agg(*[F.count_if(F.col(f"bad{i}") > r.allowed).alias(f"n{i}") for i, r in enumerate(rules)])
+    totals = totals.withColumns({f"bound{i}": F.lit(r.allowed).cast("bigint") for i, r in enumerate(rules)})
+    return _report(totals, rules, f"%d values of {per} with more than %d bad rows")
+
+
 def check_columns(df: DataFrame, name: str, contract: dict[str, str]) -> DataFrame:
     """Every contract column is there with its type; looks at the schema only."""
     have = dict(df.dtypes)

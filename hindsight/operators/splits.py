@@ -5,11 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from hindsight.session import broadcast_if_small
-
 SMALL = 100_000
 PROBES = 32
-MAX_BUCKETS = 100_000
 
 
 def order_key(df: DataFrame, order: list[str]) -> Column:
@@ -100,8 +97,10 @@ def stratified_folds(
     before, so a class holding most rows is still many small windows.
     """
     rows = df.count()
-    buckets = max(1, min(-(-rows // bucket_rows), MAX_BUCKETS))
-    hashed = df.withColumn("_hash", F.xxhash64(F.lit(seed), F.col(identity)))
+    buckets = max(1, -(-rows // bucket_rows))
+    # A hash that any engine has, so that folds can be told elsewhere too.
+    digest = F.md5(F.concat_ws(":", F.lit(seed).cast("string"), F.col(identity).cast("string")))
+    hashed = df.withColumn("_hash", F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"))
     hashed = hashed.withColumn("_bucket", F.pmod(F.col("_hash"), F.lit(buckets)))
     sizes = hashed.groupBy(label, "_bucket").agg(F.count("*").alias("_rows"))
     before = Window.partitionBy(label).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -135,6 +134,6 @@ def class_weights(df: DataFrame, label: str, multipliers: dict | None = None) ->
 
 
 def with_class_weights(df: DataFrame, weights: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    """Adds each row's class weight; one row per class makes the other side small, which is checked."""
+    """Adds each row's class weight."""
     side = weights.select(label, F.col("weight").alias(name))
-    return df.join(broadcast_if_small(side, 10_000), label, "left")
+    return df.join(side, label, "left")

@@ -1,32 +1,28 @@
 """Backward-looking windows over a timeline, whatever share of the rows one timeline holds.
 
-Two shapes give the same answer:
-
-* an ordinary timeline is one window partition: one exchange serves the range
-  frames and the ``lag`` columns;
-* a hot timeline (more than ``hot_rows`` rows) is cut into *slices*, runs of
-  consecutive rows bounded by splitters that are sampled from its own order
-  columns, as a range-partitioned sort does. ``lag`` runs inside the slices,
-  and only the first rows of a slice look across its edge. Range frames run
-  over per-second cells (counts, not rows) in time buckets as wide as the
-  longest frame, each with the bucket before it as context.
-
-So no task ever holds a hot timeline, a hot bucket, or even a hot second.
+There is one plan for all timelines, long or short:
+
+* Range frames run over cells, the counts of each second of a timeline. Cells
+  are made by partial aggregation, so a busy second is one row per map task. A
+  window partition is a time bucket as wide as the longest frame, with the
+  bucket before it as context: two frames' worth of seconds at most. Rows get
+  their second's result by a join in which AQE may split busy seconds.
+* Preceding values come from *slices*: rows are range-partitioned by timeline
+  and order, written once, and numbered within each slice. Only the first and
+  last few rows of a slice look across its edges.
+
+So no task ever holds a whole timeline, a busy bucket, or even a busy second.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from hindsight.session import null_safe
-
-MAX_HOT_ENTITIES = 10_000
-MAX_SPLITTERS = 65_536
+from hindsight.session import null_safe, stage
 
 
 @dataclass(frozen=True)
@@ -39,7 +35,6 @@ class Timeline:
     entity: tuple[str, ...]
     at: str
     order: tuple[str, ...]
-    hot_rows: int = 1_000_000
 
     @property
     def sequence(self) -> list[str]:
@@ -59,16 +54,6 @@ class Trailing:
     rates: dict[str, Column]
 
 
-def hot_entities(df: DataFrame, line: Timeline) -> list[Row]:
-    """Timelines of more than ``hot_rows`` rows: at most the 10,000 longest.
-
-    Any other timeline holds under 1/10,000 of the rows, or fewer than ``hot_rows``.
-    """
-    dated = df.where(F.col(line.at).isNotNull())
-    counts = dated.groupBy(*line.entity).agg(F.count("*").alias("_rows")).where(F.col("_rows") > line.hot_rows)
-    return counts.orderBy(F.desc("_rows")).limit(MAX_HOT_ENTITIES).collect()
-
-
 def timeline_features(
     df: DataFrame,
     line: Timeline,
@@ -81,22 +66,18 @@ def timeline_features(
     for i = 1..n per entry of ``previous``. Rows without a time stay in the
     result with null in all of them; they are context for nobody.
     """
-    previous = previous or {}
-    if not line.entity:
-        # one timeline for all: a key that is 0 in every dated row
-        keyed = df.withColumn("_line", F.pmod(F.col(line.at), F.lit(1)))
-        return timeline_features(keyed, replace(line, entity=("_line",)), trailing, previous).drop("_line")
-    hot = hot_entities(df, line)
-    if not hot:
-        return _plain(df, line, trailing, previous)
-    entity = list(line.entity)
-    schema = T.StructType([T.StructField(c, df.schema[c].dataType, True) for c in entity])
-    named = F.broadcast(df.sparkSession.createDataFrame([tuple(row[c] for c in entity) for row in hot], schema))
-    is_hot = null_safe(df, named, entity) & F.col(line.at).isNotNull()
-    cold = df.join(named, is_hot, "left_anti")
-    busy = df.join(named, is_hot, "left_semi")
-    rows = sum(row["_rows"] for row in hot)
-    return _plain(cold, line, trailing, previous).unionByName(_sliced(busy, line, trailing, previous, rows))
+    if previous:
+        slices = df.repartitionByRange(*line.entity, *line.sequence).withColumn("_slice", F.spark_partition_id())
+        # Written, since the slice of a row must be the same wherever it is used.
+        df = stage(slices, "slices")
+    out = _with_previous(df, line, previous) if previous else df
+    if trailing:
+        cells = _framed_cells(df, line, trailing)
+        keys = [*line.entity, line.at]
+        names = [f"_k{i}" for i in range(len(keys))]
+        cells = cells.withColumnsRenamed(dict(zip(keys, names)))
+        out = out.join(cells, null_safe(out, cells, keys, names), "left").drop(*names)
+    return out.drop("_slice")
 
 
 def time_since(start: str, previous_end: str) -> Column:
@@ -129,70 +110,7 @@ def _lags(window, previous: dict[str, int]) -> dict[str, Column]:
     }
 
 
-def _plain(df: DataFrame, line: Timeline, trailing, previous) -> DataFrame:
-    # Undated rows get partitions of their own, spread by hash, and null results.
-    dated = F.col(line.at).isNotNull()
-    apart = F.when(~dated, F.xxhash64(*line.order))
-    by_time = Window.partitionBy(*line.entity, apart).orderBy(line.at)
-    columns: dict[str, Column] = {}
-    for frame in trailing:
-        n = _within(F.count("*"), by_time, frame.seconds)
-        columns[f"{frame.name}_n"] = n
-        for name, condition in frame.rates.items():
-            columns[f"{frame.name}_{name}"] = _rate(_within(F.count_if(condition), by_time, frame.seconds), n)
-    columns |= _lags(Window.partitionBy(*line.entity, apart).orderBy(*line.sequence), previous)
-    return df.withColumns({name: F.when(dated, column) for name, column in columns.items()})
-
-
-# --- hot timelines ---------------------------------------------------------
-
-
-def _with_slices(df: DataFrame, line: Timeline, rows: int) -> DataFrame:
-    """Number the slice each row falls in, per entity, along (at, order).
-
-    One row in ``every`` is a splitter, picked by a hash of its own columns:
-    the same rows on every evaluation, and at most ``MAX_SPLITTERS`` of them
-    by expectation however large the data, which is what bounds the broadcast.
-    """
-    every = max(line.hot_rows // 4, -(-rows // MAX_SPLITTERS), 1)
-    key = F.struct(*line.sequence)
-    picked = (
-        df.select(*line.entity, key.alias("_key"))
-        .where(F.pmod(F.xxhash64(*[F.col(c) for c in line.entity], F.col("_key")), F.lit(every)) == 0)
-        .distinct()
-        .groupBy(*line.entity)
-        .agg(F.array_sort(F.collect_list("_key")).alias("_splitters"))
-        .select(*[F.col(c).alias(f"_of_{i}") for i, c in enumerate(line.entity)], "_splitters")
-        # powers of two up to the number of splitters, the largest first
-        .withColumn("_bits", F.floor(F.log2(F.size("_splitters"))).cast("int"))
-        .withColumn("_steps", F.transform(F.sequence("_bits", F.lit(0)), lambda b: F.pow(F.lit(2), b).cast("int")))
-    )
-    small = F.broadcast(picked)
-    condition = null_safe(df, small, list(line.entity), [f"_of_{i}" for i in range(len(line.entity))])
-    joined = df.join(small, condition, "left").withColumn("_key", key)
-
-    def advance(found: Column, step: Column) -> Column:
-        # beyond the end the splitter is null and the search stays where it is
-        return F.when(F.get("_splitters", found + step - 1) <= F.col("_key"), found + step).otherwise(found)
-
-    at_or_before = F.coalesce(F.aggregate("_steps", F.lit(0), advance), F.lit(0))
-    return joined.withColumn("_slice", at_or_before).select(*df.columns, "_slice")
-
-
-def _sliced(df: DataFrame, line: Timeline, trailing, previous, rows: int) -> DataFrame:
-    sliced = _with_slices(df, line, rows)
-    out = _previous_in_slices(sliced, line, previous) if previous else sliced
-    if trailing:
-        cells = _framed_cells(sliced, line, trailing)
-        keys = [*line.entity, "_slice", line.at]
-        names = [f"_k{i}" for i in range(len(keys))]
-        cells = cells.withColumnsRenamed(dict(zip(keys, names)))
-        # a key is one second of one slice, so no hot timeline meets here
-        out = out.join(cells, null_safe(out, cells, keys, names), "left").drop(*names)
-    return out.drop("_slice")
-
-
-def _previous_in_slices(df: DataFrame, line: Timeline, previous: dict[str, int]) -> DataFrame:
+def _with_previous(df: DataFrame, line: Timeline, previous: dict[str, int]) -> DataFrame:
     """``lag`` with windows over slices and, for the first rows of each, over slice edges.
 
     The edge rows of a slice are its first and last ``depth`` rows. Put in
@@ -201,7 +119,8 @@ def _previous_in_slices(df: DataFrame, line: Timeline, previous: dict[str, int])
     """
     depth = max(previous.values())
     columns = df.columns
-    inside = Window.partitionBy(*line.entity, "_slice").orderBy(*line.sequence)
+    dated = F.col(line.at).isNotNull()
+    inside = Window.partitionBy(*line.entity, dated, "_slice").orderBy(*line.sequence)
     numbered = df.withColumns(
         {
             "_nth": F.row_number().over(inside),
@@ -209,37 +128,37 @@ def _previous_in_slices(df: DataFrame, line: Timeline, previous: dict[str, int])
             **_lags(inside, previous),
         }
     )
-    inner = numbered.where(F.col("_nth") > depth).drop("_nth", "_is_tail")
-    edges = numbered.where((F.col("_nth") <= depth) | F.col("_is_tail")).select(*columns, "_nth")
+    names = list(_lags(inside, previous))
+    inner = numbered.where((F.col("_nth") > depth) | ~dated)
+    inner = inner.withColumns({n: F.when(dated, F.col(n)) for n in names}).drop("_nth", "_is_tail")
+    edges = numbered.where(dated & ((F.col("_nth") <= depth) | F.col("_is_tail"))).select(*columns, "_nth")
     across = Window.partitionBy(*line.entity).orderBy(*line.sequence)
     heads = edges.withColumns(_lags(across, previous)).where(F.col("_nth") <= depth).drop("_nth")
     return inner.unionByName(heads)
 
 
 def _framed_cells(df: DataFrame, line: Timeline, trailing: Sequence[Trailing]) -> DataFrame:
-    """Range frames over per-second counts: one row per (entity, slice, second).
-
-    A window partition is a time bucket as wide as the longest frame, with the
-    one before it as context: at most two frames' worth of seconds and slices.
-    """
+    """Range frames over counts of a second: one row per (entity, second)."""
     entity, at = list(line.entity), line.at
     width = max(frame.seconds for frame in trailing)
     rates = {(f.name, r): c for f in trailing for r, c in f.rates.items()}
-    hits = {key: f"_hits_{i}" for i, key in enumerate(rates)}
-    cells = df.groupBy(*entity, "_slice", at).agg(
-        F.count("*").alias("_n"), *[F.count_if(c).alias(hits[key]) for key, c in rates.items()]
+    # A condition that several frames count is counted once.
+    hits = {str(c): f"_hits_{i}" for i, c in enumerate(rates.values())}
+    counted = {hits[str(c)]: c for c in rates.values()}
+    cells = df.where(F.col(at).isNotNull()).groupBy(*entity, at).agg(
+        F.count("*").alias("_n"), *[F.count_if(c).alias(name) for name, c in counted.items()]
     )
     bucket = F.floor(F.col(at) / width)
     copies = F.array(
-        F.struct(bucket.alias("bucket"), F.lit(True).alias("own")),
-        F.struct((bucket + 1).alias("bucket"), F.lit(False).alias("own")),
+        F.struct(bucket.alias("_bucket"), F.lit(True).alias("_own")),
+        F.struct((bucket + 1).alias("_bucket"), F.lit(False).alias("_own")),
     )
     spread = cells.select("*", F.inline(copies))
-    by_time = Window.partitionBy(*entity, "bucket").orderBy(at)
+    by_time = Window.partitionBy(*entity, "_bucket").orderBy(at)
     columns: dict[str, Column] = {}
     for frame in trailing:
         n = _within(F.sum("_n"), by_time, frame.seconds)
         columns[f"{frame.name}_n"] = n
-        for name in frame.rates:
-            columns[f"{frame.name}_{name}"] = _rate(_within(F.sum(hits[frame.name, name]), by_time, frame.seconds), n)
-    return spread.withColumns(columns).where("own").select(*entity, "_slice", at, *columns)
+        for name, condition in frame.rates.items():
+            columns[f"{frame.name}_{name}"] = _rate(_within(F.sum(hits[str(condition)]), by_time, frame.seconds), n)
+    return spread.withColumns(columns).where("_own").select(*entity, at, *columns)

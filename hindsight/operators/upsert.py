@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hindsight.session import broadcast_if_small, null_safe
+from hindsight.session import null_safe
 
 
 class DuplicateKeys(ValueError):
@@ -26,10 +26,9 @@ def require_unique(df: DataFrame, keys: list[str]) -> None:
 
 
 def _rows_not_in(target: DataFrame, source_keys: DataFrame, keys: list[str]) -> DataFrame:
-    # Few touched keys: broadcast them and leave the target where it lies.
-    # Many: a sorted merge of both, where AQE splits hot partitions of the target.
-    touched = broadcast_if_small(source_keys)
-    return target.join(touched, null_safe(target, touched, keys), "left_anti")
+    # Spark broadcasts the keys if their size in bytes is known to be small. Otherwise
+    # it is a sorted merge of both, where AQE splits hot partitions of the target.
+    return target.join(source_keys, null_safe(target, source_keys, keys), "left_anti")
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], check: bool = True) -> DataFrame:

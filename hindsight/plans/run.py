@@ -12,11 +12,11 @@ from hindsight.config import Settings
 from hindsight.operators.checks import enforce
 from hindsight.operators.latest import SNAPSHOT_ORDER, latest_per_key
 from hindsight.plans.checks import layer_report
-from hindsight.plans.gold import feature_table
+from hindsight.plans.gold import dashboard_games, feature_table
 from hindsight.plans.silver import build_games, build_moves
 from hindsight.schemas import BRONZE, GAME_KEY
-from hindsight.session import broadcast_if_small, configure, staged
-from hindsight.sources.tables import PartitionedTable, VersionedTable
+from hindsight.session import configure, null_safe, staged
+from hindsight.sources.tables import PartitionedTable, VersionedTable, create_namespaces, create_view, publish
 from hindsight.streaming.ingest import document_stream, ingest_stream, payload_stream
 
 MONTH = "activity_month"
@@ -74,12 +74,15 @@ def apply_snapshots(
         held = layout.games.holding(fresh, GAME_KEY)
         newest = fresh
         if held:
-            keys = broadcast_if_small(fresh.select(*GAME_KEY))
-            stored = layout.games.rows_in(held, like=fresh).join(keys, GAME_KEY, "left_semi")
+            keys = fresh.select(*GAME_KEY)
+            stored = layout.games.rows_in(held, like=fresh)
+            stored = stored.join(keys, null_safe(stored, keys, GAME_KEY), "left_semi")
             newest = latest_per_key(fresh.unionByName(stored), GAME_KEY, list(SNAPSHOT_ORDER))
         with staged(newest, "newest") as settled:
-            layout.games.upsert(settled, GAME_KEY, check=False, held=held)
+            # Moves first: until games are written they still name the old months, so
+            # a run that died in between finds and replaces the same moves again.
             layout.moves.replace_groups(moves_by_month(settled, settings), settled, GAME_KEY, held=held)
+            layout.games.upsert(settled, GAME_KEY, check=False, held=held)
 
 
 def refresh_silver(layout: Layout, accounts: DataFrame, friends: DataFrame, settings: Settings = Settings()) -> None:
@@ -106,23 +109,46 @@ def refresh(
     friends: DataFrame,
     settings: Settings = Settings(),
     landed_as: str = "documents",
+    catalog: str | None = None,
 ) -> list[tuple[str, bool, str]]:
     """Bronze, silver, gold, checks, in this order; raises after the full report if a check fails.
 
     Bronze and silver take in only what is new. Gold is a projection of silver
     and rebuilt whole, as any new game may be context for later ones. Every
     layer is written and read back before the next one uses it, so a lost
-    executor costs tasks, not the run.
+    executor costs tasks, not the run. With ``catalog``, a prefix of schema
+    names that may be empty, the layers are then there by name.
     """
     spark = configure(layout.spark)
     source = {"documents": document_stream, "rows": payload_stream}[landed_as]
     ingest_stream(source(spark, landing), layout.path("bronze"), layout.path("_checkpoints/bronze"))
     refresh_silver(layout, accounts, friends, settings)
     games, moves = layout.games.read(), layout.moves.read()
-    layout.gold.write(feature_table(games, moves, settings))
+    layout.gold.write(feature_table(games, settings))
+    if catalog is not None:
+        publish_layers(layout, catalog, settings)
     return enforce(layer_report(layout.bronze(), games, moves, layout.gold.read(), settings))
 
 
+def publish_layers(layout: Layout, prefix: str = "", settings: Settings = Settings()) -> None:
+    """Layers and dashboard rows as views ``<prefix>silver.games`` and so on; they show the state of this run."""
+    spark = layout.spark
+    create_namespaces(spark, prefix)
+    publish(spark, f"`{prefix}silver`.games", layout.games)
+    publish(spark, f"`{prefix}silver`.moves", layout.moves)
+    publish(spark, f"`{prefix}gold`.game_features", layout.gold)
+    create_view(spark, f"`{prefix}bronze`.snapshots", f"SELECT * FROM parquet.`{layout.path('bronze')}`")
+    dashboard = VersionedTable(spark, layout.path("dashboard_games"))
+    dashboard.write(dashboard_games(spark.table(f"`{prefix}silver`.games").drop("pgn"), settings))
+    publish(spark, f"`{prefix}gold`.dashboard_games", dashboard)
+
+
+def settings_of(args: argparse.Namespace) -> Settings:
+    """Settings with whatever the command line says otherwise."""
+    chosen = {k: v for k, v in vars(args).items() if k in Settings.__dataclass_fields__ and v is not None}
+    return Settings(**chosen | ({"openings": tuple(chosen["openings"])} if "openings" in chosen else {}))
+
+
 def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--landing", required=True, help="folder of landed snapshots")
@@ -130,10 +156,19 @@ def main() -> None:
     parser.add_argument("--root", required=True, help="folder of all tables, on shared storage")
     parser.add_argument("--accounts", required=True, help="Parquet of account, person_id, account_code")
     parser.add_argument("--friends", required=True, help="Parquet of person_id, opponent")
+    parser.add_argument("--catalog", help="publish the layers as views, schema names with this prefix")
+    parser.add_argument("--zone", help="time zone of local hours and weekdays")
+    parser.add_argument("--rules", help="rules of the population")
+    parser.add_argument("--time-class", help="time class of the population")
+    parser.add_argument("--openings", nargs="+", help="openings with a column of their own")
+    parser.add_argument("--min-games", type=int, help="fail below so many games")
+    parser.add_argument("--min-population", type=int, help="fail below so many games of the population")
     args = parser.parse_args()
     spark = SparkSession.builder.appName("hindsight").getOrCreate()
     accounts, friends = spark.read.parquet(args.accounts), spark.read.parquet(args.friends)
-    report = refresh(args.landing, Layout(spark, args.root), accounts, friends, landed_as=args.landed_as)
+    report = refresh(
+        args.landing, Layout(spark, args.root), accounts, friends, settings_of(args), args.landed_as, args.catalog
+    )
     for name, _, detail in report:
         print(f"[PASS] {name}: {detail}")
 

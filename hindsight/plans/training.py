@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import argparse
 import math
 import random
 from collections.abc import Sequence
@@ -13,13 +14,14 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hindsight.config import MODEL_FEATURES
 from hindsight.operators import metrics
 from hindsight.operators.splits import chronological_split, class_weights, stratified_folds, with_class_weights
-from hindsight.sources.extract import require_columns
+from hindsight.session import stage
+from hindsight.sources.extract import read_features, require_columns
 
 # Weight multipliers of won, draw, lost.
 MULTIPLIERS = {0: 100, 1: 1, 2: 100}
@@ -33,20 +35,21 @@ def model_frame(
     table: DataFrame,
     features: Sequence[str] = MODEL_FEATURES,
     label: str = "Result",
-    keep: Sequence[str] = ("game_uuid", "start_ts"),
+    keep: Sequence[str] = ("game_uuid", "account_id", "start_ts"),
     log_of: Sequence[str] = ("TimeSinceLast",),
 ) -> DataFrame:
     """Named features as doubles with gaps filled and flagged, logs taken, and ``label``.
 
-    MLlib takes no nulls: a feature that may be null becomes 0 with a
-    ``<name>_missing`` column beside it.
+    MLlib takes no nulls: a feature that may be null, as its schema says,
+    becomes 0 with a ``<name>_missing`` column beside it.
     """
     require_columns(table, [*features, label, *keep])
+    nullable = {f.name for f in table.schema if f.nullable}
     columns = []
     for name in features:
         value = (log_scale(name) if name in log_of else F.col(name)).cast("double")
         columns.append(F.coalesce(value, F.lit(0.0)).alias(name))
-        if name in log_of:
+        if name in nullable:
             columns.append(value.isNull().cast("double").alias(f"{name}_missing"))
     return table.select(*keep, *columns, F.col(label).cast("double").alias("label"))
 
@@ -96,9 +99,12 @@ def random_search(
 ) -> tuple[dict, list[float]]:
     """Parameters of the least mean validation log loss over stratified folds, and all means.
 
-    ``train`` holds ``features``, ``label`` and an ``id``.
+    ``train`` holds ``features``, ``label`` and a ``group``; rows of a group are in one fold, which
+    is drawn by the least label among them.
     """
-    folded = stratified_folds(train, "label", "id", folds, seed)
+    groups = train.groupBy("group").agg(F.min("label").alias("label"))
+    drawn = stratified_folds(groups, "label", "group", folds, seed).select("group", "fold")
+    folded = stage(train.join(drawn, "group"), "folds")
     points = random_points(estimator, trials, seed)
     search = CrossValidator(
         estimator=estimator,
@@ -126,7 +132,8 @@ def train(
     features: Sequence[str] = MODEL_FEATURES,
     label: str = "Result",
     time: str = "start_ts",
-    identity: str = "game_uuid",
+    group: str = "game_uuid",
+    view: str | None = "account_id",
     test_share: float = 0.1,
     trials: int = 25,
     folds: int = 10,
@@ -135,14 +142,21 @@ def train(
 ) -> Trained:
     """Holdout by time, search on the training rows, weighted final fit, predictions on the holdout.
 
-    Class weights enter the final fit only, not the search.
+    A row is named by ``group`` and ``view``: a game that two tracked people
+    played is two rows, which are always on the same side of the cut and in the
+    same fold. Class weights enter the final fit only, not the search.
     """
     estimator = estimator or forest(seed)
-    keep = (identity, time)
-    split = chronological_split(model_frame(table, features, label, keep), time, identity, test_share)
+    views = [view] if view else []
+    keep = (group, *views, time)
+    split = chronological_split(model_frame(table, features, label, keep), time, group, test_share)
     inputs = input_columns(split, keep)
     assembler = VectorAssembler(inputCols=inputs, outputCol="features")
-    ready = assembler.transform(split.withColumnRenamed(identity, "id")).select("id", "features", "label", "split")
+    ready = assembler.transform(split).select(
+        F.concat_ws("/", group, *views).alias("id"), F.col(group).alias("group"), "features", "label", "split"
+    )
+    # Written once: the search goes over it for every fold and every parameter set.
+    ready = stage(ready, "model-frame")
     past, future = ready.where("split = 'train'"), ready.where("split = 'test'")
     losses: list[float] = []
     point: dict = {}
@@ -189,3 +203,23 @@ def save_artefacts(trained: Trained, path: str) -> None:
     confusion.write.mode("overwrite").parquet(f"{path}/confusion")
 
 
+def main() -> None:
+    parser = argparse.ArgumentParser(description=__doc__)
+    parser.add_argument("--features", required=True, help="gold feature table, Parquet")
+    parser.add_argument("--out", required=True, help="folder for model, feature list, importances, confusion counts")
+    parser.add_argument("--model", choices=["forest", "logistic"], default="forest")
+    parser.add_argument("--trials", type=int, default=25)
+    parser.add_argument("--folds", type=int, default=10)
+    parser.add_argument("--test-share", type=float, default=0.1)
+    parser.add_argument("--seed", type=int, default=999)
+    args = parser.parse_args()
+    spark = SparkSession.builder.appName("hindsight-train").getOrCreate()
+    table = read_features(spark, args.features, [*MODEL_FEATURES, "Result", "game_uuid", "account_id", "start_ts"])
+    estimator = forest(args.seed) if args.model == "forest" else logistic()
+    trained = train(table, estimator, test_share=args.test_share, trials=args.trials, folds=args.folds, seed=args.seed)
+    save_artefacts(trained, args.out)
+    print(evaluation(trained).first().asDict())
+
+
+if __name__ == "__main__":
+    main()

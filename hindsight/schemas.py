@@ -10,7 +10,13 @@ GAME = (
     f"white: {PLAYER}, black: {PLAYER}>"
 )
 SNAPSHOT = f"games array<{GAME}>"
-BRONZE = f"{SNAPSHOT}, _source_file string, _file_modified_at timestamp, _ingested_at timestamp"
+BRONZE = f"{SNAPSHOT}, _source_file string, _file_modified_at timestamp, _ingested_at timestamp, _raw string"
+
+# Columns of silver games that a field of the document becomes as it is.
+GAME_FIELDS = {
+    "url": "url", "rated": "rated", "time_class": "time_class", "rules": "rules", "time_control": "time_control",
+    "eco_url": "eco", "pgn": "pgn",
+}
 
 # Column contracts with types, checked before anything is built on a table.
 GAMES_CONTRACT = {

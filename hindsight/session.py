@@ -1,8 +1,7 @@
-"""Session settings, shared work folders and size-checked broadcasts."""
+"""Session settings and shared work folders."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -45,6 +44,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.warehouse.dir", f"/tmp/hindsight-{uuid.uuid4().hex}")
     )
     spark = configure(builder.getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
@@ -52,15 +52,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder.
+    """A fresh folder on storage that the driver and all executors share.
 
-    ``spark.checkpoint.dir`` is read from the session. Only where it is unset
-    (local runs and tests) one is made and kept for the life of the session.
+    Below ``spark.checkpoint.dir`` as the session names it; where that is unset,
+    below the warehouse, which is shared as well. Never a folder of one machine.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="hindsight-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = base or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -87,20 +85,6 @@ def staged(df: DataFrame, name: str = "stage") -> Iterator[DataFrame]:
         delete(spark, path)
 
 
-def at_most(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` has no more than ``max_rows`` rows; reads no further than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
-    """Mark a narrow key table for broadcast when a count proves it small.
-
-    Beyond the bound the frame comes back unmarked, so that the join shuffles
-    and AQE may split whichever key is hot.
-    """
-    return F.broadcast(df) if at_most(df, max_rows) else df
-
-
 def null_safe(left: DataFrame, right: DataFrame, left_keys: list[str], right_keys: list[str] | None = None):
     """Join condition under which a null key equals a null key."""
     condition = F.lit(True)

@@ -2,22 +2,29 @@
 
 from __future__ import annotations
 
-from itertools import islice
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hindsight.schemas import BRONZE, SNAPSHOT
-from hindsight.session import staged
 
 
-def with_provenance(snapshots: DataFrame) -> DataFrame:
-    """Adds which file a row came from, when that was written, and when it was read."""
-    return snapshots.select(
-        "*",
-        F.col("_metadata.file_path").alias("_source_file"),
+def _decoded(path: Column) -> Column:
+    """A file path as it was given: ``_metadata`` encodes blanks, percent signs and other letters."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def parse_documents(files: DataFrame, schema: str = SNAPSHOT) -> DataFrame:
+    """Whole files (``value``) as bronze rows: the fields of ``schema``, the text as it came, and where from.
+
+    Fields that ``schema`` doesn't name are in ``_raw``; ``reopened`` reads them later.
+    """
+    opened = files.withColumn("_doc", F.from_json("value", schema))
+    return opened.select(
+        "_doc.*",
+        _decoded(F.col("_metadata.file_path")).alias("_source_file"),
         F.col("_metadata.file_modification_time").alias("_file_modified_at"),
         F.current_timestamp().alias("_ingested_at"),
+        F.col("value").alias("_raw"),
     )
 
 
@@ -30,18 +37,19 @@ def parse_payloads(rows: DataFrame, schema: str = SNAPSHOT) -> DataFrame:
     """
     opened = rows.withColumn("_doc", F.from_json("payload", schema))
     fetched = F.date_format("fetched_at", "yyyyMMdd'T'HHmmss.SSSSSS'Z'")
+    path = _decoded(F.col("_metadata.file_path"))
     return opened.select(
         "_doc.*",
-        F.concat("_metadata.file_path", F.lit("?fetched="), fetched, F.lit("&username="), "username").alias("_source_file"),
+        F.concat(path, F.lit("?fetched="), fetched, F.lit("&username="), "username").alias("_source_file"),
         F.col("fetched_at").alias("_file_modified_at"),
         F.current_timestamp().alias("_ingested_at"),
+        F.col("payload").alias("_raw"),
     )
 
 
-def read_documents(spark: SparkSession, paths: str | list[str], schema: str = SNAPSHOT) -> DataFrame:
-    """Multi-line JSON documents, one row per file."""
-    reader = spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True)
-    return with_provenance(reader.json(paths))
+def reopened(bronze: DataFrame, schema: str) -> DataFrame:
+    """Bronze with its documents read anew by another schema: for fields that the first one didn't name."""
+    return bronze.withColumn("_doc", F.from_json("_raw", schema)).select("_doc.*", *[c for c in bronze.columns if c.startswith("_")])
 
 
 def infer_schema(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> str:
@@ -50,34 +58,6 @@ def infer_schema(spark: SparkSession, path: str, sampling_ratio: float = 1.0) ->
     return reader.option("recursiveFileLookup", True).json(path).schema.simpleString()
 
 
-def new_files(spark: SparkSession, path: str, bronze: DataFrame | None) -> DataFrame:
-    """Files below ``path`` that bronze has no row of."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    listed = files.select(F.col("path").alias("_source_file"))
-    if bronze is None:
-        return listed
-    return listed.join(bronze.select("_source_file").distinct(), "_source_file", "left_anti")
-
-
-def ingest_batch(
-    spark: SparkSession, path: str, bronze_path: str, schema: str = SNAPSHOT, files_per_batch: int = 50_000
-) -> int:
-    """Append each file below ``path`` once; a second run appends nothing.
-
-    Needs no checkpoint: bronze itself says what has been read. File names
-    reach the driver in batches, as they do for any file source; file contents
-    do not. Returns the number of files appended.
-    """
-    bronze = read_bronze(spark, bronze_path)
-    with staged(new_files(spark, path, bronze), "files") as todo:
-        names = (row[0] for row in todo.toLocalIterator())
-        total = 0
-        while batch := list(islice(names, files_per_batch)):
-            read_documents(spark, batch, schema).write.mode("append").parquet(bronze_path)
-            total += len(batch)
-    return total
-
-
 def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame | None:
     """Bronze with the union of all fields ever written; None before the first file."""
     location = spark._jvm.org.apache.hadoop.fs.Path(bronze_path)
@@ -112,5 +92,5 @@ def dedup_preview(bronze: DataFrame) -> DataFrame:
 
 
 def sample_games(bronze: DataFrame, n: int = 1) -> DataFrame:
-    """Some raw game objects, flattened, to look at."""
-    return bronze.select(F.explode("games").alias("g")).select("g.*").limit(n)
+    """Some raw game objects, flattened, to look at: those of the least keys, so the same ones each time."""
+    return bronze.select(F.explode("games").alias("g")).select("g.*").orderBy(F.asc_nulls_last("uuid"), "url", "end_time").limit(n)

@@ -5,6 +5,7 @@ One writer per table is assumed, as there is no commit log to arbitrate.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -13,9 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hindsight.operators.upsert import require_unique, upsert, upsert_groups
-from hindsight.session import broadcast_if_small, delete, null_safe, staged
+from hindsight.session import delete, null_safe, staged
 
 LAYERS = ("bronze", "silver", "gold")
+#: Names the folder of one write of a partitioned table; no table may have such a column.
+WRITE = "table_write"
 
 
 def _files(spark: SparkSession, path: str):
@@ -91,50 +94,111 @@ class VersionedTable:
         with staged(df) as source:
             return self.write(upsert_groups(self.read(), source, group) if self.exists() else source)
 
+    def vacuum(self, keep: int = 1) -> None:
+        """Delete all but the newest ``keep`` versions; nothing goes on its own."""
+        for version in self.versions()[:-keep]:
+            delete(self.spark, self.location(version))
+
 
 @dataclass(frozen=True)
 class PartitionedTable:
-    """A folder of partitions, of which an upsert rewrites only those it touches.
-
-    For tables too large to write anew. Spark stages the new files and swaps
-    whole partitions when the job commits; a reader in that moment may see
-    some old and some new ones. Replaying an upsert changes nothing.
+    """Partitions of which an upsert writes only those it touches, for tables too large to write anew.
+
+    Every write goes to a folder of its own, ``table_write=<n>/<partition>=<value>``, and
+    nothing is ever written over. A manifest names the folder that each
+    partition is now read from; the write counts from the moment the next
+    manifest is renamed into place. A crash before that leaves the table as it
+    was, and the next write takes the same number and replaces what was left.
+    Folders that no manifest names go by ``vacuum``, never on their own.
     """
 
     spark: SparkSession
     path: str
     partition: str
 
+    def manifests(self) -> list[int]:
+        files, location = _files(self.spark, f"{self.path}/_manifests")
+        if not files.exists(location):
+            return []
+        names = [s.getPath().getName() for s in files.listStatus(location)]
+        return sorted(int(n) for n in names if n.isdigit())
+
+    def manifest(self, number: int | None = None) -> dict[str, str]:
+        """Folder below ``path`` by partition folder name; one entry a partition."""
+        number = max(self.manifests(), default=None) if number is None else number
+        if number is None:
+            return {}
+        files, location = _files(self.spark, f"{self.path}/_manifests/{number:010d}")
+        stream = files.open(location)
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def _commit(self, entries: dict[str, str], number: int) -> None:
+        files, target = _files(self.spark, f"{self.path}/_manifests/{number:010d}")
+        _, draft = _files(self.spark, f"{self.path}/_drafts/{number:010d}")
+        stream = files.create(draft, True)
+        try:
+            stream.write(bytearray(json.dumps(entries, sort_keys=True).encode()))
+        finally:
+            stream.close()
+        files.mkdirs(target.getParent())
+        if not files.rename(draft, target):
+            raise RuntimeError(f"{target} is there already: a second writer?")
+
     def exists(self) -> bool:
-        return exists(self.spark, self.path)
+        return bool(self.manifests())
+
+    def _load(self, entries: dict[str, str], schema: T.StructType | None = None) -> DataFrame:
+        reader = self.spark.read.option("basePath", self.path)
+        folders = [f"{self.path}/{folder}/{name}" for name, folder in sorted(entries.items())]
+        if schema is not None:
+            return reader.schema(schema).parquet(*folders).drop(WRITE)
+        return reader.option("mergeSchema", True).parquet(*folders).drop(WRITE)
 
     def read(self, like: DataFrame | None = None) -> DataFrame:
         """All rows; with ``like`` its column types win and its new columns are there, null."""
-        reader = self.spark.read.option("mergeSchema", True)
-        have = reader.parquet(self.path)
+        return self._typed(self.manifest(), like)
+
+    def _typed(self, entries: dict[str, str], like: DataFrame | None) -> DataFrame:
+        if not entries:
+            if like is None:
+                raise FileNotFoundError(f"no rows below {self.path}")
+            return like.limit(0)
+        have = self._load(entries)
         kinds = {self.partition: T.StringType()}
         kinds |= {} if like is None else {f.name: f.dataType for f in like.schema}
         fields = [T.StructField(f.name, kinds.pop(f.name, f.dataType)) for f in have.schema]
         fields += [T.StructField(name, kind) for name, kind in kinds.items()]
-        return self.spark.read.schema(T.StructType(fields)).parquet(self.path)
+        return self._load(entries, T.StructType(fields))
 
     def holding(self, keys_of: DataFrame, keys: list[str]) -> list[str | None]:
         """Partitions that now hold one of the keys: a scan of the key columns only."""
-        if not self.exists():
+        entries = self.manifest()
+        if not entries:
             return []
         fields = [keys_of.schema[k] for k in keys if k != self.partition]
-        schema = T.StructType([*fields, T.StructField(self.partition, T.StringType())])
-        target = self.spark.read.schema(schema).parquet(self.path)
-        small = broadcast_if_small(keys_of.select(*keys).distinct())
-        held = target.join(small, null_safe(target, small, keys), "left_semi")
+        target = self._load(entries, T.StructType([*fields, T.StructField(self.partition, T.StringType())]))
+        wanted = keys_of.select(*keys).distinct()
+        held = target.join(wanted, null_safe(target, wanted, keys), "left_semi")
         return [row[0] for row in held.select(self.partition).distinct().collect()]
 
+    def _folder(self, value: str | None) -> str:
+        """Name of a partition's folder as Spark writes it."""
+        escape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+        return f"{self.partition}=" + ("__HIVE_DEFAULT_PARTITION__" if value is None else escape(value))
+
+    def value_of(self, folder: str) -> str | None:
+        """The partition value that a folder is named for."""
+        name = folder.partition("=")[2]
+        unescape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+        return None if name == "__HIVE_DEFAULT_PARTITION__" else unescape(name)
+
     def rows_in(self, partitions: Sequence[str | None], like: DataFrame | None = None) -> DataFrame:
-        """Rows of some partitions, named by literals so that the scan reads no others."""
-        wanted = F.col(self.partition).isin([p for p in partitions if p is not None])
-        if None in partitions:
-            wanted = wanted | F.col(self.partition).isNull()
-        return self.read(like).where(wanted)
+        """Rows of some partitions; no other folder is read."""
+        names = {self._folder(p) for p in partitions}
+        return self._typed({n: f for n, f in self.manifest().items() if n in names}, like)
 
     def upsert(
         self, df: DataFrame, keys: list[str], check: bool = True, held: Sequence[str | None] | None = None
@@ -156,27 +220,41 @@ class PartitionedTable:
             self._replace(source, groups.select(*keys).distinct(), keys, held)
 
     def _replace(self, source: DataFrame, touched: DataFrame, keys: list[str], held) -> None:
-        if not self.exists():
-            self._write(source, "errorifexists")
-            return
         # Touched are the partitions of the new rows and those now holding one of
         # the keys: a row that moves to another partition leaves no copy behind.
-        names = set(self.holding(touched, keys) if held is None else held)
-        names |= {row[0] for row in source.select(self.partition).distinct().collect()}
-        affected = self.rows_in(sorted(names, key=str), like=source)
-        small = broadcast_if_small(touched)
-        kept = affected.join(small, null_safe(affected, small, keys), "left_anti")
+        entries = self.manifest()
+        values = set(self.holding(touched, keys) if held is None else held)
+        values |= {row[0] for row in source.select(self.partition).distinct().collect()}
+        affected = self.rows_in(sorted(values, key=str), like=source)
+        kept = affected.join(touched, null_safe(affected, touched, keys), "left_anti")
         merged = kept.unionByName(source, allowMissingColumns=True)
-        left = {row[0] for row in merged.select(self.partition).distinct().collect()}
-        self._write(merged, "overwrite")
-        for name in names - left:  # nothing was written over these
-            folder = "__HIVE_DEFAULT_PARTITION__" if name is None else name
-            delete(self.spark, f"{self.path}/{self.partition}={folder}")
-
-    def _write(self, df: DataFrame, mode: str) -> None:
+        number = max(self.manifests(), default=0) + 1
+        folder = f"{WRITE}={number:010d}"
         # one task per partition, or several where AQE finds one large
-        even = df.hint("rebalance", self.partition).write.mode(mode).partitionBy(self.partition)
-        even.option("partitionOverwriteMode", "dynamic").parquet(self.path)
+        even = merged.hint("rebalance", self.partition).write.mode("overwrite").partitionBy(self.partition)
+        even.parquet(f"{self.path}/{folder}")
+        # What was written says which partitions there are now; the others of the touched ones are empty.
+        files, location = _files(self.spark, f"{self.path}/{folder}")
+        written = {s.getPath().getName() for s in files.listStatus(location) if s.isDirectory()}
+        emptied = {self._folder(v) for v in values}
+        entries = {n: f for n, f in entries.items() if n not in emptied} | {n: folder for n in written}
+        self._commit(entries, number)
+
+    def vacuum(self, keep: int = 1) -> None:
+        """Delete folders that the newest ``keep`` manifests don't name, and the older manifests."""
+        numbers = self.manifests()
+        newest = numbers[-keep:]
+        named = {f"{folder}/{name}" for n in newest for name, folder in self.manifest(n).items()}
+        files, location = _files(self.spark, self.path)
+        for n in numbers[:-keep]:
+            delete(self.spark, f"{self.path}/_manifests/{n:010d}")
+        for version in [s.getPath() for s in files.listStatus(location) if s.getPath().getName().startswith(f"{WRITE}=")]:
+            parts = [s.getPath().getName() for s in files.listStatus(version) if s.isDirectory()]
+            used = [p for p in parts if f"{version.getName()}/{p}" in named]
+            for p in [p for p in parts if p not in used]:
+                delete(self.spark, f"{self.path}/{version.getName()}/{p}")
+            if not used:
+                delete(self.spark, f"{self.path}/{version.getName()}")
 
 
 def create_namespaces(spark: SparkSession, prefix: str = "") -> None:
@@ -184,10 +262,21 @@ def create_namespaces(spark: SparkSession, prefix: str = "") -> None:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{prefix}{layer}`")
 
 
-def publish(spark: SparkSession, name: str, table: VersionedTable) -> None:
-    """Point the catalog name at the current version; one catalog write, so readers switch at once."""
-    location = table.location(table.current())
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{location}`")
+def publish(spark: SparkSession, name: str, table: VersionedTable | PartitionedTable) -> None:
+    """Point the catalog name at what the table now is; one catalog write, so readers switch at once."""
+    if isinstance(table, VersionedTable):
+        query = f"SELECT * FROM parquet.`{table.location(table.current())}`"
+    else:
+        columns = [c for c in table.read().columns if c != table.partition]
+        parts = []
+        for name_, folder in sorted(table.manifest().items()):
+            have = spark.read.parquet(f"{table.path}/{folder}/{name_}").columns
+            listed = ", ".join(f"`{c}`" if c in have else f"NULL AS `{c}`" for c in columns)
+            value = table.value_of(name_)
+            literal = "CAST(NULL AS STRING)" if value is None else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+            parts.append(f"SELECT {listed}, {literal} AS `{table.partition}` FROM parquet.`{table.path}/{folder}/{name_}`")
+        query = " UNION ALL ".join(parts)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
 
 
 def create_once(df: DataFrame, name: str) -> bool:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from hindsight.schemas import SNAPSHOT
-from hindsight.sources.bronze import parse_payloads, with_provenance
+from hindsight.sources.bronze import parse_documents, parse_payloads
 
 LANDED_ROWS = "payload string, username string, source_url string, fetched_at timestamp, game_count int"
 
@@ -14,9 +14,9 @@ LANDED_ROWS = "payload string, username string, source_url string, fetched_at ti
 def document_stream(
     spark: SparkSession, path: str, schema: str = SNAPSHOT, files_per_batch: int = 10_000
 ) -> DataFrame:
-    """Multi-line JSON documents as they land, one row per file."""
-    reader = spark.readStream.schema(schema).option("multiLine", True).option("recursiveFileLookup", True)
-    return with_provenance(reader.option("maxFilesPerTrigger", files_per_batch).json(path))
+    """JSON documents as they land, one row per file, whatever its lines."""
+    reader = spark.readStream.option("recursiveFileLookup", True).option("maxFilesPerTrigger", files_per_batch)
+    return parse_documents(reader.text(path, wholetext=True), schema)
 
 
 def payload_stream(
@@ -32,7 +32,7 @@ def ingest_stream(stream: DataFrame, bronze_path: str, checkpoint: str) -> Strea
     """Append all that is new, then stop. Running it again without new files appends nothing.
 
     The file sink commits each batch by name; read the result as any Parquet
-    folder. Use either this or ``ingest_batch`` on one folder, not both.
+    folder.
     """
     query = (
         stream.writeStream.format("parquet")
@@ -44,3 +44,12 @@ def ingest_stream(stream: DataFrame, bronze_path: str, checkpoint: str) -> Strea
     )
     query.awaitTermination()
     return query
+
+
+def ingest_batch(spark: SparkSession, path: str, bronze_path: str, schema: str = SNAPSHOT) -> int:
+    """Append each file below ``path`` once; returns how many there were. A second run appends nothing.
+
+    Which files have been read is remembered beside bronze; no file name passes through the driver here.
+    """
+    query = ingest_stream(document_stream(spark, path, schema), bronze_path, f"{bronze_path.rstrip('/')}_read")
+    return sum(p.numInputRows for p in query.recentProgress)

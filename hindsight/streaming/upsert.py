@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from hindsight.operators.latest import latest_per_key
+from hindsight.session import null_safe
 from hindsight.sources.tables import VersionedTable
 
 
@@ -31,7 +32,8 @@ def stream_upsert(
         incoming = prepare(batch)
         stored = table.before(version)
         if stored is not None:
-            touched = stored.join(incoming.select(*keys).distinct(), keys, "left_semi")
+            named = incoming.select(*keys).distinct()
+            touched = stored.join(named, null_safe(stored, named, keys), "left_semi")
             incoming = incoming.unionByName(touched, allowMissingColumns=True)
         fresh = latest_per_key(incoming, keys, newest_by)
         table.upsert(fresh, keys, version=version, check=False)

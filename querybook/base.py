@@ -19,15 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp") for c in zoneless}) if zoneless else df
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores where a table comes in fewer pieces than there are; large tables never do.
-
-    For queries that make much text of few input bytes.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 class Book:
     """Queries by name, with the SQL that must give the same rows."""
 

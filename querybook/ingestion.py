@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from hindsight.functions.text import names, path_value, year_month
 from hindsight.session import shared_dir
 from hindsight.sources import landing
-from hindsight.sources.bronze import ingest_batch, read_bronze
+from hindsight.sources.bronze import read_bronze, reopened
 from hindsight.sources.tables import VersionedTable
-from hindsight.streaming.ingest import ingest_stream, payload_stream
+from hindsight.streaming.ingest import ingest_batch, ingest_stream, payload_stream
 from hindsight.streaming.upsert import stream_upsert
 from querybook.base import Book, table
 from querybook.standins import snapshots
@@ -188,7 +188,7 @@ def _documents(spark, sf_dir, path):
         path_value("_source_file", "username").alias("username"), F.explode("games").alias("g")
     )
     sizes = rows.groupBy("username").agg(F.ceil(F.count("*") / 1000).alias("parts"))
-    split = rows.join(sizes, "username").withColumn("part", F.floor(F.rand(7) * F.col("parts")))
+    split = rows.join(sizes, "username").withColumn("part", F.pmod(F.xxhash64("g.uuid", "g.url"), F.col("parts")))
     documents = split.groupBy("username", "part").agg(F.to_json(F.struct(F.collect_list("g").alias("games"))).alias("d"))
     writer = documents.select("username", "d").hint("rebalance", "username").write.partitionBy("username")
     writer.option("maxRecordsPerFile", 1).text(path)
@@ -201,7 +201,7 @@ WITH {LANDED_SQL} SELECT account, CAST(sum(snapshots * copies) AS BIGINT) AS gam
 
 @book.add(GAME_ROWS_SQL)
 def batch_ingest(spark, sf_dir):
-    """JSON files into bronze by anti join with bronze; the second run finds nothing new."""
+    """JSON files into bronze; the second run finds nothing new."""
     path, bronze = shared_dir(spark, "documents"), shared_dir(spark, "bronze")
     _documents(spark, sf_dir, path)
     for _ in range(2):
@@ -209,6 +209,39 @@ def batch_ingest(spark, sf_dir):
     return _by_account(read_bronze(spark, bronze)).select("account", "game_rows")
 
 
+@book.add("""
+SELECT 'p ' || user_id || '+%é' AS account, count(*) AS games, count(DISTINCT event_id % 2) AS files,
+  CAST(coalesce(sum(event_id) FILTER (event_id % 2 = 1), 0) AS BIGINT) AS deep FROM events GROUP BY user_id
+""")
+def evolving_bronze(spark, sf_dir):
+    """Documents below odd names; later ones have a nested field that the schema doesn't name, and it is not lost."""
+    path, bronze = shared_dir(spark, "documents"), shared_dir(spark, "bronze")
+    events = table(spark, sf_dir, "events").selectExpr("concat('p ', user_id, '+%é') username", "event_id", "event_id % 2 later")
+    plain = F.struct(F.concat(F.lit("g"), "event_id").alias("uuid"))
+    wider = F.struct(F.concat(F.lit("g"), "event_id").alias("uuid"), F.struct(F.col("event_id").alias("deep")).alias("fresh"))
+    for later, fields in ((0, plain), (1, wider)):
+        documents = events.where(F.col("later") == later).groupBy("username", "later").agg(
+            F.to_json(F.struct(F.collect_list(fields).alias("games"))).alias("d")
+        )
+        documents.select("username", "d").write.mode("append").partitionBy("username").option("maxRecordsPerFile", 1).text(path)
+        for _ in range(2):
+            ingest_batch(spark, path, bronze)
+    opened = reopened(read_bronze(spark, bronze), "games array<struct<uuid: string, fresh: struct<deep: bigint>>>")
+    rows = opened.select(path_value("_source_file", "username").alias("account"), "_source_file", F.explode("games").alias("g"))
+    return rows.groupBy("account").agg(
+        F.count("*").alias("games"), F.count_distinct("_source_file").alias("files"), F.coalesce(F.sum("g.fresh.deep"), F.lit(0)).alias("deep")
+    )
+
+
+@book.add(f"WITH {LANDED_SQL} SELECT DISTINCT account, '2024' AS year, '01' AS month FROM s")
+def landed_files(spark, sf_dir):
+    """Months present after documents landed as files, from a listing of those files."""
+    path = shared_dir(spark, "files")
+    rows = payloads(spark, sf_dir).groupBy(F.col("account").alias("username"), "year", "month").agg(F.min("payload").alias("d"))
+    rows.write.partitionBy("username", "year", "month").text(path)
+    return landing.landed_partitions(spark, path)
+
+
 @book.add(
     "SELECT user_id, event_type, event_id FROM events "
     "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"

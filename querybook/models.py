@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from hindsight.config import MODEL_FEATURES
 from hindsight.operators import metrics, splits
 from hindsight.plans import training
 from hindsight.session import stage
+from hindsight.sources.extract import chronological
 from querybook.base import Book, table
 from querybook.layers import GOLD_SQL, features
 
@@ -47,10 +50,17 @@ def chronological_split(spark, sf_dir):
     return splits.chronological_split(events, "ts", "event_id", 0.1, small=5_000).select("event_id", "split")
 
 
-@book.add("SELECT event_id, ts FROM events ORDER BY ts, event_id LIMIT 100")
-def chronological_head(spark, sf_dir):
-    """The hundred earliest events, ties by id."""
-    return table(spark, sf_dir, "events").select("event_id", "ts").orderBy("ts", "event_id").limit(100)
+@book.add("SELECT event_id, row_number() OVER (ORDER BY ts, event_id) AS place FROM events", name="chronological_order")
+def in_order(spark, sf_dir):
+    """All events with their place in time, ties by id: places as the sorted extract has them."""
+    ordered = chronological(table(spark, sf_dir, "events").select("event_id", "ts"), "ts", "event_id")
+    # The sort's partitions follow each other; places are counted within each, on top of those before.
+    placed = stage(ordered.withColumn("part", F.spark_partition_id()), "ordered")
+    sizes = placed.groupBy("part").agg(F.count("*").alias("rows"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
+    nth = F.row_number().over(Window.partitionBy("part").orderBy("ts", "event_id"))
+    return placed.withColumn("nth", nth).join(starts, "part").select("event_id", (F.col("start") + F.col("nth")).alias("place"))
 
 
 @book.add(f"WITH {LABELLED_SQL} SELECT label, count(*) AS rows FROM d GROUP BY label")
@@ -79,14 +89,14 @@ def weighted_rows(spark, sf_dir):
 
 
 @book.add(
-    f"WITH {LABELLED_SQL}, n AS (SELECT label, count(*) AS rows FROM d GROUP BY label) SELECT label, fold::INT AS fold, "
-    "rows // 10 + (fold < rows % 10)::INT AS rows FROM n, range(10) AS f(fold)"
+    f"WITH {LABELLED_SQL}, h AS (SELECT event_id, label, ('0x' || substr(md5('999:' || event_id), 1, 15))::BIGINT AS h, "
+    "(SELECT ceil(count(*) / 1000.0)::BIGINT FROM events) AS buckets FROM d) SELECT event_id, label, "
+    "((row_number() OVER (PARTITION BY label ORDER BY h % buckets, h, event_id) - 1) % 10)::INT AS fold FROM h"
 )
 def strat_folds(spark, sf_dir):
-    """Fold sizes per class, which are even to within one row."""
+    """The fold of every row: classes even to within one row, drawn by hash of the id."""
     rows = labelled(spark, sf_dir).select("event_id", "label")
-    folds = splits.stratified_folds(rows, "label", "event_id", 10, seed=999, bucket_rows=1_000)
-    return folds.groupBy("label", "fold").agg(F.count("*").alias("rows"))
+    return splits.stratified_folds(rows, "label", "event_id", 10, seed=999, bucket_rows=1_000)
 
 
 @book.add(f"WITH {LABELLED_SQL} SELECT label, predicted, count(*) AS rows FROM d GROUP BY ALL")
@@ -144,15 +154,17 @@ def accuracy(spark, sf_dir):
 
 @book.add(
     f"WITH {GOLD_SQL} SELECT game_uuid, coalesce(round(log10(TimeSinceLast + 1), 6), 0.0::DOUBLE) AS since, "
-    "(TimeSinceLast IS NULL)::INT::DOUBLE AS since_missing, TimeOfDay, GameOfDay::DOUBLE AS GameOfDay, "
-    "ECO_Other::DOUBLE AS ECO_Other, Result::DOUBLE AS label FROM gold WHERE start_sec IS NOT NULL"
+    "(TimeSinceLast IS NULL)::INT::DOUBLE AS since_missing, coalesce(TimeOfDay, 0)::DOUBLE AS TimeOfDay, "
+    "(TimeOfDay IS NULL)::INT::DOUBLE AS TimeOfDay_missing, account_id, Result::DOUBLE AS label, "
+    + ", ".join(f"coalesce({c}, 0)::DOUBLE AS {c}" for c in MODEL_FEATURES if c not in ("TimeSinceLast", "TimeOfDay"))
+    + " FROM gold"
 )
 def model_frame(spark, sf_dir):
     """Chosen features as doubles: logs taken, gaps filled and flagged."""
-    frame = training.model_frame(features(spark, sf_dir).where("start_ts is not null"))
+    frame = training.model_frame(stage(features(spark, sf_dir), "gold"))
     return frame.select(
-        "game_uuid", F.round("TimeSinceLast", 6).alias("since"), F.col("TimeSinceLast_missing").alias("since_missing"),
-        "TimeOfDay", "GameOfDay", "ECO_Other", "label",
+        "game_uuid", "account_id", F.round("TimeSinceLast", 6).alias("since"), F.col("TimeSinceLast_missing").alias("since_missing"),
+        "TimeOfDay_missing", *[c for c in MODEL_FEATURES if c != "TimeSinceLast"], "label",
     )
 
 
@@ -162,7 +174,7 @@ def _trained(spark, sf_dir):
         "user_id % 7 person", "if(event_id % 50 = 0, null, cast(event_id % 1000 as double)) TimeSinceLast",
     )
     names = ["hour", "weekday", "person", "TimeSinceLast"]
-    return training.train(stage(made, "features"), training.forest(numTrees=5), names, trials=2, folds=2)
+    return training.train(stage(made, "features"), training.forest(numTrees=5), names, view=None, trials=2, folds=2)
 
 
 @book.add()

@@ -12,8 +12,8 @@ from querybook.base import Book, table
 book = Book()
 
 PER_USER = Timeline(("user_id",), "sec", ("event_id",))
-# One timeline for everybody. Small slices, so that the cut path is what runs.
-GLOBAL = Timeline((), "sec", ("event_id",), hot_rows=2_000)
+# One timeline for everybody.
+GLOBAL = Timeline((), "sec", ("event_id",))
 
 
 def activities(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from hindsight.operators.latest import duplicate_counts, latest_per_key
 from hindsight.operators.upsert import duplicate_keys, upsert, upsert_groups
 from hindsight.session import shared_dir
 from hindsight.sources.bronze import bronze_counts, dedup_preview as preview, sample_games, widen
-from hindsight.sources.tables import PartitionedTable, VersionedTable, create_view
+from hindsight.sources.tables import create_namespaces, create_once, PartitionedTable, VersionedTable, create_view
 from querybook.base import Book, table
 from querybook.standins import snapshots
 
@@ -131,12 +133,27 @@ def dedup_preview(spark, sf_dir):
     return preview(snapshots(spark, sf_dir))
 
 
-@book.add()
+@book.add(
+    "SELECT 'g' || event_id AS uuid, 'u/' || event_id AS url, floor(epoch(ts))::BIGINT + floor(value)::BIGINT AS end_time, "
+    "list_extract(['600', '600+5', '900+10', '180', '1/259200'], (event_id % 5 + 1)::INT) AS time_control "
+    "FROM events WHERE event_id % 97 <> 0 ORDER BY uuid LIMIT 1"
+)
 def game_sample(spark, sf_dir):
-    """One raw game to look at: which one is not determined, so there is no SQL for it."""
+    """One raw game to look at, the one of the least key."""
     return sample_games(snapshots(spark, sf_dir)).select("uuid", "url", "end_time", "time_control")
 
 
+@book.add("SELECT n_nationkey, n_name FROM nation")
+def named_table(spark, sf_dir):
+    """A catalog table created on the first run and left alone by the second."""
+    create_namespaces(spark, "querybook_")
+    name = f"querybook_silver.nations_{uuid.uuid4().hex}"
+    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    if not create_once(nations, name) or create_once(nations.limit(0), name):
+        raise AssertionError("created other than once")
+    return spark.table(name)
+
+
 @book.add(
     "SELECT o_orderkey, o_totalprice, CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN o_orderpriority END "
     "AS o_orderpriority FROM orders"

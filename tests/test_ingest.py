@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from hindsight.config import Settings
 from hindsight.operators.checks import ChecksFailed
-from hindsight.plans.run import Layout, refresh
+from hindsight.plans.run import Layout, apply_snapshots, refresh
+from hindsight.plans.silver import explode_games
 from hindsight.sources import landing
-from hindsight.sources.bronze import bronze_counts, infer_schema, ingest_batch, read_bronze
+from hindsight.sources.bronze import bronze_counts, infer_schema, read_bronze, reopened
 from hindsight.sources.landing import SyncFailed
-from hindsight.streaming.ingest import document_stream, ingest_stream, payload_stream
+from hindsight.sources.tables import PartitionedTable
+from hindsight.streaming.ingest import document_stream, ingest_batch, ingest_stream, payload_stream
 
 LISTING = "account string, ordinal int, url string"
 
@@ -105,14 +107,75 @@ def test_files_are_ingested_once(spark, tmp_path):
     assert "uuid:string" in infer_schema(spark, root)
 
 
-def test_new_fields_widen_bronze(spark, tmp_path):
+def test_new_fields_stay_in_bronze_and_can_be_read_later(spark, tmp_path):
     root, bronze = str(tmp_path / "raw"), str(tmp_path / "bronze")
     write_snapshot(root, "a", "2024", "01", "1", [{"uuid": "x"}])
-    ingest_batch(spark, root, bronze, "games array<struct<uuid: string>>")
-    write_snapshot(root, "a", "2024", "02", "1", [{"uuid": "y", "fresh": 7}])
-    ingest_batch(spark, root, bronze, "games array<struct<uuid: string, fresh: int>>, total int")
-    rows = read_bronze(spark, bronze).select(F.explode("games").alias("g"), "total").select("g.*", "total").collect()
-    assert sorted((r.uuid, r.fresh, r.total) for r in rows) == [("x", None, None), ("y", 7, None)]
+    ingest_batch(spark, root, bronze)
+    write_snapshot(root, "a", "2024", "02", "1", [{"uuid": "y", "fresh": {"deep": 7}}])
+    ingest_batch(spark, root, bronze)
+    wider = reopened(read_bronze(spark, bronze), "games array<struct<uuid: string, fresh: struct<deep: int>>>")
+    rows = wider.select(F.explode("games").alias("g")).select("g.uuid", "g.fresh.deep").collect()
+    assert sorted(tuple(r) for r in rows) == [("x", None), ("y", 7)]
+
+
+def test_odd_names_are_ingested_once_and_read_as_given(spark, tmp_path):
+    root, bronze = str(tmp_path / "raw"), str(tmp_path / "bronze")
+    names = ["acct a", "100%", "a+b", "größe", "a%20b"]
+    for name in names:
+        write_snapshot(root, name, "2024", "01", "1", [game()])
+    assert ingest_batch(spark, root, bronze) == len(names)
+    assert ingest_batch(spark, root, bronze) == 0
+    got = {r[0] for r in explode_games(read_bronze(spark, bronze)).select("account").collect()}
+    assert got == set(names)
+
+
+def test_a_crash_between_two_writes_is_replayed(spark, tmp_path, monkeypatch):
+    from games import bronze, pgn
+
+    long, short = pgn(["e4", "c5", "Nf3"], ["0:09:00"] * 3), pgn(["e4"], ["0:09:00"], date="2024.04.01")
+    layout = Layout(spark, str(tmp_path / "lake"))
+    apply_snapshots(bronze(spark, [("acct_a", [game("g1", pgn=long), game("g2")], 1)]), layout, *dimensions(spark))
+    late = bronze(spark, [("acct_a", [game("g1", pgn=short)], 2)])
+    commit, done = PartitionedTable._commit, []
+    for dies_at in (0, 1):  # before the first and between the two writes
+
+        def sometimes(table, *args, dies_at=dies_at):
+            if len(done) == dies_at:
+                raise OSError("lost")
+            done.append(table.path)
+            commit(table, *args)
+
+        done.clear()
+        with monkeypatch.context() as broken:
+            broken.setattr(PartitionedTable, "_commit", sometimes)
+            with pytest.raises(OSError):
+                apply_snapshots(late, layout, *dimensions(spark))
+    apply_snapshots(late, layout, *dimensions(spark))
+    moves = layout.moves.read().where("game_uuid = 'g1'").collect()
+    assert [(r.ply, r.activity_month) for r in moves] == [(1, "2024-04")]
+    assert layout.games.read().where("game_uuid = 'g1'").count() == 1
+
+
+def test_older_snapshot_of_a_game_without_a_key(spark, tmp_path):
+    from games import bronze
+
+    layout = Layout(spark, str(tmp_path / "lake"))
+    for modified, code in ((5, "win"), (3, "resigned")):
+        nameless = game(white=("acct_a", 1, code)) | {"uuid": None, "url": None}
+        apply_snapshots(bronze(spark, [("acct_a", [nameless], modified)]), layout, *dimensions(spark))
+    assert [r.result for r in layout.games.read().collect()] == ["won"]
+
+
+def test_layers_by_name(spark, tmp_path):
+    root, layout = str(tmp_path / "raw"), Layout(spark, str(tmp_path / "lake"))
+    write_snapshot(root, "acct_a", "2024", "03", "1", [game("g1"), game("g2")])
+    try:
+        refresh(root, layout, *dimensions(spark), catalog="r_")
+        for name, rows in (("r_silver.games", 2), ("r_gold.game_features", 2), ("r_gold.dashboard_games", 2), ("r_bronze.snapshots", 1)):
+            assert spark.table(name).count() == rows
+    finally:
+        for name in ("bronze", "silver", "gold"):
+            spark.sql(f"DROP SCHEMA IF EXISTS r_{name} CASCADE")
 
 
 def test_refresh_end_to_end(spark, tmp_path):

@@ -83,8 +83,13 @@ def test_report_is_whole_and_then_raises(spark):
 def test_null_bound_per_person(spark):
     df = spark.createDataFrame([("p", None), ("p", 1), ("q", None), ("q", None)], "person string, v int")
     rule = q.null_bound("first", "v", per="person")
-    assert values(q.check_rows(df, [rule])) == [("first", False, "3 bad rows, at most 2")]
+    assert values(q.check_rows(df, [rule])) == [("first", False, "1 values of person with more than 1 bad rows")]
     assert q.check_rows(df.limit(3), [rule]).first().ok
+    # Two nulls of one person are too many, although another has none.
+    uneven = spark.createDataFrame([("p", None), ("p", None), ("q", 1)], "person string, v int")
+    assert not q.check_rows(uneven, [rule]).first().ok
+    both = q.check_rows(uneven, [rule, q.Floor("rows", 3)])
+    assert {r["name"]: r["ok"] for r in both.collect()} == {"first": False, "rows": True}
 
 
 # --- profile --------------------------------------------------------------------

@@ -62,15 +62,49 @@ def test_partitioned_upsert_touches_only_its_partitions(spark, tmp_path):
     path = tmp_path / "t"
     table = PartitionedTable(spark, str(path), "part")
     table.upsert(frame(spark, [("a", "01", 1), ("b", "02", 2), ("c", "03", 3), ("d", "04", 4)]), ["k"])
-    before = sorted(p.name for p in (path / "part=01").glob("*.parquet"))
+    before = table.manifest()
     # b moves to another partition, which empties its own; c changes in place; e is new
     table.upsert(frame(spark, [("b", "03", 20), ("c", "03", 30), ("e", "05", 5)]), ["k"])
-    assert rows_of(table.read()) == [("a", "01", 1), ("b", "03", 20), ("c", "03", 30), ("d", "04", 4), ("e", "05", 5)]
-    assert sorted(p.name for p in (path / "part=01").glob("*.parquet")) == before
-    assert not (path / "part=02").exists()
+    want = [("a", "01", 1), ("b", "03", 20), ("c", "03", 30), ("d", "04", 4), ("e", "05", 5)]
+    assert rows_of(table.read()) == want
+    after = table.manifest()
+    assert after["part=01"] == before["part=01"] and after["part=03"] != before["part=03"] and "part=02" not in after
     # twice changes nothing
     table.upsert(frame(spark, [("e", "05", 5)]), ["k"])
-    assert table.read().count() == 5
+    assert rows_of(table.read()) == want
+    table.vacuum()
+    assert rows_of(table.read()) == want and len(table.manifests()) == 1
+    assert not list(path.glob("table_write=0000000001/part=02")) and list(path.glob("table_write=0000000001/part=01"))
+
+
+def test_a_write_that_dies_leaves_the_table_as_it_was(spark, tmp_path, monkeypatch):
+    table = PartitionedTable(spark, str(tmp_path / "t"), "part")
+    table.upsert(frame(spark, [("a", "01", 1), ("b", "01", 2)]), ["k"])
+
+    def die(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(PartitionedTable, "_commit", die)
+        with pytest.raises(OSError):
+            table.upsert(frame(spark, [("b", "02", 20)]), ["k"])
+    assert rows_of(table.read()) == [("a", "01", 1), ("b", "01", 2)]
+    table.upsert(frame(spark, [("b", "03", 30)]), ["k"])
+    assert rows_of(table.read()) == [("a", "01", 1), ("b", "03", 30)]
+
+
+def test_partition_names_are_escaped(spark, tmp_path):
+    table = PartitionedTable(spark, str(tmp_path / "t"), "part")
+    table.upsert(frame(spark, [("a", "x/y=1 %", 1), ("b", None, 2)]), ["k"])
+    table.upsert(frame(spark, [("a", "x/y=1 %", 3)]), ["k"])
+    assert sorted((r.k, r.part, r.v) for r in table.read().collect()) == [("a", "x/y=1 %", 3), ("b", None, 2)]
+    create_namespaces(spark, "p_")
+    try:
+        publish(spark, "p_silver.things", table)
+        assert sorted((r.k, r.part, r.v) for r in spark.table("p_silver.things").collect()) == [("a", "x/y=1 %", 3), ("b", None, 2)]
+    finally:
+        for name in ("bronze", "silver", "gold"):
+            spark.sql(f"DROP SCHEMA IF EXISTS p_{name} CASCADE")
 
 
 def test_partitioned_groups_and_null_partition(spark, tmp_path):
