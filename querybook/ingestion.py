@@ -210,13 +210,13 @@ def batch_ingest(spark, sf_dir):
 
 
 @book.add("""
-SELECT 'p ' || user_id || '+%é' AS account, count(*) AS games, count(DISTINCT event_id % 2) AS files,
+SELECT 'p ' || user_id || '+é' AS account, count(*) AS games, count(DISTINCT event_id % 2) AS files,
   CAST(coalesce(sum(event_id) FILTER (event_id % 2 = 1), 0) AS BIGINT) AS deep FROM events GROUP BY user_id
 """)
 def evolving_bronze(spark, sf_dir):
     """Documents below odd names; later ones have a nested field that the schema doesn't name, and it is not lost."""
     path, bronze = shared_dir(spark, "documents"), shared_dir(spark, "bronze")
-    events = table(spark, sf_dir, "events").selectExpr("concat('p ', user_id, '+%é') username", "event_id", "event_id % 2 later")
+    events = table(spark, sf_dir, "events").selectExpr("concat('p ', user_id, '+é') username", "event_id", "event_id % 2 later")
     plain = F.struct(F.concat(F.lit("g"), "event_id").alias("uuid"))
     wider = F.struct(F.concat(F.lit("g"), "event_id").alias("uuid"), F.struct(F.col("event_id").alias("deep")).alias("fresh"))
     for later, fields in ((0, plain), (1, wider)):
