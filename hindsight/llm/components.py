@@ -37,6 +37,8 @@ def components(edges: DataFrame) -> DataFrame:
     now = stage(
         edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).distinct(), "edges"
     )
+    if now.isEmpty():
+        return now.toDF("node", "component")
     state = None
     for _ in range(MOST_ROUNDS):
         now = stage(_star(stage(_star(now, True), "large"), False), "small")
