@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import Counter
 from dataclasses import dataclass
 
@@ -35,7 +36,7 @@ WORD = re.compile(r"\w+")
 @dataclass(frozen=True)
 class Settings:
     #: Most labelled rows that training sees of label 0 and of label 1, the only bound here.
-    most: tuple[int, int] = (7500, 2500)
+    most: tuple[int, int] = (5000, 2500)
     buckets: int = 1 << 17
     dim: int = 4
     shortest: int = 3
@@ -120,16 +121,13 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model
     coded = words.flatten().dictionary_encode()
     sizes = np.diff(words.offsets.to_numpy())
     counts = rows.column("counts").combine_chunks().flatten().to_numpy()
-    return fit(sizes, coded.indices.to_numpy(), coded.dictionary.to_pylist(), counts, y, weight, s)
+    at, vocabulary = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+    del rows, words, coded
+    return fit(sizes, at, vocabulary, counts, y, weight, s)
 
 
-def _sums(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Sums of consecutive runs of rows; empty runs give 0."""
-    out = np.zeros((len(sizes), values.shape[1]))
-    full = sizes > 0
-    if full.any():
-        out[full] = np.add.reduceat(values, starts[full], axis=0)
-    return out
+#: Numbers in a temporary array of one product.
+CHUNK = 1 << 20
 
 
 class Sparse:
@@ -143,11 +141,22 @@ class Sparse:
     def _side(to, source, values, n):
         order = np.argsort(to, kind="stable")
         sizes = np.bincount(to, minlength=n)
-        return source[order], values[order][:, None], np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes
+        return source[order].astype(np.int32), values[order].astype(np.float32), np.concatenate([[0], np.cumsum(sizes)])
 
-    def _times(self, side, dense):
-        source, values, starts, sizes = side
-        return _sums(dense[source] * values, starts, sizes)
+    @staticmethod
+    def _times(side, dense):
+        """Sums of runs of rows, some runs at a time; empty runs give 0."""
+        source, values, ends = side
+        out = np.zeros((len(ends) - 1, dense.shape[1]), np.float32)
+        first = 0
+        while first < len(out):
+            last = max(first + 1, int(np.searchsorted(ends, ends[first] + CHUNK, side="right")) - 1)
+            begin, end = ends[first], ends[last]
+            if end > begin:
+                full = np.flatnonzero(ends[first + 1 : last + 1] > ends[first:last]) + first
+                out[full] = np.add.reduceat(dense[source[begin:end]] * values[begin:end, None], ends[full] - begin, axis=0)
+            first = last
+        return out
 
     def dot(self, dense):
         return self._times(self.forward, dense)
@@ -168,14 +177,17 @@ def fit(sizes: np.ndarray, at: np.ndarray, words: list[str], times: np.ndarray,
     keep = often[at]
     doc, at, times = doc[keep], (np.cumsum(often) - 1)[at[keep]], times[keep].astype(float)
     by_doc = Sparse(doc, at, times / total[doc], (len(sizes), len(vocabulary)))
-    grams = [subwords(w, s) for w in vocabulary]
-    n_grams = np.array([len(g) for g in grams])
-    used, gram = np.unique(np.array([b for g in grams for b in g], dtype=np.int64), return_inverse=True)
-    word = np.repeat(np.arange(len(grams)), n_grams)
-    by_word = Sparse(word, gram, 1.0 / n_grams[word], (len(grams), len(used)))
+    grams, n_grams = array("i"), []
+    for w in vocabulary:
+        own = subwords(w, s)
+        grams.extend(own)
+        n_grams.append(len(own))
+    used, gram = np.unique(np.frombuffer(grams, np.int32), return_inverse=True)
+    word = np.repeat(np.arange(len(vocabulary)), n_grams)
+    by_word = Sparse(word, gram, 1.0 / np.array(n_grams)[word], (len(vocabulary), len(used)))
 
     rng = np.random.default_rng(s.seed)
-    table = rng.uniform(-1, 1, (len(used), s.dim)) / s.dim
+    table = (rng.uniform(-1, 1, (len(used), s.dim)) / s.dim).astype(np.float32)
     layer, bias = rng.uniform(-1, 1, (s.dim, 2)) / s.dim, np.zeros(2)
     weight = weight / weight.sum()
     wanted = np.eye(2)[y]
