@@ -19,6 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp") for c in zoneless}) if zoneless else df
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt by key over the session's shuffle partitions: for queries that make much text of few input bytes."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 class Book:
     """Queries by name, with the SQL that must give the same rows."""
 

@@ -15,7 +15,7 @@ from hindsight.operators.sequence import (
     number_moves,
     sequence_aggregates,
 )
-from querybook.base import Book, table
+from querybook.base import Book, dealt, table
 
 book = Book()
 
@@ -31,7 +31,7 @@ concat('[UTCDate "', date_format(l_shipdate, 'yyyy.MM.dd'), '"]\\n[UTCTime "00:'
 
 
 def texts(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").select(*LINE, "l_returnflag", "l_shipdate")
+    lines = dealt(table(spark, sf_dir, "lineitem").select(*LINE, "l_returnflag", "l_shipdate"), "l_orderkey")
     return lines.selectExpr(*LINE, f"{TEXT} text", "if(l_suppkey % 2 = 0, 'white', 'black') color")
 
 

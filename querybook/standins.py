@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from querybook.base import table
+from querybook.base import dealt, table
 
 # --- Spark side: raw snapshots, as a source would deliver them -----------------
 
@@ -44,7 +44,7 @@ named_struct(
 
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze rows: one snapshot per event, and a second, corrected one for every fourth."""
-    rows = table(spark, sf_dir, "events").selectExpr(
+    rows = dealt(table(spark, sf_dir, "events"), "event_id").selectExpr(
         "event_id",
         "ts",
         "user_id",
