@@ -36,7 +36,7 @@ WORD = re.compile(r"\w+")
 @dataclass(frozen=True)
 class Settings:
     #: Most labelled rows that training sees of label 0 and of label 1, the only bound here.
-    most: tuple[int, int] = (5000, 2500)
+    most: tuple[int, int] = (3000, 2000)
     buckets: int = 1 << 17
     dim: int = 4
     shortest: int = 3
