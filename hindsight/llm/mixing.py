@@ -2,11 +2,12 @@
 
 Every document gets a rate: the number of times that it is expected in the mix.
 Among all rates between 0 and ``CEILING`` that give each source its token
-target, those closest to even rates (by entropy) are exponentially tilted in
-the document's size: ``CEILING / (1 + exp(-(a + b * size)))``, with the tilt
-from the convex dual of the token constraints. The dual is separable: one
-unknown a source. Newton steps for all sources run at once, each one
-aggregation over the (source, size) histogram.
+target, those closest to one copy a document (by entropy) are exponentially
+tilted in the document's size: ``CEILING / (1 + exp(-tilt * size / mean))``,
+with the tilt from the convex dual of the token constraints. The dual is
+separable: one unknown a source. Newton steps for all sources run at once, each
+one aggregation over the (source, size) histogram. A source that is to shrink
+gives up long documents first, one that is to grow doubles them first.
 
 Documents of one source and size have the same rate, so their copies are
 rounded as a group: from the largest size down, each group takes the number of
@@ -74,27 +75,28 @@ def targets(sizes: DataFrame, weights: list[float], share: float) -> DataFrame:
 
 
 def tilts(histogram: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(source, source_size, target, base, tilt): the dual's solution by distributed Newton iterations.
+    """(source, source_size, target, mean, tilt, off): the dual's solution by distributed Newton iterations.
 
-    ``base`` is the log odds of the even rate, and the unknown ``tilt`` multiplies a size over the
-    source's mean size. Targets at the ceiling and at zero have no finite tilt: ``tilt`` is null.
+    The unknown ``tilt`` multiplies a size over the source's mean size; at 0 each document has one copy, half the
+    ceiling. Targets at the ceiling and at zero have no finite tilt: ``tilt`` is null.
+
+    From 0 towards the solution, what a source gets is concave (if it grows) or convex (if it shrinks) in its tilt.
+    So Newton never oversteps, and gap times slope falls to a quarter or less at each step.
     """
-    spark = histogram.sparkSession
     mean = histogram.groupBy("source").agg((F.sum(F.col("n") * F.col("size")) / F.sum("n")).alias("mean"))
     inner = (F.col("target") > 0) & (F.col("target") < CEILING * F.col("source_size") * (1 - 1e-12))
-    even = F.col("target") / F.col("source_size") / CEILING
     state = stage(
         wanted.join(mean, wanted["source"].eqNullSafe(mean["source"]))
         .select(wanted["source"], "source_size", "target", "mean")
-        .withColumn("base", F.when(inner, F.log(even / (1 - even))))
         .withColumn("tilt", F.when(inner, F.lit(0.0)))
         .withColumn("off", F.when(inner, F.lit(1.0))),
         "tilts",
     )
+    x = F.col("size") / F.col("mean")
+    p = 1 / (1 + F.exp(-F.col("tilt") * x))
+    gap = F.col("target") - F.col("got")
     for _ in range(MOST_STEPS):
-        x = F.col("size") / F.col("mean")
-        p = 1 / (1 + F.exp(-(F.col("base") + F.col("tilt") * x)))
-        open_ = state.where("off is not null")
+        open_ = state.where(F.col("off") >= CLOSE)
         sums = (
             histogram.alias("h")
             .join(open_.alias("s"), F.col("h.source").eqNullSafe(F.col("s.source")))
@@ -102,15 +104,13 @@ def tilts(histogram: DataFrame, wanted: DataFrame) -> DataFrame:
             .groupBy("source")
             .agg(F.sum("got").alias("got"), F.sum("slope").alias("slope"))
         )
-        # A step no longer than 1 in log odds at the mean size keeps Newton from overshooting.
-        move = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), (F.col("target") - F.col("got")) / F.greatest(F.col("slope"), F.lit(1e-300))))
         state = stage(
             state.alias("s")
             .join(sums.alias("t"), F.col("s.source").eqNullSafe(F.col("t.source")), "left")
             .select(
-                "s.source", "source_size", "target", "mean", "base",
-                (F.col("tilt") + F.coalesce(move, F.lit(0.0))).alias("tilt"),
-                F.when(F.col("off").isNotNull(), F.abs(F.col("target") - F.col("got")) / F.col("target")).alias("off"),
+                "s.source", "source_size", "target", "mean",
+                (F.col("tilt") + F.coalesce(gap / F.greatest(F.col("slope"), F.lit(1e-300)), F.lit(0.0))).alias("tilt"),
+                F.coalesce(F.abs(gap) / F.col("target"), F.col("off")).alias("off"),
             ),
             "tilts",
         )
@@ -139,7 +139,7 @@ def mix(docs: DataFrame, weights: list[float] = (3, 1, 2), share: float = 1.5) -
     histogram = stage(rows.groupBy("source", "size").agg(F.count("*").alias("n")), "histogram")
     sizes = histogram.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"))
     solved = tilts(histogram, targets(sizes, list(weights), share))
-    rate = F.when(F.col("tilt").isNotNull(), CEILING / (1 + F.exp(-(F.col("base") + F.col("tilt") * F.col("size") / F.col("mean"))))).otherwise(
+    rate = F.when(F.col("tilt").isNotNull(), CEILING / (1 + F.exp(-F.col("tilt") * F.col("size") / F.col("mean")))).otherwise(
         F.when(F.col("target") > 0, F.lit(float(CEILING))).otherwise(0.0)
     )
     kind = docs.schema["source"].dataType.simpleString()

@@ -115,6 +115,35 @@ def test_mixing_edges(documents):
     assert copies == taken
 
 
+def test_tilts_solve_the_dual(spark):
+    rng = random.Random(3)
+    sizes = {s: [round(rng.lognormvariate(4, 2)) for _ in range(200)] for s in "abcde"} | {None: [0, 0, 3]}
+    share = {"a": 0.03, "b": 0.4, "c": 0.5, "d": 0.8, "e": 0.999, None: 1.0}  # of the ceiling
+    table = [(s, size, n) for s, all_ in sizes.items() for size, n in Counter(all_).items()]
+    wanted = [(s, sum(all_), 2.0 * share[s] * sum(all_)) for s, all_ in sizes.items()]
+    histogram = spark.createDataFrame(table, "source string, size long, n long")
+    got = {r["source"]: r for r in mixing.tilts(histogram, spark.createDataFrame(wanted, "source string, source_size long, target double")).collect()}
+    assert set(got) == set(sizes) and got[None]["tilt"] is None
+    for s in "abcde":
+        x = np.array(sizes[s], float)
+        # The dual by brute force: its gradient, the tokens short of the target, changes sign once.
+        low, high = -1e3, 1e3
+        for _ in range(200):
+            middle = (low + high) / 2
+            tokens = (2 * x / (1 + np.exp(np.clip(-middle * x / x.mean(), -700, 700)))).sum()
+            low, high = (middle, high) if tokens < 2 * share[s] * x.sum() else (low, middle)
+        assert got[s]["off"] < 1e-9 and np.isclose(got[s]["tilt"], middle, rtol=1e-5, atol=1e-9)
+        assert s == "c" or abs(got[s]["tilt"]) > 0.01
+
+
+def test_mixing_takes_by_size(documents):
+    table = [(i, " ".join(["w"] * n), s) for i, (n, s) in enumerate((n, s) for s in ("s0", "s1") for n in [2] * 300 + [20] * 60)]
+    got = mixing.mix(documents(table), [3, 1], 1.0).toPandas()
+    mean = got.groupby(["source", "size"]).copies.mean()
+    # s0 grows to 1.5 copies a token, s1 shrinks to 0.5: most of it in the long documents.
+    assert mean["s0", 20] > mean["s0", 2] + 0.2 and mean["s1", 20] < mean["s1", 2] - 0.2
+
+
 # Packing
 
 
