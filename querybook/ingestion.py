@@ -194,6 +194,8 @@ def _documents(spark, sf_dir, path):
     writer.option("maxRecordsPerFile", 1).text(path)
 
 
+#: Events of a user in one document of ``evolving_bronze``, about.
+EVENTS_A_DOCUMENT = 1000
 GAME_ROWS_SQL = f"""
 WITH {LANDED_SQL} SELECT account, CAST(sum(snapshots * copies) AS BIGINT) AS game_rows FROM s GROUP BY account
 """
@@ -214,22 +216,30 @@ SELECT 'p ' || user_id || '+é' AS account, count(*) AS games, count(DISTINCT ev
   CAST(coalesce(sum(event_id) FILTER (event_id % 2 = 1), 0) AS BIGINT) AS deep FROM events GROUP BY user_id
 """)
 def evolving_bronze(spark, sf_dir):
-    """Documents below odd names; later ones have a nested field that the schema doesn't name, and it is not lost."""
+    """Documents below odd names; later ones have a nested field that the schema doesn't name, and it is not lost.
+
+    A user's half of the events may be many documents; ``files`` counts the halves that have any.
+    """
     path, bronze = shared_dir(spark, "documents"), shared_dir(spark, "bronze")
     events = table(spark, sf_dir, "events").selectExpr("concat('p ', user_id, '+é') username", "event_id", "event_id % 2 later")
     plain = F.struct(F.concat(F.lit("g"), "event_id").alias("uuid"))
     wider = F.struct(F.concat(F.lit("g"), "event_id").alias("uuid"), F.struct(F.col("event_id").alias("deep")).alias("fresh"))
+    sizes = events.groupBy("username", "later").agg(F.ceil(F.count("*") / EVENTS_A_DOCUMENT).alias("parts"))
+    same = F.col("e.username").eqNullSafe(F.col("s.username")) & (F.col("e.later") == F.col("s.later"))
+    split = events.alias("e").join(sizes.alias("s"), same).selectExpr("e.username", "e.later", "event_id", "pmod(xxhash64(event_id), parts) part")
     for later, fields in ((0, plain), (1, wider)):
-        documents = events.where(F.col("later") == later).groupBy("username", "later").agg(
+        documents = split.where(F.col("later") == later).groupBy("username", "later", "part").agg(
             F.to_json(F.struct(F.collect_list(fields).alias("games"))).alias("d")
         )
-        documents.select("username", "d").write.mode("append").partitionBy("username").option("maxRecordsPerFile", 1).text(path)
+        writer = documents.select("username", "later", "d").write.mode("append").partitionBy("username", "later")
+        writer.option("maxRecordsPerFile", 1).text(path)
         for _ in range(2):
             ingest_batch(spark, path, bronze)
     opened = reopened(read_bronze(spark, bronze), "games array<struct<uuid: string, fresh: struct<deep: bigint>>>")
-    rows = opened.select(path_value("_source_file", "username").alias("account"), "_source_file", F.explode("games").alias("g"))
+    named = [path_value("_source_file", k).alias(c) for k, c in (("username", "account"), ("later", "later"))]
+    rows = opened.select(*named, F.explode("games").alias("g"))
     return rows.groupBy("account").agg(
-        F.count("*").alias("games"), F.count_distinct("_source_file").alias("files"), F.coalesce(F.sum("g.fresh.deep"), F.lit(0)).alias("deep")
+        F.count("*").alias("games"), F.count_distinct("later").alias("files"), F.coalesce(F.sum("g.fresh.deep"), F.lit(0)).alias("deep")
     )
 
 

@@ -213,3 +213,21 @@ def test_older_snapshot_arriving_late_changes_nothing(spark, tmp_path):
         snapshot = bronze(spark, [("acct_a", [game(white=("acct_a", 1, code))], modified)])
         apply_snapshots(snapshot, layout, *dimensions(spark))
         assert [r.result for r in layout.games.read().collect()] == ["won"]
+
+
+def test_evolving_documents_are_bounded(spark, tmp_path, monkeypatch):
+    from oracle import plain, rows_of
+
+    import duckdb
+    from querybook import ingestion
+
+    monkeypatch.setattr(ingestion, "shared_dir", lambda _, name: str(tmp_path / name))
+    rows = [(i, 1) for i in range(8000)] + [(8000 + 2 * i, 2) for i in range(9)]
+    spark.createDataFrame(rows, "event_id long, user_id long").write.parquet(str(tmp_path / "events.parquet"))
+    got = ingestion.evolving_bronze(spark, str(tmp_path))
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    wanted = db.execute(ingestion.book.sql["evolving_bronze"])
+    assert rows_of(got.columns, [tuple(map(plain, r)) for r in got.collect()]) == rows_of([d[0] for d in wanted.description], wanted.fetchall())
+    held = [len(json.loads(p.read_text())["games"]) for p in (tmp_path / "documents").rglob("*.txt")]
+    assert sum(held) == len(rows) and max(held) <= 1200
