@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from querybook.base import Book
 
-from hindsight.llm import fingerprints, mixing, order_minhash, packing, pii, preference, secrets, spans, toxicity, urls, vectors
+from hindsight.llm import fingerprints, merkle, mixing, order_minhash, packing, pii, preference, ranking, secrets, spans, toxicity, urls, vectors
 from hindsight.llm.work import table
 
 book = Book()
@@ -141,3 +141,91 @@ def op9_packing(spark, sf_dir):
 @book.add()
 def op10_order_minhash(spark, sf_dir):
     return order_minhash.near_duplicates(table(spark, sf_dir, "documents"), 0.8)
+
+
+def _entry(column: str) -> str:
+    return f"CASE WHEN {column} IS NULL THEN '-' ELSE strlen({column}::VARCHAR) || ':' || {column}::VARCHAR END"
+
+
+#: CRC-32 of a decimal number, bit by bit: each character is followed by eight shifts.
+CRC32 = (
+    "xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''), "
+    "lambda x: list_concat([ord(x)::BIGINT], [-1, -1, -1, -1, -1, -1, -1, -1]::BIGINT[])))), "
+    "lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END), 4294967295)"
+)
+
+
+@book.add(
+    f"""
+    WITH RECURSIVE leaves AS (
+        SELECT doc_id, source, {" || ".join(_entry(c) for c in ("doc_id", "source", "lang", "n_chars"))} AS head, text,
+            {CRC32} % 2 = 0 AS torn FROM documents
+    ), hashed AS (
+        SELECT doc_id, source, sha256(head || {_entry("text")}) AS leaf,
+            CASE WHEN torn THEN sha256(head || {_entry("replace(text, chr(10), '')")}) ELSE sha256(head || {_entry("text")}) END AS changed
+        FROM leaves
+    ), placed AS (
+        SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS place, count(*) OVER (PARTITION BY source) AS n FROM hashed
+    ), tree(source, level, place, n, digest) AS (
+        SELECT source, 0, place, n, leaf FROM placed
+        UNION ALL
+        SELECT source, level + 1, place // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY place)) FROM tree WHERE n > 1
+        GROUP BY source, level, place // 3, n
+    ), subroots AS (
+        SELECT source, level AS height, digest AS subroot, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS place, count(*) OVER () AS n
+        FROM tree WHERE n = 1
+    ), forest(level, place, n, digest) AS (
+        SELECT 0, place, n, subroot FROM subroots
+        UNION ALL
+        SELECT level + 1, place // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY place)) FROM forest WHERE n > 1
+        GROUP BY level, place // 3, n
+    ), peak AS (SELECT level AS height, digest AS root FROM forest WHERE n = 1),
+    steps AS (
+        SELECT doc_id, t.level AS step, t.place, p.place // (3 ** t.level)::BIGINT AS own, digest
+        FROM placed p JOIN tree t ON t.source IS NOT DISTINCT FROM p.source AND t.n > 1 AND t.place // 3 = p.place // (3 ** (t.level + 1))::BIGINT
+        UNION ALL
+        SELECT doc_id, s.height + f.level, f.place, s.place // (3 ** f.level)::BIGINT, digest
+        FROM placed p JOIN subroots s ON s.source IS NOT DISTINCT FROM p.source
+        JOIN forest f ON f.n > 1 AND f.place // 3 = s.place // (3 ** (f.level + 1))::BIGINT
+    ), proof AS (SELECT doc_id, sha256(coalesce(string_agg(digest, '' ORDER BY step, place) FILTER (place <> own), '')) AS proof_sha256 FROM steps GROUP BY doc_id),
+    fold(doc_id, step, digest) AS (
+        SELECT doc_id, 0, changed FROM placed
+        UNION ALL
+        SELECT f.doc_id, f.step + 1, sha256(string_agg(CASE WHEN s.place = s.own THEN f.digest ELSE s.digest END, '' ORDER BY s.place))
+        FROM fold f JOIN steps s ON s.doc_id = f.doc_id AND s.step = f.step GROUP BY f.doc_id, f.step
+    )
+    SELECT p.doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, f.digest AS folded_root, f.digest = root AS verified
+    FROM placed p JOIN subroots s ON s.source IS NOT DISTINCT FROM p.source CROSS JOIN peak
+    LEFT JOIN proof USING (doc_id) JOIN fold f ON f.doc_id = p.doc_id AND f.step = s.height + peak.height
+    """
+)
+def op11_merkle_manifest(spark, sf_dir):
+    proofs = merkle.documents(table(spark, sf_dir, "documents"))
+    return proofs.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.sha2("siblings", 256).alias("proof_sha256"),
+        F.col("folded").alias("folded_root"), (F.col("folded") == F.col("root")).alias("verified"),
+    )
+
+
+_FOLDED = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+
+@book.add(
+    f"""
+    WITH held AS (SELECT doc_id, unnest({_FOLDED}) AS term FROM documents),
+    asked AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_FOLDED}) AS term FROM benchmark) GROUP BY ALL),
+    size AS (SELECT doc_id, count(*) AS n FROM held GROUP BY doc_id),
+    whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM size),
+    counts AS (SELECT doc_id, term, count(*) AS tf FROM held WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+    weight AS (
+        SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM counts CROSS JOIN whole GROUP BY term, docs
+    ), scored AS (
+        SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms))))::BIGINT AS score
+        FROM asked JOIN counts USING (term) JOIN weight USING (term) JOIN size USING (doc_id) CROSS JOIN whole GROUP BY ALL
+    )
+    SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score
+    FROM scored WHERE score > 0 QUALIFY rank <= 20
+    """
+)
+def op13_ranked_search(spark, sf_dir):
+    return ranking.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 20)
