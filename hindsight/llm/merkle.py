@@ -2,8 +2,8 @@
 
 A node is the hash of up to ``FAN`` consecutive ones; rows of a source stand in
 the order of their id. Rows are numbered by range partitions that are written
-once, so no task sorts a source. ``SPAN`` consecutive rows are an aligned block,
-a subtree of ``LEVELS`` levels that one task builds. The tops of blocks are
+once, so no task sorts a source. ``FAN ** levels`` consecutive rows are an aligned
+block, a subtree that one task builds. The tops of blocks are
 numbered alike and climb in further rounds of blocks, until each source has one
 node; these are one more tree's leaves. What a block needs of the levels above
 it, its siblings there, comes back down the rounds, one row a block.
@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from hindsight.llm.work import stage
 
 FAN = 3
+#: Levels of a block: 729 nodes below its top.
 LEVELS = 6
-SPAN = FAN**LEVELS
 
 
 def sha(parts: Sequence[str]) -> str:
@@ -122,34 +122,31 @@ def numbered(rows: DataFrame, order: Sequence[str]) -> DataFrame:
     return placed.select(*rows.columns, (F.col("before") + F.col("nth") - F.col("first")).alias("place"), "n")
 
 
-def in_blocks(nodes: DataFrame, kept: Sequence[str]) -> DataFrame:
-    """One row a block: (tree, n, block, nodes), the nodes in order, each (place, *kept); at most ``SPAN``."""
-    block = F.floor(F.col("place") / SPAN).alias("block")
+def in_blocks(nodes: DataFrame, kept: Sequence[str], levels: int) -> DataFrame:
+    """One row a block: (tree, n, block, nodes), the nodes in order, each (place, *kept); at most ``FAN ** levels``."""
+    block = F.floor(F.col("place") / FAN**levels).alias("block")
     return nodes.groupBy("tree", "n", block).agg(F.sort_array(F.collect_list(F.struct("place", *kept))).alias("nodes"))
 
 
-def levels_of(n: int) -> int:
-    return min(LEVELS, height(n))
-
-
-def climb(nodes: DataFrame) -> DataFrame:
+def climb(nodes: DataFrame, levels: int = LEVELS) -> DataFrame:
     """(tree, place, siblings, top) of nodes (tree, place, n, digest): what stands beside each on its way up."""
+    span = FAN**levels
 
     def build(batches):
         for batch in batches:
             made = []
             for tree, n, number, held in zip(batch["tree"], batch["n"], batch["block"], batch["nodes"]):
-                block = Block([x["digest"] for x in held], levels_of(n))
+                block = Block([x["digest"] for x in held], min(levels, height(n)))
                 made.append((tree, n, number, block.top, [{"place": x["place"], "siblings": block.siblings(i)} for i, x in enumerate(held)]))
             yield pd.DataFrame(made, columns=["tree", "n", "block", "top", "paths"], dtype=object)
 
     kind = nodes.schema["tree"].dataType.simpleString()
-    made = in_blocks(nodes, ["digest"]).mapInPandas(
+    made = in_blocks(nodes, ["digest"], levels).mapInPandas(
         build, f"tree {kind}, n long, block long, top string, paths array<struct<place: long, siblings: string>>"
     )
     made = stage(made, "blocks")
-    if (made.agg(F.max("n")).first()[0] or 0) > SPAN:
-        above = climb(made.select("tree", F.col("block").alias("place"), F.ceil(F.col("n") / SPAN).alias("n"), F.col("top").alias("digest")))
+    if (made.agg(F.max("n")).first()[0] or 0) > span:
+        above = climb(made.select("tree", F.col("block").alias("place"), F.ceil(F.col("n") / span).alias("n"), F.col("top").alias("digest")), levels)
         above = above.toDF("tree_", "block_", "above", "top_")
         made = made.join(above, F.col("tree").eqNullSafe(F.col("tree_")) & (F.col("block") == F.col("block_")))
         made = made.withColumns({"top": F.col("top_")})
@@ -158,7 +155,7 @@ def climb(nodes: DataFrame) -> DataFrame:
     return made.select("tree", "above", "top", F.inline("paths")).select("tree", "place", F.concat("siblings", "above").alias("siblings"), "top")
 
 
-def manifest(leaves: DataFrame) -> DataFrame:
+def manifest(leaves: DataFrame, levels: int = LEVELS) -> DataFrame:
     """Of leaves (id, tree, leaf, changed): (id, tree, place, n, tree_place, trees, leaf, siblings, subroot, root, folded).
 
     ``siblings`` are the digests beside the path from a leaf to the root.
@@ -168,20 +165,21 @@ def manifest(leaves: DataFrame) -> DataFrame:
     placed = numbered(stage(leaves.select("id", F.col("tree").cast("string").alias("tree"), "leaf", "changed"), "leaves"), ["id", "leaf"])
     ids = leaves.schema["id"].dataType.simpleString()
     kept = ["id", "leaf", "changed"]
+    span = FAN**levels
 
     def tops(batches):
         for batch in batches:
-            found = [Block([x["leaf"] for x in held], levels_of(n)).top for n, held in zip(batch["n"], batch["nodes"])]
+            found = [Block([x["leaf"] for x in held], min(levels, height(n))).top for n, held in zip(batch["n"], batch["nodes"])]
             yield batch.assign(top=found)
 
     held = f"array<struct<place: long, id: {ids}, leaf: string, changed: string>>"
-    blocks = stage(in_blocks(placed, kept).mapInPandas(tops, f"tree string, n long, block long, nodes {held}, top string"), "blocks")
-    tree_top = climb(blocks.select("tree", F.col("block").alias("place"), F.ceil(F.col("n") / SPAN).alias("n"), F.col("top").alias("digest")))
+    blocks = stage(in_blocks(placed, kept, levels).mapInPandas(tops, f"tree string, n long, block long, nodes {held}, top string"), "blocks")
+    tree_top = climb(blocks.select("tree", F.col("block").alias("place"), F.ceil(F.col("n") / span).alias("n"), F.col("top").alias("digest")), levels)
     tree_top = stage(tree_top, "paths")
     # The trees' tops are the leaves of one more tree.
     roots = tree_top.where(F.col("place") == 0).select(F.lit(0).alias("tree"), F.col("tree").alias("name"), F.col("top").alias("digest"))
     roots = stage(numbered(roots, ["name"]), "roots")
-    forest = climb(roots.drop("name")).toDF("_", "tree_place", "tree_siblings", "root")
+    forest = climb(roots.drop("name"), levels).toDF("_", "tree_place", "tree_siblings", "root")
     roots = roots.select("name", F.col("place").alias("tree_place"), F.col("n").alias("trees")).join(forest, "tree_place")
     above = tree_top.join(roots, F.col("tree").eqNullSafe(F.col("name")))
     above = above.select(
@@ -193,7 +191,7 @@ def manifest(leaves: DataFrame) -> DataFrame:
     def prove(batches):
         for batch in batches:
             for row in batch.itertuples(index=False):
-                block = Block([x["leaf"] for x in row.nodes], levels_of(row.n))
+                block = Block([x["leaf"] for x in row.nodes], min(levels, height(row.n)))
                 upper = row.above + row.tree_siblings
                 out = []
                 for i, x in enumerate(row.nodes):
@@ -201,7 +199,7 @@ def manifest(leaves: DataFrame) -> DataFrame:
                     if x["changed"] is not None and x["changed"] != x["leaf"]:
                         version = block.copies(i, x["changed"])
                         top = version[len(block.nodes) - 1, 0]
-                        subroot = climbed(top, row.block, -(-row.n // SPAN), row.above)
+                        subroot = climbed(top, row.block, -(-row.n // span), row.above)
                         folded = climbed(subroot, row.tree_place, row.trees, row.tree_siblings)
                     out.append((x["id"], row.tree, x["place"], row.n, row.tree_place, row.trees, x["leaf"], block.siblings(i) + upper, row.subroot, row.root, folded))
                 yield pd.DataFrame(out, columns=NAMES, dtype=object)
@@ -222,7 +220,7 @@ def holds(leaf: str, place: int, n: int, tree_place: int, trees: int, siblings:
     return climbed(climbed(leaf, place, n, siblings[:split]), tree_place, trees, siblings[split:]) == root
 
 
-def documents(docs: DataFrame) -> DataFrame:
+def documents(docs: DataFrame, levels: int = LEVELS) -> DataFrame:
     """The manifest of documents and of their versions without line ends, made where crc32 of the decimal id is even."""
     rest = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
     text = F.col("text")
@@ -234,4 +232,4 @@ def documents(docs: DataFrame) -> DataFrame:
         digest([*rest, text]).alias("leaf"),
         F.when(torn, digest([*rest, F.replace(text, F.lit("\n"), F.lit(""))])).alias("changed"),
     )
-    return manifest(leaves)
+    return manifest(leaves, levels)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from querybook.base import Book
 
-from hindsight.llm import fingerprints, merkle, mixing, order_minhash, packing, pii, preference, ranking, secrets, spans, toxicity, urls, vectors
+from hindsight.llm import fingerprints, merkle, mixing, order_minhash, packing, pii, preference, ranking, secrets, spans, toxicity, urls, vectors, wrappers
 from hindsight.llm.work import table
 
 book = Book()
@@ -229,3 +229,25 @@ _FOLDED = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abc
 )
 def op13_ranked_search(spark, sf_dir):
     return ranking.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 20)
+
+
+_DECODED = (
+    "regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(x, '<[^>]*>', ' ', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), "
+    "'&quot;?', '\"', 'g'), '&amp;?', '&', 'g')"
+)
+
+
+@book.add(
+    f"""
+    WITH cut AS (
+        SELECT page_id, url, string_split_regex(regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1), '</?(?:h1|p)>') AS parts FROM pages
+    ), read AS (
+        SELECT page_id, url, array_to_string(list_filter(list_transform(parts,
+            lambda x: trim(regexp_replace({_DECODED}, '[\\s\\x0B\\x1C-\\x1F\\x{{85}}\\p{{Z}}]+', ' ', 'g'))), lambda x: x <> ''), chr(10)) AS text FROM cut
+    )
+    SELECT page_id, url, text, length(text) AS n_chars FROM read
+    """
+)
+def op12_html_extraction(spark, sf_dir):
+    """The SQL takes the pages' one template as known; the operator infers it."""
+    return wrappers.extract(table(spark, sf_dir, "pages"))
