@@ -16,7 +16,8 @@ from hindsight.plans.gold import dashboard_games, feature_table
 from hindsight.plans.silver import build_games, build_moves
 from hindsight.schemas import BRONZE, GAME_KEY
 from hindsight.session import configure, null_safe, staged
-from hindsight.sources.tables import PartitionedTable, VersionedTable, create_namespaces, create_view, publish
+from hindsight.sources.commits import Contended
+from hindsight.sources.tables import ATTEMPTS, PartitionedTable, VersionedTable, create_namespaces, create_view, publish
 from hindsight.streaming.ingest import document_stream, ingest_stream, payload_stream
 
 MONTH = "activity_month"
@@ -65,24 +66,35 @@ def apply_snapshots(
     Only months that the snapshots or their games touch are written. A stored
     game newer than its new snapshot stays. Moves are replaced game by game,
     so that a game read anew with fewer moves keeps no old ones. Applying the
-    same snapshots twice changes nothing.
+    same snapshots twice changes nothing. Where another run writes the same
+    months meanwhile, what it wrote counts as stored and the rest is done anew.
     """
     incoming = with_month(build_games(bronze, accounts, friends, settings))
     with staged(incoming, "games") as fresh:
-        # Where these games are now. Moves lie in the same months, so that the
-        # far larger table of moves is not searched for them.
-        held = layout.games.holding(fresh, GAME_KEY)
-        newest = fresh
-        if held:
-            keys = fresh.select(*GAME_KEY)
-            stored = layout.games.rows_in(held, like=fresh)
-            stored = stored.join(keys, null_safe(stored, keys, GAME_KEY), "left_semi")
-            newest = latest_per_key(fresh.unionByName(stored), GAME_KEY, list(SNAPSHOT_ORDER))
-        with staged(newest, "newest") as settled:
-            # Moves first: until games are written they still name the old months, so
-            # a run that died in between finds and replaces the same moves again.
-            layout.moves.replace_groups(moves_by_month(settled, settings), settled, GAME_KEY, held=held)
-            layout.games.upsert(settled, GAME_KEY, check=False, held=held)
+        for attempt in range(ATTEMPTS):
+            try:
+                return _apply(fresh, layout, settings)
+            except Contended:
+                if attempt == ATTEMPTS - 1:
+                    raise
+
+
+def _apply(fresh: DataFrame, layout: Layout, settings: Settings) -> None:
+    at_games, at_moves = layout.games.commits.newest(), layout.moves.commits.newest()
+    # Where these games are now. Moves lie in the same months, so that the
+    # far larger table of moves is not searched for them.
+    held = layout.games.holding(fresh, GAME_KEY)
+    newest = fresh
+    if held:
+        keys = fresh.select(*GAME_KEY)
+        stored = layout.games.rows_in(held, like=fresh)
+        stored = stored.join(keys, null_safe(stored, keys, GAME_KEY), "left_semi")
+        newest = latest_per_key(fresh.unionByName(stored), GAME_KEY, list(SNAPSHOT_ORDER))
+    with staged(newest, "newest") as settled:
+        # Moves first: until games are written they still name the old months, so
+        # a run that died in between finds and replaces the same moves again.
+        layout.moves.replace_groups(moves_by_month(settled, settings), settled, GAME_KEY, held=held, at=at_moves)
+        layout.games.upsert(settled, GAME_KEY, check=False, held=held, at=at_games)
 
 
 def refresh_silver(layout: Layout, accounts: DataFrame, friends: DataFrame, settings: Settings = Settings()) -> None:
@@ -137,7 +149,8 @@ def publish_layers(layout: Layout, prefix: str = "", settings: Settings = Settin
     publish(spark, f"`{prefix}silver`.games", layout.games)
     publish(spark, f"`{prefix}silver`.moves", layout.moves)
     publish(spark, f"`{prefix}gold`.game_features", layout.gold)
-    create_view(spark, f"`{prefix}bronze`.snapshots", f"SELECT * FROM parquet.`{layout.path('bronze')}`")
+    files = f"parquet.`{layout.path('bronze')}` WITH ('mergeSchema' = 'true')"
+    create_view(spark, f"`{prefix}bronze`.snapshots", f"SELECT * FROM {files}")
     dashboard = VersionedTable(spark, layout.path("dashboard_games"))
     dashboard.write(dashboard_games(spark.table(f"`{prefix}silver`.games").drop("pgn"), settings))
     publish(spark, f"`{prefix}gold`.dashboard_games", dashboard)

@@ -1,33 +1,32 @@
 """Tables on plain Parquet: whole versions, partition-wise upsert, namespaces and views.
 
-One writer per table is assumed, as there is no commit log to arbitrate.
+Partitioned tables may have several writers at once. Of a table of whole
+versions one writer at a time is assumed.
 """
 
 from __future__ import annotations
 
 import json
+import time
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hindsight.operators.upsert import require_unique, upsert, upsert_groups
 from hindsight.session import delete, null_safe, staged
+from hindsight.sources.commits import Commits, Contended, file_system
 
 LAYERS = ("bronze", "silver", "gold")
 #: Names the folder of one write of a partitioned table; no table may have such a column.
 WRITE = "table_write"
 
 
-def _files(spark: SparkSession, path: str):
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), location
-
-
 def exists(spark: SparkSession, path: str) -> bool:
-    files, location = _files(spark, path)
+    files, location = file_system(spark, path)
     return files.exists(location)
 
 
@@ -45,7 +44,7 @@ class VersionedTable:
 
     def versions(self) -> list[int]:
         """Committed versions, oldest first."""
-        files, location = _files(self.spark, self.path)
+        files, location = file_system(self.spark, self.path)
         if not files.exists(location):
             return []
         names = [s.getPath().getName() for s in files.listStatus(location) if s.isDirectory()]
@@ -104,11 +103,23 @@ class VersionedTable:
 class PartitionedTable:
     """Partitions of which an upsert writes only those it touches, for tables too large to write anew.
 
-    Every write goes to a folder of its own, ``table_write=<n>/<partition>=<value>``, and
-    nothing is ever written over. A manifest names the folder that each
-    partition is now read from; the write counts from the moment the next
-    manifest is renamed into place. A crash before that leaves the table as it
-    was, and the next write takes the same number and replaces what was left.
+    Every write goes to a folder of its own, ``table_write=<n>-<id>/<partition>=<value>``,
+    and nothing is ever written over. A manifest names the folder that each
+    partition is now read from, and the table's schema; the write counts from the
+    moment the next manifest is in place. A crash before that leaves the table as
+    it was.
+
+    Writers don't wait for each other. One that finds its manifest's number taken
+    looks at what came between: if that touched none of its partitions and brought
+    none of its keys, its own partitions go on top of it, else it merges anew with
+    what the table is now. So the outcome is that of some order of the writes.
+
+    Beside each written partition lies a filter of its keys, a Bloom filter as
+    rows: a key marks four bits of one 64-bit word, chosen by its hash, and words
+    are as many as a quarter of the keys. An upsert joins its keys with the words
+    and opens only partitions whose words have all bits of one, about one in a
+    hundred by chance. Partitions written under other keys are opened always.
+
     Folders that no manifest names go by ``vacuum``, never on their own.
     """
 
@@ -116,66 +127,56 @@ class PartitionedTable:
     path: str
     partition: str
 
+    @property
+    def commits(self) -> Commits:
+        return Commits(self.spark, f"{self.path}/_manifests")
+
     def manifests(self) -> list[int]:
-        files, location = _files(self.spark, f"{self.path}/_manifests")
-        if not files.exists(location):
-            return []
-        names = [s.getPath().getName() for s in files.listStatus(location)]
-        return sorted(int(n) for n in names if n.isdigit())
-
-    def manifest(self, number: int | None = None) -> dict[str, str]:
-        """Folder below ``path`` by partition folder name; one entry a partition."""
-        number = max(self.manifests(), default=None) if number is None else number
-        if number is None:
-            return {}
-        files, location = _files(self.spark, f"{self.path}/_manifests/{number:010d}")
-        stream = files.open(location)
-        try:
-            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
-
-    def _commit(self, entries: dict[str, str], number: int) -> None:
-        files, target = _files(self.spark, f"{self.path}/_manifests/{number:010d}")
-        _, draft = _files(self.spark, f"{self.path}/_drafts/{number:010d}")
-        stream = files.create(draft, True)
-        try:
-            stream.write(bytearray(json.dumps(entries, sort_keys=True).encode()))
-        finally:
-            stream.close()
-        files.mkdirs(target.getParent())
-        if not files.rename(draft, target):
-            raise RuntimeError(f"{target} is there already: a second writer?")
+        return self.commits.numbers()
+
+    def state(self, number: int | None = None) -> dict:
+        """``entries``, ``schema`` and the partitions ``touched`` by the commit of a number, or the newest."""
+        number = self.commits.newest() if number is None else number
+        return self.commits.read(number) if number else {"entries": {}, "schema": None, "touched": []}
+
+    def manifest(self, number: int | None = None) -> dict[str, dict]:
+        """What is known of each partition, by its folder's name: the write it is in, its filter's words and keys."""
+        return self.state(number)["entries"]
+
+    def _commit(self, state: dict, number: int) -> bool:
+        return self.commits.put(number, state)
 
     def exists(self) -> bool:
         return bool(self.manifests())
 
-    def _load(self, entries: dict[str, str], schema: T.StructType | None = None) -> DataFrame:
-        reader = self.spark.read.option("basePath", self.path)
-        folders = [f"{self.path}/{folder}/{name}" for name, folder in sorted(entries.items())]
-        if schema is not None:
-            return reader.schema(schema).parquet(*folders).drop(WRITE)
-        return reader.option("mergeSchema", True).parquet(*folders).drop(WRITE)
+    def schema(self) -> T.StructType | None:
+        text = self.state()["schema"]
+        return T.StructType.fromJson(json.loads(text)) if text else None
+
+    def _load(self, entries: dict[str, dict], schema: T.StructType) -> DataFrame:
+        folders = [f"{self.path}/{entry['write']}/{name}" for name, entry in sorted(entries.items())]
+        return self.spark.read.option("basePath", self.path).schema(schema).parquet(*folders).drop(WRITE)
 
     def read(self, like: DataFrame | None = None) -> DataFrame:
         """All rows; with ``like`` its column types win and its new columns are there, null."""
-        return self._typed(self.manifest(), like)
+        state = self.state()
+        return self._typed(state["entries"], state, like)
 
-    def _typed(self, entries: dict[str, str], like: DataFrame | None) -> DataFrame:
+    def _typed(self, entries: dict[str, dict], state: dict, like: DataFrame | None) -> DataFrame:
+        schema = _wider(state["schema"], None if like is None else like.schema, self.partition)
         if not entries:
-            if like is None:
+            if like is None and not state["schema"]:
                 raise FileNotFoundError(f"no rows below {self.path}")
-            return like.limit(0)
-        have = self._load(entries)
-        kinds = {self.partition: T.StringType()}
-        kinds |= {} if like is None else {f.name: f.dataType for f in like.schema}
-        fields = [T.StructField(f.name, kinds.pop(f.name, f.dataType)) for f in have.schema]
-        fields += [T.StructField(name, kind) for name, kind in kinds.items()]
-        return self._load(entries, T.StructType(fields))
+            return self.spark.createDataFrame([], schema)
+        return self._load(entries, schema)
 
     def holding(self, keys_of: DataFrame, keys: list[str]) -> list[str | None]:
-        """Partitions that now hold one of the keys: a scan of the key columns only."""
-        entries = self.manifest()
+        """Partitions that now hold one of the keys; of those that their filters let pass, key columns are read."""
+        state = self.state()
+        return self._holding(state, state["entries"], keys_of, keys)
+
+    def _holding(self, state: dict, entries: dict[str, dict], keys_of: DataFrame, keys: list[str]) -> list[str | None]:
+        entries = self.possibly_holding(entries, keys_of, keys)
         if not entries:
             return []
         fields = [keys_of.schema[k] for k in keys if k != self.partition]
@@ -184,6 +185,41 @@ class PartitionedTable:
         held = target.join(wanted, null_safe(target, wanted, keys), "left_semi")
         return [row[0] for row in held.select(self.partition).distinct().collect()]
 
+    def possibly_holding(self, entries: dict[str, dict], keys_of: DataFrame, keys: list[str]) -> dict[str, dict]:
+        """The entries whose filters don't rule out all of the keys."""
+        kind = _kinds(keys_of, keys)
+        filtered = {n: e for n, e in entries.items() if e["keys"] == kind}
+        if not filtered:
+            return entries
+        hashed = keys_of.select(key_hash(keys).alias("h")).distinct()
+        classes = F.array(*[F.lit(w).cast("long") for w in sorted({e["words"] for e in filtered.values()})])
+        wanted = hashed.select(F.explode(classes).alias("words"), "h").select("words", _word("h", "words").alias("word"), _mask("h").alias("mask"))
+        known = self.spark.createDataFrame([(n, e["write"]) for n, e in filtered.items()], "part string, write string")
+        writes = sorted({e["write"] for e in filtered.values()})
+        filters = self.spark.read.schema(FILTER).parquet(*[f"{self.path}/_keys/{w}" for w in writes])
+        here = filters.join(known, ["part", "write"], "left_semi").join(wanted, ["words", "word"])
+        names = here.where(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask")).select("part").distinct()
+        hits = {row[0] for row in names.collect()}
+        return {n: e for n, e in entries.items() if n in hits or n not in filtered}
+
+    def _write_filters(self, write: str, names: Sequence[str], schema: T.StructType, keys: list[str]) -> dict[str, dict]:
+        """Filters of the partitions just written; their manifest entries."""
+        columns = [f.name for f in schema if f.name != self.partition]
+        entries = {n: {"write": write, "words": 0, "keys": "", "columns": columns} for n in names}
+        if not names:
+            return entries
+        rows = self._load(entries, schema)
+        kind = _kinds(rows, keys)
+        hashed = rows.select(F.col(self.partition).alias("value"), key_hash(keys).alias("h"))
+        sizes = {self._folder(r["value"]): r["n"] for r in hashed.groupBy("value").agg(F.count("*").alias("n")).collect()}
+        for name, entry in entries.items():
+            entry["words"], entry["keys"] = 1 << max(0, (sizes.get(name, 0) - 1).bit_length() - 2), kind
+        known = self.spark.createDataFrame([(self.value_of(n), n, e["words"]) for n, e in entries.items()], "value_ string, part string, words long")
+        marked = hashed.join(known, F.col("value").eqNullSafe(F.col("value_"))).select("part", "words", _word("h", "words").alias("word"), _mask("h").alias("mask"))
+        words = marked.groupBy("part", "words", "word").agg(F.bit_or("mask").alias("bits")).withColumn("write", F.lit(write))
+        words.select(*FILTER.names).write.mode("overwrite").parquet(f"{self.path}/_keys/{write}")
+        return entries
+
     def _folder(self, value: str | None) -> str:
         """Name of a partition's folder as Spark writes it."""
         escape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
@@ -197,64 +233,133 @@ class PartitionedTable:
 
     def rows_in(self, partitions: Sequence[str | None], like: DataFrame | None = None) -> DataFrame:
         """Rows of some partitions; no other folder is read."""
-        names = {self._folder(p) for p in partitions}
-        return self._typed({n: f for n, f in self.manifest().items() if n in names}, like)
+        names, state = {self._folder(p) for p in partitions}, self.state()
+        return self._typed({n: e for n, e in state["entries"].items() if n in names}, state, like)
 
     def upsert(
-        self, df: DataFrame, keys: list[str], check: bool = True, held: Sequence[str | None] | None = None
+        self, df: DataFrame, keys: list[str], check: bool = True, held: Sequence[str | None] | None = None, at: int | None = None
     ) -> None:
         """Update matching keys, insert the others.
 
-        ``held`` may name the partitions that hold the keys, if known.
+        ``held`` may name the partitions that hold the keys, if known. With
+        ``at`` the rows were made from what the table was at that commit:
+        where others have written meanwhile what this write touches,
+        ``Contended`` is raised, for the caller to make them anew.
         """
         with staged(df) as source:
             if check:
                 require_unique(source, keys)
-            self._replace(source, source.select(*keys), keys, held)
+            self._replace(source, source.select(*keys), keys, held, at)
 
     def replace_groups(
-        self, df: DataFrame, groups: DataFrame, keys: list[str], held: Sequence[str | None] | None = None
+        self, df: DataFrame, groups: DataFrame, keys: list[str], held: Sequence[str | None] | None = None, at: int | None = None
     ) -> None:
         """All rows of ``groups`` give way to those ``df`` has of them, which may be none."""
         with staged(df) as source:
-            self._replace(source, groups.select(*keys).distinct(), keys, held)
-
-    def _replace(self, source: DataFrame, touched: DataFrame, keys: list[str], held) -> None:
-        # Touched are the partitions of the new rows and those now holding one of
-        # the keys: a row that moves to another partition leaves no copy behind.
-        entries = self.manifest()
-        values = set(self.holding(touched, keys) if held is None else held)
-        values |= {row[0] for row in source.select(self.partition).distinct().collect()}
-        affected = self.rows_in(sorted(values, key=str), like=source)
-        kept = affected.join(touched, null_safe(affected, touched, keys), "left_anti")
-        merged = kept.unionByName(source, allowMissingColumns=True)
-        number = max(self.manifests(), default=0) + 1
-        folder = f"{WRITE}={number:010d}"
-        # one task per partition, or several where AQE finds one large
-        even = merged.hint("rebalance", self.partition).write.mode("overwrite").partitionBy(self.partition)
-        even.parquet(f"{self.path}/{folder}")
-        # What was written says which partitions there are now; the others of the touched ones are empty.
-        files, location = _files(self.spark, f"{self.path}/{folder}")
-        written = {s.getPath().getName() for s in files.listStatus(location) if s.isDirectory()}
-        emptied = {self._folder(v) for v in values}
-        entries = {n: f for n, f in entries.items() if n not in emptied} | {n: folder for n in written}
-        self._commit(entries, number)
-
-    def vacuum(self, keep: int = 1) -> None:
-        """Delete folders that the newest ``keep`` manifests don't name, and the older manifests."""
+            self._replace(source, groups.select(*keys).distinct(), keys, held, at)
+
+    def _replace(self, source: DataFrame, touched: DataFrame, keys: list[str], held, at: int | None) -> None:
+        new = {row[0] for row in source.select(self.partition).distinct().collect()}
+        for _ in range(ATTEMPTS if at is None else 1):
+            number = self.commits.newest() if at is None else at
+            state = self.state(number)
+            # Touched are the partitions of the new rows and those now holding one of
+            # the keys: a row that moves to another partition leaves no copy behind.
+            values = new | set(held if held is not None else self._holding(state, state["entries"], touched, keys))
+            names = {self._folder(v) for v in values}
+            entries = {n: e for n, e in state["entries"].items() if n in names}
+            affected = self._typed(entries, state, source)
+            kept = affected.join(touched, null_safe(affected, touched, keys), "left_anti")
+            merged = kept.unionByName(source, allowMissingColumns=True)
+            write = f"{WRITE}={number + 1:010d}-{uuid.uuid4().hex[:12]}"
+            # one task per partition, or several where AQE finds one large
+            even = merged.hint("rebalance", self.partition).write.partitionBy(self.partition)
+            even.parquet(f"{self.path}/{write}")
+            # What was written says which partitions there are now; the others of the touched ones are empty.
+            files, location = file_system(self.spark, f"{self.path}/{write}")
+            written = sorted(s.getPath().getName() for s in files.listStatus(location) if s.isDirectory())
+            made = self._write_filters(write, written, merged.schema, keys)
+            if self._land(number, state, names | set(written), made, merged.schema, touched, keys):
+                return
+            held = None
+            for folder in (f"{self.path}/{write}", f"{self.path}/_keys/{write}"):
+                delete(self.spark, folder)
+        raise Contended(f"{self.path}: others wrote what this write touches")
+
+    def _land(self, number: int, state: dict, gone: set[str], made: dict[str, dict], schema, touched: DataFrame, keys: list[str]) -> bool:
+        """Commit on top of ``state`` or of what came since, if that leaves this write right; whether it did."""
+        while True:
+            entries = {n: e for n, e in state["entries"].items() if n not in gone} | made
+            wider = _wider(state["schema"], schema, self.partition).json()
+            if self._commit({"entries": entries, "schema": wider, "touched": sorted(gone)}, number + 1):
+                return True
+            newest = self.commits.newest()
+            if not set(range(number + 1, newest + 1)) <= set(self.manifests()):
+                return False  # vacuum took what came between
+            others = set().union(*(self.state(n)["touched"] for n in range(number + 1, newest + 1)))
+            number, state = newest, self.state(newest)
+            if others & gone or self._holding(state, {n: e for n, e in state["entries"].items() if n in others}, touched, keys):
+                return False
+
+    def vacuum(self, keep: int = 1, grace_hours: float = 24.0) -> None:
+        """Delete what only manifests older than the newest ``keep`` name, and those manifests.
+
+        Folders that no manifest ever named may be of a write under way: they go
+        once they are older than ``grace_hours``.
+        """
         numbers = self.manifests()
-        newest = numbers[-keep:]
-        named = {f"{folder}/{name}" for n in newest for name, folder in self.manifest(n).items()}
-        files, location = _files(self.spark, self.path)
+        folders = lambda some: {f"{e['write']}/{name}" for n in some for name, e in self.manifest(n).items()}
+        named, once = folders(numbers[-keep:]), folders(numbers[:-keep])
+        files, location = file_system(self.spark, self.path)
+        oldest = (time.time() - 3600 * grace_hours) * 1000
         for n in numbers[:-keep]:
-            delete(self.spark, f"{self.path}/_manifests/{n:010d}")
-        for version in [s.getPath() for s in files.listStatus(location) if s.getPath().getName().startswith(f"{WRITE}=")]:
-            parts = [s.getPath().getName() for s in files.listStatus(version) if s.isDirectory()]
-            used = [p for p in parts if f"{version.getName()}/{p}" in named]
+            self.commits.drop(n)
+        for write in [s for s in files.listStatus(location) if s.getPath().getName().startswith(f"{WRITE}=")]:
+            name = write.getPath().getName()
+            parts = [s.getPath().getName() for s in files.listStatus(write.getPath()) if s.isDirectory()]
+            used = [p for p in parts if f"{name}/{p}" in named]
             for p in [p for p in parts if p not in used]:
-                delete(self.spark, f"{self.path}/{version.getName()}/{p}")
-            if not used:
-                delete(self.spark, f"{self.path}/{version.getName()}")
+                if f"{name}/{p}" in once or write.getModificationTime() < oldest:
+                    delete(self.spark, f"{self.path}/{name}/{p}")
+                else:
+                    used.append(p)
+            if not used and (parts or write.getModificationTime() < oldest):
+                delete(self.spark, f"{self.path}/{name}")
+                delete(self.spark, f"{self.path}/_keys/{name}")
+
+
+#: What lies in a key filter: of which partition and write, of how many words which one, and its bits.
+FILTER = T.StructType().add("part", "string").add("write", "string").add("words", "long").add("word", "long").add("bits", "long")
+#: A write that others get ahead of is merged anew so often.
+ATTEMPTS = 20
+
+
+def key_hash(keys: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(k) for k in keys])
+
+
+def _kinds(df: DataFrame, keys: Sequence[str]) -> str:
+    """Names and types of the keys: hashes of other types differ."""
+    return ",".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
+
+
+def _word(h: str, words: str) -> Column:
+    """``words`` is a power of two: the word is the low bits of the hash."""
+    return F.col(h).bitwiseAND(F.col(words) - 1)
+
+
+def _mask(h: str) -> Column:
+    """Four of 64 bits, chosen by the hash's high bits."""
+    bits = [F.expr(f"shiftleft(1L, cast(shiftrightunsigned(`{h}`, {at}) & 63 as int))") for at in (40, 46, 52, 58)]
+    return bits[0].bitwiseOR(bits[1]).bitwiseOR(bits[2]).bitwiseOR(bits[3])
+
+
+def _wider(have: str | None, other: T.StructType | None, partition: str) -> T.StructType:
+    """Columns of both, the types of ``other`` where both have one; the partition is text and comes last."""
+    kinds = {} if have is None else {f.name: f.dataType for f in T.StructType.fromJson(json.loads(have))}
+    kinds |= {} if other is None else {f.name: f.dataType for f in other}
+    kinds.pop(partition, None)
+    return T.StructType([T.StructField(n, k) for n, k in kinds.items()] + [T.StructField(partition, T.StringType())])
 
 
 def create_namespaces(spark: SparkSession, prefix: str = "") -> None:
@@ -267,14 +372,16 @@ def publish(spark: SparkSession, name: str, table: VersionedTable | PartitionedT
     if isinstance(table, VersionedTable):
         query = f"SELECT * FROM parquet.`{table.location(table.current())}`"
     else:
-        columns = [c for c in table.read().columns if c != table.partition]
+        state = table.state()
+        fields = [f for f in table.schema() if f.name != table.partition]
         parts = []
-        for name_, folder in sorted(table.manifest().items()):
-            have = spark.read.parquet(f"{table.path}/{folder}/{name_}").columns
-            listed = ", ".join(f"`{c}`" if c in have else f"NULL AS `{c}`" for c in columns)
+        for name_, entry in sorted(state["entries"].items()):
+            # the writes' own schema says which columns a partition lacks
+            have = set(entry.get("columns", [f.name for f in fields]))
+            listed = ", ".join(f"`{f.name}`" if f.name in have else f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in fields)
             value = table.value_of(name_)
             literal = "CAST(NULL AS STRING)" if value is None else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-            parts.append(f"SELECT {listed}, {literal} AS `{table.partition}` FROM parquet.`{table.path}/{folder}/{name_}`")
+            parts.append(f"SELECT {listed}, {literal} AS `{table.partition}` FROM parquet.`{table.path}/{entry['write']}/{name_}`")
         query = " UNION ALL ".join(parts)
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
 

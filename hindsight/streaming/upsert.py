@@ -4,39 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from hindsight.operators.latest import latest_per_key
-from hindsight.session import null_safe
-from hindsight.sources.tables import VersionedTable
+from hindsight.sources.merging import MergeTable
 
 
 def stream_upsert(
     stream: DataFrame,
-    table: VersionedTable,
-    keys: list[str],
-    newest_by: list[str | Column],
+    table: MergeTable,
     checkpoint: str,
     prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
+    compact: bool = True,
 ) -> StreamingQuery:
     """Upsert each micro-batch, newest row per key, into ``table``; then stop.
 
-    Late and repeated snapshots are settled by ``newest_by``: a batch row older
-    than the stored one loses. The version carries the batch number and starts
-    from the version before it, so a replayed batch rewrites its own version.
+    A batch writes its own rows only. Late and repeated snapshots are settled by
+    the table's order: a row older than the stored one loses. The commit of a
+    batch carries its number under the checkpoint's name, so that a replayed
+    batch is found to be there already.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        version = batch_id + 1
-        incoming = prepare(batch)
-        stored = table.before(version)
-        if stored is not None:
-            named = incoming.select(*keys).distinct()
-            touched = stored.join(named, null_safe(stored, named, keys), "left_semi")
-            incoming = incoming.unionByName(touched, allowMissingColumns=True)
-        fresh = latest_per_key(incoming, keys, newest_by)
-        table.upsert(fresh, keys, version=version, check=False)
+        table.append(prepare(batch), (checkpoint, batch_id))
+        if compact:
+            table.compact()
 
     query = (
         stream.writeStream.foreachBatch(apply)

@@ -8,7 +8,7 @@ from hindsight.functions.text import names, path_value, year_month
 from hindsight.session import shared_dir
 from hindsight.sources import landing
 from hindsight.sources.bronze import read_bronze, reopened
-from hindsight.sources.tables import VersionedTable
+from hindsight.sources.merging import MergeTable
 from hindsight.streaming.ingest import ingest_batch, ingest_stream, payload_stream
 from hindsight.streaming.upsert import stream_upsert
 from querybook.base import Book, table
@@ -252,16 +252,32 @@ def landed_files(spark, sf_dir):
     return landing.landed_partitions(spark, path)
 
 
-@book.add(
+USERS_SQL = (
     "SELECT user_id, event_type, event_id FROM events "
     "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"
 )
-def stream_upsert_users(spark, sf_dir):
-    """The newest event of each user kept current while files of events stream in."""
+
+
+def _streamed_users(spark, sf_dir):
     source, out, seen = (shared_dir(spark, n) for n in ("events", "users", "seen"))
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
     events.repartition(4, "event_id").write.parquet(source)
     stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(source)
-    users = VersionedTable(spark, out)
-    stream_upsert(stream, users, ["user_id"], ["ts", "event_id"], seen)
+    users = MergeTable(spark, out, ("user_id",), ("ts", "event_id"))
+    stream_upsert(stream, users, seen, compact=False)
+    return users
+
+
+@book.add(USERS_SQL)
+def stream_upsert_users(spark, sf_dir):
+    """The newest event of each user kept current while files of events stream in; merged when read."""
+    return _streamed_users(spark, sf_dir).read().select("user_id", "event_type", "event_id")
+
+
+@book.add(USERS_SQL)
+def stream_upsert_compacted(spark, sf_dir):
+    """The same once its deltas have become the base."""
+    users = _streamed_users(spark, sf_dir)
+    if len(users.state()["deltas"]) < 2 or not users.compact(whole=True) or users.state()["deltas"]:
+        raise AssertionError("deltas left")
     return users.read().select("user_id", "event_type", "event_id")

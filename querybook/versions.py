@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 
@@ -116,6 +117,25 @@ def partitioned_table_upsert(spark, sf_dir):
     return lines.read().select(*LINE_COLUMNS)
 
 
+@book.add(UPSERT_SQL)
+def concurrent_upserts(spark, sf_dir):
+    """Two writers at once, whose orders share all months: each finds the other's commits and writes on top."""
+    path = shared_dir(spark, "lines-of-two")
+    parts = [p.withColumn("ship_month", F.date_format("l_shipdate", "yyyy-MM")) for p in _old_and_new(spark, sf_dir)]
+
+    def write(odd: int) -> None:
+        lines = PartitionedTable(spark, path, "ship_month")
+        for part in parts:
+            lines.upsert(part.where(F.col("l_orderkey") % 2 == odd), LINE_KEY)
+
+    with ThreadPoolExecutor(2) as writers:
+        list(writers.map(write, (0, 1)))
+    lines = PartitionedTable(spark, path, "ship_month")
+    if len(lines.manifests()) != 4:
+        raise AssertionError("a write is missing")
+    return lines.read().select(*LINE_COLUMNS)
+
+
 @book.add(
     "SELECT count(*) + count(*) FILTER (event_id % 4 = 0) AS snapshot_files, "
     "CAST(sum((CASE WHEN event_id % 4 = 0 THEN 2 ELSE 1 END) * (CASE WHEN event_id % 6 = 0 THEN 2 ELSE 1 END)) "

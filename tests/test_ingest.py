@@ -143,7 +143,7 @@ def test_a_crash_between_two_writes_is_replayed(spark, tmp_path, monkeypatch):
             if len(done) == dies_at:
                 raise OSError("lost")
             done.append(table.path)
-            commit(table, *args)
+            return commit(table, *args)
 
         done.clear()
         with monkeypatch.context() as broken:
