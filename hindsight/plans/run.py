@@ -12,7 +12,8 @@ from hindsight.config import Settings
 from hindsight.operators.checks import enforce
 from hindsight.operators.latest import SNAPSHOT_ORDER, latest_per_key
 from hindsight.plans.checks import layer_report
-from hindsight.plans.gold import dashboard_games, feature_table
+from hindsight.plans.gold import dashboard_games
+from hindsight.plans.incremental import MONTH, refresh_gold
 from hindsight.plans.silver import build_games, build_moves
 from hindsight.schemas import BRONZE, GAME_KEY
 from hindsight.session import configure, null_safe, staged
@@ -20,8 +21,6 @@ from hindsight.sources.commits import Contended
 from hindsight.sources.tables import ATTEMPTS, PartitionedTable, VersionedTable, create_namespaces, create_view, publish
 from hindsight.streaming.ingest import document_stream, ingest_stream, payload_stream
 
-MONTH = "activity_month"
-
 
 @dataclass(frozen=True)
 class Layout:
@@ -45,8 +44,16 @@ class Layout:
         return PartitionedTable(self.spark, self.path("moves"), MONTH)
 
     @property
-    def gold(self) -> VersionedTable:
-        return VersionedTable(self.spark, self.path("game_features"))
+    def edges(self) -> PartitionedTable:
+        return PartitionedTable(self.spark, self.path("game_edges"), MONTH)
+
+    @property
+    def gold(self) -> PartitionedTable:
+        return PartitionedTable(self.spark, self.path("game_features"), MONTH)
+
+    def features(self) -> DataFrame:
+        """Gold as models want it, without the month."""
+        return self.gold.read().drop(MONTH)
 
 
 def with_month(games: DataFrame) -> DataFrame:
@@ -125,9 +132,8 @@ def refresh(
 ) -> list[tuple[str, bool, str]]:
     """Bronze, silver, gold, checks, in this order; raises after the full report if a check fails.
 
-    Bronze and silver take in only what is new. Gold is a projection of silver
-    and rebuilt whole, as any new game may be context for later ones. Every
-    layer is written and read back before the next one uses it, so a lost
+    Bronze and silver take in only what is new, and gold is redone where that
+    changes it. Every layer is written and read back before the next one uses it, so a lost
     executor costs tasks, not the run. With ``catalog``, a prefix of schema
     names that may be empty, the layers are then there by name.
     """
@@ -136,10 +142,10 @@ def refresh(
     ingest_stream(source(spark, landing), layout.path("bronze"), layout.path("_checkpoints/bronze"))
     refresh_silver(layout, accounts, friends, settings)
     games, moves = layout.games.read(), layout.moves.read()
-    layout.gold.write(feature_table(games, settings))
+    refresh_gold(layout.games, layout.edges, layout.gold, settings)
     if catalog is not None:
         publish_layers(layout, catalog, settings)
-    return enforce(layer_report(layout.bronze(), games, moves, layout.gold.read(), settings))
+    return enforce(layer_report(layout.bronze(), games, moves, layout.features(), settings))
 
 
 def publish_layers(layout: Layout, prefix: str = "", settings: Settings = Settings()) -> None:

@@ -170,6 +170,12 @@ class PartitionedTable:
             return self.spark.createDataFrame([], schema)
         return self._load(entries, schema)
 
+    def at(self, number: int, names: Sequence[str] | set[str] | None = None) -> DataFrame:
+        """Rows as of a commit, all or those of some partition folders; its columns are those of the newest."""
+        state = self.state(number)
+        entries = {n: e for n, e in state["entries"].items() if names is None or n in names}
+        return self._typed(entries, self.state(), None)
+
     def holding(self, keys_of: DataFrame, keys: list[str]) -> list[str | None]:
         """Partitions that now hold one of the keys; of those that their filters let pass, key columns are read."""
         state = self.state()
@@ -211,7 +217,7 @@ class PartitionedTable:
         rows = self._load(entries, schema)
         kind = _kinds(rows, keys)
         hashed = rows.select(F.col(self.partition).alias("value"), key_hash(keys).alias("h"))
-        sizes = {self._folder(r["value"]): r["n"] for r in hashed.groupBy("value").agg(F.count("*").alias("n")).collect()}
+        sizes = {self.folder(r["value"]): r["n"] for r in hashed.groupBy("value").agg(F.count("*").alias("n")).collect()}
         for name, entry in entries.items():
             entry["words"], entry["keys"] = 1 << max(0, (sizes.get(name, 0) - 1).bit_length() - 2), kind
         known = self.spark.createDataFrame([(self.value_of(n), n, e["words"]) for n, e in entries.items()], "value_ string, part string, words long")
@@ -220,7 +226,7 @@ class PartitionedTable:
         words.select(*FILTER.names).write.mode("overwrite").parquet(f"{self.path}/_keys/{write}")
         return entries
 
-    def _folder(self, value: str | None) -> str:
+    def folder(self, value: str | None) -> str:
         """Name of a partition's folder as Spark writes it."""
         escape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
         return f"{self.partition}=" + ("__HIVE_DEFAULT_PARTITION__" if value is None else escape(value))
@@ -233,7 +239,7 @@ class PartitionedTable:
 
     def rows_in(self, partitions: Sequence[str | None], like: DataFrame | None = None) -> DataFrame:
         """Rows of some partitions; no other folder is read."""
-        names, state = {self._folder(p) for p in partitions}, self.state()
+        names, state = {self.folder(p) for p in partitions}, self.state()
         return self._typed({n: e for n, e in state["entries"].items() if n in names}, state, like)
 
     def upsert(
@@ -252,13 +258,48 @@ class PartitionedTable:
             self._replace(source, source.select(*keys), keys, held, at)
 
     def replace_groups(
-        self, df: DataFrame, groups: DataFrame, keys: list[str], held: Sequence[str | None] | None = None, at: int | None = None
+        self,
+        df: DataFrame,
+        groups: DataFrame,
+        keys: list[str],
+        held: Sequence[str | None] | None = None,
+        at: int | None = None,
+        note: dict | None = None,
     ) -> None:
-        """All rows of ``groups`` give way to those ``df`` has of them, which may be none."""
-        with staged(df) as source:
-            self._replace(source, groups.select(*keys).distinct(), keys, held, at)
+        """All rows of ``groups`` give way to those ``df`` has of them, which may be none.
 
-    def _replace(self, source: DataFrame, touched: DataFrame, keys: list[str], held, at: int | None) -> None:
+        ``note`` is kept with the commit, and with later ones until there is another.
+        """
+        with staged(df) as source:
+            self._replace(source, groups.select(*keys).distinct(), keys, held, at, note)
+
+    def replace_all(self, df: DataFrame, keys: list[str], note: dict | None = None) -> None:
+        """``df`` is the table from now on."""
+        for _ in range(ATTEMPTS):
+            number = self.commits.newest()
+            write, made = self._write(df, number + 1, keys)
+            entries = self.manifest(number).keys() | made.keys()
+            state = {"entries": made, "schema": _wider(None, df.schema, self.partition).json(), "touched": sorted(entries), "note": note}
+            if self._commit(state, number + 1):
+                return
+            self._forget(write)
+        raise Contended(f"{self.path}: others wrote {ATTEMPTS} times meanwhile")
+
+    def _write(self, rows: DataFrame, number: int, keys: list[str]) -> tuple[str, dict[str, dict]]:
+        """Write partitions and their filters to a folder of this write's own."""
+        write = f"{WRITE}={number:010d}-{uuid.uuid4().hex[:12]}"
+        # one task per partition, or several where AQE finds one large
+        rows.hint("rebalance", self.partition).write.partitionBy(self.partition).parquet(f"{self.path}/{write}")
+        # What was written says which partitions there are now.
+        files, location = file_system(self.spark, f"{self.path}/{write}")
+        written = sorted(s.getPath().getName() for s in files.listStatus(location) if s.isDirectory())
+        return write, self._write_filters(write, written, rows.schema, keys)
+
+    def _forget(self, write: str) -> None:
+        for folder in (f"{self.path}/{write}", f"{self.path}/_keys/{write}"):
+            delete(self.spark, folder)
+
+    def _replace(self, source: DataFrame, touched: DataFrame, keys: list[str], held, at: int | None, note: dict | None = None) -> None:
         new = {row[0] for row in source.select(self.partition).distinct().collect()}
         for _ in range(ATTEMPTS if at is None else 1):
             number = self.commits.newest() if at is None else at
@@ -266,32 +307,28 @@ class PartitionedTable:
             # Touched are the partitions of the new rows and those now holding one of
             # the keys: a row that moves to another partition leaves no copy behind.
             values = new | set(held if held is not None else self._holding(state, state["entries"], touched, keys))
-            names = {self._folder(v) for v in values}
+            names = {self.folder(v) for v in values}
             entries = {n: e for n, e in state["entries"].items() if n in names}
             affected = self._typed(entries, state, source)
             kept = affected.join(touched, null_safe(affected, touched, keys), "left_anti")
             merged = kept.unionByName(source, allowMissingColumns=True)
-            write = f"{WRITE}={number + 1:010d}-{uuid.uuid4().hex[:12]}"
-            # one task per partition, or several where AQE finds one large
-            even = merged.hint("rebalance", self.partition).write.partitionBy(self.partition)
-            even.parquet(f"{self.path}/{write}")
-            # What was written says which partitions there are now; the others of the touched ones are empty.
-            files, location = file_system(self.spark, f"{self.path}/{write}")
-            written = sorted(s.getPath().getName() for s in files.listStatus(location) if s.isDirectory())
-            made = self._write_filters(write, written, merged.schema, keys)
-            if self._land(number, state, names | set(written), made, merged.schema, touched, keys):
+            write, made = self._write(merged, number + 1, keys)
+            # Touched partitions that weren't written are empty now.
+            if self._land(number, state, names | made.keys(), made, merged.schema, touched, keys, note):
                 return
             held = None
-            for folder in (f"{self.path}/{write}", f"{self.path}/_keys/{write}"):
-                delete(self.spark, folder)
+            self._forget(write)
         raise Contended(f"{self.path}: others wrote what this write touches")
 
-    def _land(self, number: int, state: dict, gone: set[str], made: dict[str, dict], schema, touched: DataFrame, keys: list[str]) -> bool:
+    def _land(
+        self, number: int, state: dict, gone: set[str], made: dict[str, dict], schema, touched: DataFrame, keys: list[str], note: dict | None
+    ) -> bool:
         """Commit on top of ``state`` or of what came since, if that leaves this write right; whether it did."""
         while True:
             entries = {n: e for n, e in state["entries"].items() if n not in gone} | made
             wider = _wider(state["schema"], schema, self.partition).json()
-            if self._commit({"entries": entries, "schema": wider, "touched": sorted(gone)}, number + 1):
+            after = {"entries": entries, "schema": wider, "touched": sorted(gone), "note": note or state.get("note")}
+            if self._commit(after, number + 1):
                 return True
             newest = self.commits.newest()
             if not set(range(number + 1, newest + 1)) <= set(self.manifests()):
