@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hindsight.config import Settings
-from hindsight.plans.gold import CONTEXT_COLUMNS, activity, feature_table
+from hindsight.plans.gold import CONTEXT_COLUMNS, feature_table
 from hindsight.schemas import GAME_KEY
 from hindsight.session import null_safe, staged
 from hindsight.sources.tables import PartitionedTable

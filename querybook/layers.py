@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hindsight.config import DAY, ECO_CODES, WEEK, WEEKDAYS, Settings
+from hindsight.config import DAY, ECO_CODES, FEATURES_48, WEEK, WEEKDAYS, Settings
 from hindsight.plans import gold, silver
 from hindsight.plans.checks import layer_report
-from hindsight.plans.run import Layout, refresh_silver
+from hindsight.plans.incremental import refresh_gold
+from hindsight.plans.run import Layout, refresh_silver, with_month
+from hindsight.schemas import GAME_KEY
 from hindsight.session import shared_dir, stage
 from hindsight.sources.landing import land_snapshots
 from hindsight.streaming.ingest import ingest_stream, payload_stream
@@ -197,13 +199,28 @@ def features(spark, sf_dir):
     return gold.feature_table(all_games)
 
 
-@book.add(f"WITH {GOLD_SQL} SELECT * FROM gold")
-def feature_table(spark, sf_dir):
-    table = features(spark, sf_dir)
+def _in_doubles(table):
     doubles = {c: F.col(c).cast("double") for c in ("TimeOfDay", "TimeControl")}
     return table.withColumns({**doubles, "start_sec": F.unix_timestamp("start_ts").cast("double")}).drop("start_ts")
 
 
+@book.add(f"WITH {GOLD_SQL} SELECT * FROM gold")
+def feature_table(spark, sf_dir):
+    return _in_doubles(features(spark, sf_dir))
+
+
+@book.add(f"WITH {GOLD_SQL} SELECT * FROM gold")
+def incremental_gold(spark, sf_dir):
+    """Gold kept up with games that come in three runs, those of the later runs all along the timelines."""
+    layout = Layout(spark, shared_dir(spark, "lake"))
+    waiting = stage(with_month(games(spark, sf_dir)), "games")
+    run = F.pmod(F.xxhash64("game_uuid", "account"), F.lit(20))
+    for part in (run > 1, run == 1, run == 0):
+        layout.games.upsert(waiting.where(part), GAME_KEY, check=False)
+        refresh_gold(layout.games, layout.edges, layout.gold)
+    return _in_doubles(layout.features())
+
+
 @book.add(
     f"WITH {GAMES_SQL}, l AS (SELECT *, ((coalesce(start_ts, make_timestamp(end_sec * 1000000)) AT TIME ZONE 'UTC') "
     f"AT TIME ZONE '{ZONE}') AS local FROM games) SELECT game_uuid, account, result, epoch(local)::BIGINT AS local_sec, "
@@ -217,22 +234,25 @@ def dashboard_rows(spark, sf_dir):
     )
 
 
+OPENINGS_SQL = " + ".join(f"ECO_{c}" for c in [*ECO_CODES, "Other"])
+
+
 @book.add(
-    f"WITH {GOLD_SQL} SELECT (SELECT count(*) FROM games WHERE {POPULATION_SQL}) AS model_population, "
-    "count(*) AS gold_rows, count(*) FILTER (TimeSinceLast IS NULL) AS null_time_since_last, "
-    f"CAST(sum({' + '.join(f'ECO_{c}' for c in [*ECO_CODES, 'Other'])}) AS BIGINT) AS eco_onehot_sum FROM gold"
+    f"WITH {GOLD_SQL} SELECT 'games of the population' AS measure, count(*) AS rows FROM games WHERE {POPULATION_SQL} "
+    "UNION ALL SELECT 'rows of gold', count(*) FROM gold "
+    f"UNION ALL SELECT 'rows of gold with one opening', count(*) FROM gold WHERE {OPENINGS_SQL} = 1 "
+    "UNION ALL SELECT 'rows of gold without a game before', count(*) FROM gold WHERE TimeSinceLast IS NULL"
 )
 def gold_invariants(spark, sf_dir):
     all_games = stage(games(spark, sf_dir), "games")
     return gold.gold_invariants(all_games, gold.feature_table(all_games))
 
 
-@book.add(
-    f"WITH {GOLD_SQL} SELECT round(avg(GameOfDay), 2) AS avg_GameOfDay, max(GameOfDay) AS max_GameOfDay, "
-    "round(avg(DailyWinPerc), 2) AS avg_DailyWinPerc, round(avg(MyNumMoves), 1) AS avg_MyNumMoves, "
-    "round(avg(MyTotalTime), 1) AS avg_MyTotalTime, round(avg(ICastledShort), 3) AS avg_ICastledShort, "
-    "round(avg(EloDifference), 2) AS avg_EloDifference FROM gold"
-)
+def _feature_row(name: str) -> str:
+    return f"SELECT '{name}' AS feature, round(avg(\"{name}\"), {gold.DECIMALS}) AS average, max(\"{name}\")::DOUBLE AS largest FROM gold"
+
+
+@book.add(f"WITH {GOLD_SQL} " + " UNION ALL ".join(_feature_row(name) for name in FEATURES_48))
 def feature_sanity(spark, sf_dir):
     return gold.summary(features(spark, sf_dir))
 
