@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from hindsight.operators.upsert import duplicate_keys
@@ -86,14 +86,53 @@ def _report(totals: DataFrame, rules: Sequence[RowRule | Floor], text: str) -> D
     return totals.select(F.inline(F.array(*rows)))
 
 
-def _counted_rules(df: DataFrame, rules: Sequence[RowRule | Floor]) -> DataFrame:
+def _measures(rules: Sequence[RowRule | Floor]) -> list[Column]:
     measures: list[Column] = []
     for i, rule in enumerate(rules):
         floor = isinstance(rule, Floor)
         counted = (F.lit(True) if rule.where is None else rule.where) if floor else _bad(rule)
         measures.append(F.count_if(counted).alias(f"n{i}"))
-    bounds = {f"bound{i}": F.lit(r.least if isinstance(r, Floor) else r.allowed).cast("bigint") for i, r in enumerate(rules)}
-    return _report(df.agg(*measures).withColumns(bounds), rules, "%d bad rows, at most %d")
+    return measures
+
+
+def _bounds(rules: Sequence[RowRule | Floor]) -> list[int]:
+    return [r.least if isinstance(r, Floor) else r.allowed for r in rules]
+
+
+def _counted_rules(df: DataFrame, rules: Sequence[RowRule | Floor]) -> DataFrame:
+    bounds = {f"bound{i}": F.lit(bound).cast("bigint") for i, bound in enumerate(_bounds(rules))}
+    return _report(df.agg(*_measures(rules)).withColumns(bounds), rules, "%d bad rows, at most %d")
+
+
+class Watch:
+    """Rules counted while rows are written, so that checking them reads nothing again.
+
+    Write ``rows``, all of them and once, before asking for ``report`` or
+    ``count``. A rule with ``per`` needs its rows together and can't be watched.
+    """
+
+    def __init__(self, df: DataFrame, rules: Sequence[RowRule | Floor]):
+        if any(isinstance(r, RowRule) and r.per for r in rules):
+            raise ValueError("a bound per value is no matter of single rows")
+        self.rules, self._seen = list(rules), Observation()
+        self.rows = df.observe(self._seen, F.count("*").alias("rows"), *_measures(rules))
+
+    def count(self, name: str | None = None) -> int:
+        """Rows written; with the name of a floor, those that it counts."""
+        found = self._seen.get
+        return found["rows"] if name is None else found[f"n{[r.name for r in self.rules].index(name)}"]
+
+    def report(self) -> DataFrame:
+        spark, found = self.rows.sparkSession, self._seen.get
+        row = {f"n{i}": found[f"n{i}"] for i in range(len(self.rules))} | {f"bound{i}": b for i, b in enumerate(_bounds(self.rules))}
+        totals = spark.range(1).select(*[F.lit(v).cast("bigint").alias(k) for k, v in row.items()])
+        return _report(totals, self.rules, "%d bad rows, at most %d")
+
+
+def offending_rows(df: DataFrame, rules: Sequence[RowRule], keys: Sequence[str]) -> DataFrame:
+    """(rule, *keys) of each row and rule that it breaks, in one pass; of rules with ``per`` also what is allowed."""
+    broken = F.filter(F.array(*[F.when(_bad(r), F.lit(r.name)) for r in rules]), lambda name: name.isNotNull())
+    return df.select(F.explode(broken).alias("rule"), *keys)
 
 
 def _grouped_rules(df: DataFrame, rules: Sequence[RowRule], per: str) -> DataFrame:
@@ -153,6 +192,89 @@ def check_reconciled(left: DataFrame, right: DataFrame, name: str, keys: Sequenc
     )
 
 
+#: Positions below this are counted in bits, 64 a word; sequences beyond are rare and counted one by one.
+POSITIONS = 1024
+
+
+@dataclass(frozen=True)
+class Lineage:
+    """Keys of a source, of the table made of it, and of that table's children, who are told apart by a position from 0.
+
+    One aggregation by key over all three, of numbers of fixed width, so that a
+    key held by a third of all rows is one row a task before the exchange.
+    Null is a key as any other.
+    """
+
+    source: DataFrame
+    parents: DataFrame
+    children: DataFrame
+    keys: Sequence[str]
+    position: str
+
+    def keyed(self) -> DataFrame:
+        """A row a key: rows in source and parents, children, and how many of these repeat a position."""
+        at = F.col("at")
+        kind = lambda df, name, position: df.select(*self.keys, F.lit(name).alias("kind"), position.cast("bigint").alias("at"))
+        none = F.lit(None)
+        rows = kind(self.source, "s", none).unionByName(kind(self.parents, "p", none)).unionByName(kind(self.children, "c", F.col(self.position)))
+        inside = (F.col("kind") == "c") & at.between(0, POSITIONS - 1)
+        words = [
+            F.bit_or(F.when(inside & (F.floor(at / 64) == w), F.expr("shiftleft(1L, cast(at % 64 as int))"))).alias(f"w{w}") for w in range(POSITIONS // 64)
+        ]
+        counts = [F.count_if(F.col("kind") == k).alias(name) for k, name in (("s", "sources"), ("p", "parents"), ("c", "children"))]
+        grouped = rows.groupBy(*self.keys).agg(*counts, F.count_if(inside).alias("inside"), *words)
+        distinct = reduce(lambda a, b: a + b, [F.coalesce(F.bit_count(f"w{w}"), F.lit(0)) for w in range(POSITIONS // 64)])
+        return grouped.select(*self.keys, "sources", "parents", "children", (F.col("inside") - distinct).alias("repeated"))
+
+    def _beyond(self) -> DataFrame:
+        """Keys and positions that bits don't count, held more than once."""
+        outside = ~F.coalesce(F.col(self.position).between(0, POSITIONS - 1), F.lit(False))
+        return duplicate_keys(self.children.where(outside), [*self.keys, self.position])
+
+    def offenders(self) -> DataFrame:
+        """(problem, *keys, rows): which keys break which rule, and in how many rows."""
+        problems = {
+            "missing": ((F.col("sources") > 0) & (F.col("parents") == 0), F.col("sources")),
+            "extra": ((F.col("sources") == 0) & (F.col("parents") > 0), F.col("parents")),
+            "repeated": (F.col("parents") > 1, F.col("parents")),
+            "orphan": ((F.col("children") > 0) & (F.col("parents") == 0), F.col("children")),
+            "repeated child": (F.col("repeated") > 0, F.col("repeated")),
+        }
+        listed = F.array(*[F.when(c, F.struct(F.lit(name).alias("problem"), n.alias("rows"))) for name, (c, n) in problems.items()])
+        found = self.keyed().select(F.explode(F.filter(listed, lambda x: x.isNotNull())).alias("x"), *self.keys).select("x.problem", *self.keys, "x.rows")
+        beyond = self._beyond().groupBy(*self.keys).agg(F.sum(F.col("rows") - 1).alias("rows"))
+        return found.unionByName(beyond.select(F.lit("repeated child").alias("problem"), *self.keys, "rows"))
+
+    def check(self, unique: str, reconciled: str, child_unique: str, orphans: str) -> DataFrame:
+        """Four report rows of these names."""
+        beyond = self._beyond().agg(F.coalesce(F.sum(F.col("rows") - 1), F.lit(0)))
+        totals = self.keyed().agg(
+            F.count_if(F.col("parents") > 1).alias("unique"),
+            F.count_if((F.col("sources") > 0) & (F.col("parents") == 0)).alias("missing"),
+            F.count_if((F.col("sources") == 0) & (F.col("parents") > 0)).alias("extra"),
+            F.coalesce(F.sum("repeated"), F.lit(0)).alias("inside"),
+            F.coalesce(F.sum(F.when(F.col("parents") == 0, F.col("children"))), F.lit(0)).alias("orphans"),
+        )
+        totals = totals.withColumn("repeated", F.col("inside") + beyond.scalar())
+
+        def row(name: str, text: str, *counts: str):
+            ok = reduce(lambda a, b: a & b, [F.col(c) == 0 for c in counts])
+            return F.struct(F.lit(name).alias("name"), ok.alias("ok"), F.format_string(text, *[F.col(c) for c in counts]).alias("detail"))
+
+        rows = [
+            row(unique, "%d repeated keys", "unique"),
+            row(reconciled, "%d keys missing, %d keys extra", "missing", "extra"),
+            row(child_unique, "%d rows repeat a key", "repeated"),
+            row(orphans, "%d orphan rows", "orphans"),
+        ]
+        return totals.select(F.inline(F.array(*rows)))
+
+
+def check_equal_counts(spark: SparkSession, found: int, expected: int, name: str) -> DataFrame:
+    """Two counts that are known already."""
+    return _stated(spark, name, found == expected, f"{found} rows, expected {expected}")
+
+
 def check_same_count(left: DataFrame, right: DataFrame, name: str) -> DataFrame:
     a, b = (df.agg(F.count("*").alias("n")) for df in (left, right))
     both = a.select(F.col("n").alias("l"), b.scalar().alias("r"))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hindsight.config import DAY, ECO_CODES, FEATURES_48, WEEK, WEEKDAYS, Settings
+from hindsight.operators import checks as q
 from hindsight.plans import gold, silver
-from hindsight.plans.checks import layer_report
+from hindsight.plans.checks import game_rules, gold_rules, layer_report
 from hindsight.plans.incremental import refresh_gold
 from hindsight.plans.run import Layout, refresh_silver, with_month
 from hindsight.schemas import GAME_KEY
@@ -20,6 +21,8 @@ from querybook.standins import GAMES_SQL, MOVES_SQL, POPULATION_SQL
 
 book = Book()
 ZONE = Settings().zone
+#: A floor that the population of the smallest given tables is below and that of the others above.
+LEAST_POPULATION = 1_000
 
 
 def games(spark, sf_dir):
@@ -274,9 +277,9 @@ SELECT unnest([
   {{'name': 'games schema contract', 'ok': true, 'detail': 'missing: [], mistyped: []'}},
   {{'name': 'moves schema contract', 'ok': true, 'detail': 'missing: [], mistyped: []'}},
   {{'name': 'games key uniqueness', 'ok': true, 'detail': '0 repeated keys'}},
-  {{'name': 'moves key uniqueness', 'ok': true, 'detail': '0 repeated keys'}},
+  {{'name': 'moves key uniqueness', 'ok': true, 'detail': '0 rows repeat a key'}},
   {{'name': 'games row-count floor', 'ok': games >= 500, 'detail': games || ' rows, at least 500'}},
-  {{'name': 'model population floor', 'ok': pop >= 5769, 'detail': pop || ' rows, at least 5769'}},
+  {{'name': 'model population floor', 'ok': pop >= {LEAST_POPULATION}, 'detail': pop || ' rows, at least {LEAST_POPULATION}'}},
   {{'name': 'standard games have start_ts', 'ok': nostart <= 0, 'detail': nostart || ' bad rows, at most 0'}},
   {{'name': 'result domain', 'ok': true, 'detail': '0 bad rows, at most 0'}},
   {{'name': 'bronze to silver reconciliation', 'ok': true, 'detail': '0 keys missing, 0 keys extra'}},
@@ -290,8 +293,41 @@ SELECT unnest([
 """)
 def check_report(spark, sf_dir):
     """All rules at once; the rule on start times fails on these data, and is reported so."""
+    settings = Settings(min_games=500, min_population=LEAST_POPULATION)
     bronze = standins.snapshots(spark, sf_dir)
-    all_games = stage(games(spark, sf_dir), "games")
+    games_watch = q.Watch(games(spark, sf_dir), game_rules(settings))
+    all_games = stage(games_watch.rows, "games")
     moves = stage(silver.build_moves(all_games), "moves")
-    table = stage(gold.feature_table(all_games), "gold")
-    return layer_report(bronze, all_games, moves, table, Settings(min_games=500, min_population=5769))
+    gold_watch = q.Watch(gold.feature_table(all_games), gold_rules(settings))
+    table = stage(gold_watch.rows, "gold")
+    return layer_report(bronze, all_games, moves, table, settings, games_watch, gold_watch)
+
+
+@book.add(
+    f"WITH {GAMES_SQL} SELECT 'standard games have start_ts' AS rule, game_uuid, account FROM games WHERE rules = 'chess' AND start_ts IS NULL "
+    "UNION ALL SELECT 'rated', game_uuid, account FROM games WHERE NOT rated"
+)
+def offending_rows(spark, sf_dir):
+    """Which games break which rule."""
+    rules = [*[r for r in game_rules() if isinstance(r, q.RowRule)], q.RowRule("rated", F.col("rated"))]
+    return q.offending_rows(games(spark, sf_dir), rules, GAME_KEY)
+
+
+@book.add(
+    f"WITH {GAMES_SQL}, {MOVES_SQL}, kept AS (SELECT * FROM games WHERE id % 10 <> 3), twice AS (SELECT * FROM kept WHERE id % 10 = 7), "
+    "read AS (SELECT * FROM games WHERE id % 10 <> 4), n AS (SELECT game_uuid, account, count(*) AS moves FROM moves GROUP BY ALL) "
+    "SELECT 'missing' AS problem, game_uuid, account, CAST((CASE WHEN id % 4 = 0 THEN 2 ELSE 1 END) * (CASE WHEN id % 6 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS rows "
+    "FROM games WHERE id % 10 = 3 UNION ALL SELECT 'extra', game_uuid, account, 1 FROM games WHERE id % 10 = 4 "
+    "UNION ALL SELECT 'repeated', game_uuid, account, 2 FROM twice "
+    "UNION ALL SELECT 'orphan', game_uuid, account, moves FROM n JOIN games USING (game_uuid, account) WHERE id % 10 = 3 "
+    "UNION ALL SELECT 'repeated child', game_uuid, account, 1 FROM moves WHERE id % 10 = 5 AND ply = 2"
+)
+def offending_keys(spark, sf_dir):
+    """Keys that are missing, extra, repeated or orphaned, of layers that were made so."""
+    last = F.substring("game_uuid", -1, 1)
+    bronze = silver.explode_games(standins.snapshots(spark, sf_dir)).where(last != "4")
+    all_games = stage(games(spark, sf_dir), "games")
+    moves = silver.build_moves(all_games)
+    kept = all_games.where(last != "3")
+    again = moves.where((last == "5") & (F.col("ply") == 2))
+    return q.Lineage(bronze, kept.unionByName(kept.where(last == "7")), moves.unionByName(again), GAME_KEY, "ply").offenders()

@@ -174,3 +174,31 @@ def test_metrics_by_hand(spark):
     assert report["macro"] == (0.5, 0.5, 0.5, 4) and report["weighted"] == (0.5, 0.5, 0.5, 4)
     matrix = metrics.confusion_matrix(df, "label", "predicted", [0, 1, 2])
     assert values(matrix) == [(0, 1, 1, 0), (1, 1, 0, 0), (2, 0, 0, 1)]
+
+
+def test_watched_rules_equal_counted_ones(spark, tmp_path):
+    df = spark.range(100).selectExpr("id", "if(id % 7 = 0, null, cast(id % 3 as string)) k").repartition(5)
+    rules = [q.Floor("many", 50), q.Floor("few", 90, F.col("id") > 20), q.in_domain("known", "k", ["0", "1"]), q.in_domain("lax", "k", ["0", "1", "2"], null_ok=True)]
+    watch = q.Watch(df, rules)
+    watch.rows.write.parquet(str(tmp_path / "out"))
+    assert watch.report().collect() == q.check_rows(df, rules).collect()
+    assert watch.count() == 100 and watch.count("few") == 79
+    with pytest.raises(ValueError):
+        q.Watch(df, [q.null_bound("first", "k", per="id")])
+    broken = {(r["rule"], r["id"]) for r in q.offending_rows(df, rules[2:], ["id"]).collect()}
+    assert broken == {("known", i) for i in range(100) if i % 7 == 0 or i % 3 == 2}
+
+
+def test_lineage_names_each_offender(spark):
+    source = spark.createDataFrame([("a",), ("a",), ("b",), ("lost",), (None,)], "k string")
+    parents = spark.createDataFrame([("a",), ("b",), ("b",), ("new",), (None,)], "k string")
+    far = q.POSITIONS + 5
+    moves = [("a", i) for i in (0, 1, 63, 64, 64, 64, 1023)] + [("a", far), ("a", far), ("a", None), ("orphan", 1), ("orphan", 2), (None, 7), (None, 7)]
+    lineage = q.Lineage(source, parents, spark.createDataFrame(moves, "k string, at int"), ["k"], "at")
+    got = sorted(((r["problem"], r["k"], r["rows"]) for r in lineage.offenders().collect()), key=str)
+    want = [("missing", "lost", 1), ("extra", "new", 1), ("repeated", "b", 2), ("orphan", "orphan", 2), ("repeated child", "a", 2), ("repeated child", "a", 1), ("repeated child", None, 1)]
+    assert got == sorted(want, key=str)
+    report = {r["name"]: (r["ok"], r["detail"]) for r in lineage.check("u", "r", "c", "o").collect()}
+    assert report == {"u": (False, "1 repeated keys"), "r": (False, "1 keys missing, 1 keys extra"), "c": (False, "4 rows repeat a key"), "o": (False, "2 orphan rows")}
+    clean = q.Lineage(source.limit(0), parents.limit(0), lineage.children.limit(0), ["k"], "at").check("u", "r", "c", "o")
+    assert all(r["ok"] for r in clean.collect())
