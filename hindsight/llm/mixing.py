@@ -115,8 +115,8 @@ def tilts(histogram: DataFrame, wanted: DataFrame) -> DataFrame:
             "tilts",
         )
         if (state.agg(F.max("off")).first()[0] or 0.0) < CLOSE:
-            break
-    return state
+            return state
+    raise RuntimeError(f"a source's tilt isn't solved after {MOST_STEPS} steps")
 
 
 def rounded(group: pd.DataFrame) -> pd.DataFrame:
@@ -178,6 +178,7 @@ def mix(docs: DataFrame, weights: list[float] = (3, 1, 2), share: float = 1.5) -
 
 def mixed(docs: DataFrame, weights: list[float] = (3, 1, 2), share: float = 1.5) -> DataFrame:
     """``docs`` with each row as often as the mix takes it; columns unchanged. Ids must be those of one row each."""
-    taken = mix(docs, weights, share).where("copies > 0").select(F.col("doc_id").alias("_id"), "copies")
-    joined = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")))
-    return joined.withColumn("_nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*docs.columns)
+    taken = mix(docs, weights, share).where("copies > 0").select(F.col("doc_id").alias("id_"), F.col("copies").alias("copies_"))
+    rows = docs.select(F.struct("*").alias("row_"))
+    joined = rows.join(taken, F.col("row_")["doc_id"].eqNullSafe(F.col("id_")))
+    return joined.select("row_", F.explode(F.sequence(F.lit(1).cast("long"), "copies_"))).select("row_.*")

@@ -338,5 +338,8 @@ def near_duplicates(docs: DataFrame, least: float = LEAST) -> DataFrame:
 
 def keep_one(docs: DataFrame, least: float = LEAST) -> DataFrame:
     """``docs`` without all but one document of each component; columns unchanged, repeated equal rows once."""
-    kept = near_duplicates(docs, least).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").dropDuplicates(["doc_id", "text"])
+    kept = near_duplicates(docs, least).where("kept").select(F.col("doc_id").alias("id_")).distinct()
+    # Rows go through as one struct, so that no column of theirs clashes with ours.
+    rows = docs.select(F.struct("*").alias("row_"))
+    rows = rows.join(kept, F.col("row_")["doc_id"].eqNullSafe(F.col("id_")), "left_semi")
+    return rows.select("row_.*").dropDuplicates(["doc_id", "text"])

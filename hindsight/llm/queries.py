@@ -75,12 +75,12 @@ def op6_secrets(spark, sf_dir):
             count(*) OVER (PARTITION BY conv_id) AS size
         FROM t
     ), side AS (
-        SELECT conv_id, k, role, text, 'chosen' AS side FROM n WHERE xor(conv_id, 1) IN (SELECT conv_id FROM n)
+        SELECT conv_id, k, role, text, 'chosen' AS side FROM n
         UNION ALL
-        SELECT conv_id, k, role, text, 'rejected' FROM n WHERE k < size AND xor(conv_id, 1) IN (SELECT conv_id FROM n)
+        SELECT conv_id, k, role, text, 'rejected' FROM n WHERE k <= (conv_id % size + size) % size
         UNION ALL
-        SELECT a.conv_id, a.size, b.role, b.text, 'rejected' FROM n a JOIN n b ON b.conv_id = xor(a.conv_id, 1)
-        WHERE a.k = a.size AND b.k = b.size
+        SELECT a.conv_id, b.k, b.role, b.text, 'rejected' FROM (SELECT DISTINCT conv_id, size FROM n) a JOIN n b ON b.conv_id = xor(a.conv_id, 1)
+        WHERE b.k > (a.conv_id % a.size + a.size) % a.size
     ), equal AS (
         SELECT conv_id, k, count(*) = 2 AND count(DISTINCT (role, text)) = 1 AS same FROM side GROUP BY conv_id, k
     ), cut AS (
@@ -104,11 +104,17 @@ def op6_secrets(spark, sf_dir):
     """
 )
 def op7_preference_format(spark, sf_dir):
-    """Each conversation is chosen; with its last turn exchanged for that of its neighbour (ids 2k and 2k + 1) it is rejected."""
+    """Each conversation is chosen. Its first ``id mod size`` turns and the later ones of its neighbour are rejected.
+
+    Neighbours are ids 2k and 2k + 1, so that pairs part early or late and differ in length. Without a
+    neighbour nothing follows the shared turns: the rejected completion is empty.
+    """
     own = preference.turns_of(table(spark, sf_dir, "conversations")).toDF("pair_id", "chosen")
-    reply = own.select(F.col("pair_id").bitwiseXOR(F.lit(1)).alias("pair_id"), F.element_at("chosen", -1).alias("reply"))
-    rejected = F.concat(F.slice("chosen", 1, F.size("chosen") - 1), F.array("reply"))
-    formatted = preference.format_pairs(own.join(reply, "pair_id").withColumn("rejected", rejected))
+    other = own.select(F.col("pair_id").bitwiseXOR(F.lit(1)).alias("pair_id"), F.col("chosen").alias("other"))
+    shared = F.pmod("pair_id", F.size("chosen")).cast("int")
+    later = F.coalesce(F.slice("other", shared + 1, F.greatest(F.size("other") - shared, F.lit(0))), F.slice("chosen", 1, 0))
+    pairs = own.join(other, "pair_id", "left").withColumn("rejected", F.concat(F.slice("chosen", F.lit(1), shared), later))
+    formatted = preference.format_pairs(pairs)
     listed = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",").alias(c)
     return formatted.select("pair_id", "prompt_turns", "prompt", "chosen", "rejected", listed("chosen_mask"), listed("rejected_mask"))
 

@@ -196,19 +196,23 @@ def redact(docs: DataFrame, rules: list[Rule] = RULES, mark: str = "[secret]") -
     found = by_text(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), key.alias("key")), rules)
     found = stage(found.where(F.size("spans") > 0).dropDuplicates(["key"]), "secrets")
 
+    # Rows go through as one struct, so that no column of theirs clashes with ours.
+    rows = docs.select(F.struct("*").alias("row_"), key.alias("key_"))
+    joined = rows.join(found.select(F.col("key").alias("key_"), F.col("spans").alias("spans_")), "key_", "left")
+    text = F.col("row_")["text"]
+
     def replaced(state: Column, s: Column) -> Column:
         fresh = s["start"] >= state["at"]
-        until = F.substring(F.col("text"), (state["at"] + 1).cast("int"), (s["start"] - state["at"]).cast("int"))
+        until = F.substring(text, (state["at"] + 1).cast("int"), (s["start"] - state["at"]).cast("int"))
         out = F.when(fresh, F.concat(state["out"], until, F.lit(mark))).otherwise(state["out"])
         return F.struct(F.greatest(state["at"], s["end"]).alias("at"), out.alias("out"))
 
-    rest = lambda state: F.concat(state["out"], F.substring(F.col("text"), (state["at"] + 1).cast("int"), F.length("text")))
+    rest = lambda state: F.concat(state["out"], F.substring(text, (state["at"] + 1).cast("int"), F.length(text)))
     begin = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate("spans", begin, replaced, rest)
-    joined = docs.withColumn("_key", key).join(found.select(F.col("key").alias("_key"), "spans"), "_key", "left")
-    dirty = F.col("spans").isNotNull()
-    joined = joined.withColumn("_text", F.when(dirty, clean).otherwise(F.col("text")))
-    new = {"text": F.col("_text")}
+    dirty = F.col("spans_").isNotNull()
+    clean = F.when(dirty, F.aggregate("spans_", begin, replaced, rest)).otherwise(text)
+    joined = joined.select("row_", "spans_", clean.alias("text_"))
+    new = {"text": F.col("text_")}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(dirty, F.length("_text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    return joined.withColumns(new).select(*docs.columns)
+        new["n_chars"] = F.when(dirty, F.length("text_")).otherwise(F.col("row_")["n_chars"]).cast(docs.schema["n_chars"].dataType)
+    return joined.select(*[new.get(c, F.col("row_")[c]).alias(c) for c in docs.columns])

@@ -7,7 +7,7 @@ DOCUMENT = T.StructType([
 ])
 
 #: Names that operators use themselves.
-CLASHING = "score key size copies target spans bucket piece rank label h n task nth component_id kept words bands"
+CLASHING = "score key size copies target spans bucket piece rank label h n task nth component_id kept words bands _id _key _text _nth id_ key_ text_"
 
 
 @pytest.fixture
