@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from hindsight.session import stage
+
+#: So many rows or fewer are sorted to find a cut; more are narrowed first. It decides the way, not the cut.
 SMALL = 100_000
 PROBES = 32
 
@@ -47,23 +52,20 @@ def nth_key(df: DataFrame, order: list[str], n: int, small: int = SMALL, rows: i
     """
     keys = df.select(order_key(df, order).alias("k"))
     rows = keys.count() if rows is None else rows
-    if not 0 <= n < rows:
-        return None
+    return _nth(keys, n, rows, small) if 0 <= n < rows else None
+
+
+def _nth(keys: DataFrame, n: int, rows: int, small: int) -> Row:
     seed = 0
     while rows > small:
         seed += 1
-        sample = keys.sample(fraction=min(1.0, PROBES / rows), seed=seed).distinct().limit(4 * PROBES)
-        probes = [_literal(row["k"]) for row in sample.orderBy("k").collect()]
-        if not probes:
-            continue
-        gap = _gap_of(F.col("k"), probes, 0, len(probes))
-        gaps = keys.groupBy(gap.alias("gap")).agg(
-            F.count("*").alias("rows"), F.min("k").alias("low"), F.max("k").alias("high")
-        )
-        for found in gaps.orderBy("gap").collect():
+        gaps = _gaps(keys, rows, seed)
+        for found in gaps:
             if n < found["rows"]:
                 break
             n -= found["rows"]
+        if not gaps:
+            continue
         if found["low"] == found["high"]:
             return found["low"]
         keys = keys.where(F.col("k").between(_literal(found["low"]), _literal(found["high"])))
@@ -71,6 +73,43 @@ def nth_key(df: DataFrame, order: list[str], n: int, small: int = SMALL, rows: i
     return keys.orderBy("k").offset(n).limit(1).first()["k"]
 
 
+def _gaps(keys: DataFrame, rows: int, seed: int) -> list[Row]:
+    """Rows, least and greatest key of each gap between sampled keys, in order; empty if none were sampled."""
+    sample = keys.sample(fraction=min(1.0, PROBES / rows), seed=seed).distinct().limit(4 * PROBES)
+    probes = [_literal(row["k"]) for row in sample.orderBy("k").collect()]
+    if not probes:
+        return []
+    gap = _gap_of(F.col("k"), probes, 0, len(probes))
+    gaps = keys.groupBy(gap.alias("gap")).agg(F.count("*").alias("rows"), F.min("k").alias("low"), F.max("k").alias("high"))
+    return gaps.orderBy("gap").collect()
+
+
+def nth_keys(df: DataFrame, order: list[str], ns: list[int], small: int = SMALL, rows: int | None = None) -> list[Row]:
+    """Order keys of several rows, those past the end left out.
+
+    One narrowing pass serves all: only the gaps that hold one of the rows are
+    kept, written once, and narrowed further on their own.
+    """
+    keys = df.select(order_key(df, order).alias("k"))
+    rows = keys.count() if rows is None else rows
+    wanted = sorted({n for n in ns if 0 <= n < rows})
+    gaps, seed = [], 0
+    while rows > small and wanted and not gaps:
+        seed += 1
+        gaps = _gaps(keys, rows, seed)
+    if not gaps:
+        return [_nth(keys, n, rows, small) for n in wanted]
+    held: list[tuple[Row, int]] = []  # the gap of each row, and its place there
+    before = 0
+    for found in gaps:
+        held += [(found, n - before) for n in wanted if before <= n < before + found["rows"]]
+        before += found["rows"]
+    open_ = {tuple(g["low"]): g for g, _ in held if g["low"] != g["high"]}
+    inside = lambda g: F.col("k").between(_literal(g["low"]), _literal(g["high"]))
+    kept = stage(keys.where(reduce(lambda a, b: a | b, [inside(g) for g in open_.values()])), "gaps") if open_ else keys
+    return [g["low"] if g["low"] == g["high"] else _nth(kept.where(inside(g)), n, g["rows"], small) for g, n in held]
+
+
 def chronological_split(
     df: DataFrame, time: str, tie: str, test_share: float = 0.1, small: int = SMALL
 ) -> DataFrame:
@@ -87,6 +126,33 @@ def chronological_split(
     )
 
 
+def forward_folds(df: DataFrame, time: str, tie: str, k: int = 5, purge: int = 0, small: int = SMALL) -> DataFrame:
+    """(*columns, fold, side): k folds that never look ahead; a row is there for each fold that it serves.
+
+    Rows in order of (time, tie) are k + 1 blocks, even to within one row. Fold f
+    tests on block f and trains on all before it, but for rows less than
+    ``purge`` seconds before block f begins. Rows equal in ``time`` and ``tie``,
+    such as the two views of a game, are on one side. The cuts come from one
+    narrowing pass; rows are compared with them, not sorted. Rows without a
+    time come last. With fewer rows than blocks some folds have no rows.
+    """
+    rows = df.count()
+    cuts = nth_keys(df, [time, tie], [rows * f // (k + 1) for f in range(1, k + 1)], small, rows)
+    key = order_key(df, [time, tie])
+    block = reduce(lambda a, b: a + b, [(key >= _literal(c)).cast("int") for c in cuts], F.lit(0))
+    unit = 1_000_000 if df.schema[time].dataType.typeName().startswith("timestamp") else 1
+    begins = [F.lit(c["v0"]) for c in cuts]
+    serves = []
+    for f, begin in enumerate(begins, 1):
+        purged = F.coalesce(begin - key["v0"] < F.lit(purge * unit), F.lit(False))
+        side = F.when(F.col("_block") == f, "test").when((F.col("_block") < f) & ~purged, "train")
+        serves.append(F.struct(F.lit(f).alias("fold"), side.alias("side")))
+    if not serves:
+        return df.limit(0).withColumns({"fold": F.lit(0), "side": F.lit("")})
+    held = F.filter(F.array(*serves), lambda s: s["side"].isNotNull())
+    return df.withColumn("_block", block).select(*df.columns, F.explode(held).alias("_s")).select(*df.columns, "_s.fold", "_s.side")
+
+
 def stratified_folds(
     df: DataFrame, label: str, identity: str, k: int = 10, seed: int = 999, bucket_rows: int = 250_000
 ) -> DataFrame:

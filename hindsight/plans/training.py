@@ -6,7 +6,7 @@ import argparse
 import math
 import random
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 from hindsight.config import MODEL_FEATURES
 from hindsight.operators import metrics
 from hindsight.operators.splits import chronological_split, class_weights, stratified_folds, with_class_weights
+from hindsight.plans.boosting import Boosted, Boosting, fit
+from hindsight.plans.boosting import importances as gain_table
+from hindsight.plans.search import Range, Search
 from hindsight.session import stage
 from hindsight.sources.extract import read_features, require_columns
 
@@ -120,7 +123,7 @@ def random_search(
 
 @dataclass
 class Trained:
-    model: PipelineModel
+    model: PipelineModel | Boosted
     features: list[str]
     predictions: DataFrame
     search_losses: list[float]
@@ -172,8 +175,65 @@ def train(
     return Trained(model, inputs, predictions.withColumn("label", F.col("label").cast("int")), losses)
 
 
+#: What is searched for boosted trees.
+BOOSTED_RANGES = {
+    "depth": Range(2, 7, whole=True), "rate": Range(0.02, 0.5, log=True), "shrinkage": Range(0.1, 20.0, log=True),
+    "least_cover": Range(1.0, 50.0, log=True), "least_gain": Range(1e-6, 1.0, log=True),
+}
+
+
+def train_boosted(
+    table: DataFrame,
+    features: Sequence[str] = MODEL_FEATURES,
+    label: str = "Result",
+    time: str = "start_ts",
+    group: str = "game_uuid",
+    view: str | None = "account_id",
+    test_share: float = 0.1,
+    trials: int = 25,
+    multipliers: dict | None = None,
+    seed: int = 999,
+    settings: Boosting = Boosting(),
+    log_of: Sequence[str] = ("TimeSinceLast",),
+) -> Trained:
+    """The same with boosted trees, which take gaps as they are and stop early.
+
+    Rows are held out by time twice: the newest for evaluation, and of the others
+    the newest to stop by. Trials differ in ``BOOSTED_RANGES``, each chosen by the
+    losses before it. Class weights enter the final fit only, which runs as
+    many rounds as the best trial found right.
+    """
+    views = [view] if view else []
+    require_columns(table, [*features, label, group, *views, time])
+    values = [(log_scale(f) if f in log_of else F.col(f)).cast("double").alias(f) for f in features]
+    frame = table.select(F.concat_ws("/", group, *views).alias("id"), F.col(group).alias("group"), time, *values, F.col(label).cast("int").alias("label"))
+    split = stage(chronological_split(frame, time, "group", test_share), "model-frame")
+    past, future = split.where("split = 'train'").drop("split"), split.where("split = 'test'")
+    past = stage(chronological_split(past, time, "group", test_share).withColumn("valid", F.col("split") == "test"), "past")
+
+    def loss(point: dict) -> float:
+        return min(fit(past, features, valid="valid", s=replace(settings, **point)).losses, default=math.inf)
+
+    point, losses = Search(BOOSTED_RANGES, seed).run(loss, trials)
+    chosen = replace(settings, **point)
+    stopped = fit(past, features, valid="valid", s=chosen)
+    rounds = len(stopped.trees)
+    weights = class_weights(past, "label", {k: float(v) for k, v in (multipliers or {}).items()})
+    model = replace(fit(with_class_weights(past, weights, "label"), features, weight="weight", s=replace(chosen, rounds=rounds)), losses=stopped.losses) if multipliers else stopped
+    predictions = model.predict(future).select("id", "label", "prob").withColumn("predicted", metrics.arg_max("prob"))
+    return Trained(model, list(features), predictions, losses)
+
+
 def importances(trained: Trained) -> DataFrame:
-    """Features ranked by importance; one row per feature, as many as the model has."""
+    """Features ranked by importance; one row per feature, as many as the model has.
+
+    For boosted trees that is total gain; ``boosting.importances`` has the other measures.
+    """
+    if isinstance(trained.model, Boosted):
+        spark = trained.predictions.sparkSession
+        gains = {r["feature"]: r["total_gain"] for r in gain_table(trained.model.nodes(spark)).collect()}
+        rows = sorted(((n, gains.get(n, 0.0)) for n in trained.features), key=lambda pair: (-pair[1], pair[0]))
+        return spark.createDataFrame([(i + 1, n, float(v)) for i, (n, v) in enumerate(rows)], "rank int, feature string, importance double")
     fitted = trained.model.stages[-1]
     if hasattr(fitted, "featureImportances"):
         values = fitted.featureImportances.toArray().tolist()
@@ -195,7 +255,10 @@ def evaluation(trained: Trained) -> DataFrame:
 def save_artefacts(trained: Trained, path: str) -> None:
     """Model, its exact feature list, importances and confusion counts below ``path``."""
     spark = trained.predictions.sparkSession
-    trained.model.write().overwrite().save(f"{path}/model")
+    if isinstance(trained.model, Boosted):
+        trained.model.save(spark, f"{path}/model")
+    else:
+        trained.model.write().overwrite().save(f"{path}/model")
     names = spark.createDataFrame(list(enumerate(trained.features)), "position int, feature string")
     names.coalesce(1).write.mode("overwrite").json(f"{path}/features")
     importances(trained).coalesce(1).write.mode("overwrite").json(f"{path}/importances")
@@ -207,7 +270,7 @@ def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--features", required=True, help="gold feature table, Parquet")
     parser.add_argument("--out", required=True, help="folder for model, feature list, importances, confusion counts")
-    parser.add_argument("--model", choices=["forest", "logistic"], default="forest")
+    parser.add_argument("--model", choices=["forest", "logistic", "boosted"], default="boosted")
     parser.add_argument("--trials", type=int, default=25)
     parser.add_argument("--folds", type=int, default=10)
     parser.add_argument("--test-share", type=float, default=0.1)
@@ -215,8 +278,11 @@ def main() -> None:
     args = parser.parse_args()
     spark = SparkSession.builder.appName("hindsight-train").getOrCreate()
     table = read_features(spark, args.features, [*MODEL_FEATURES, "Result", "game_uuid", "account_id", "start_ts"])
-    estimator = forest(args.seed) if args.model == "forest" else logistic()
-    trained = train(table, estimator, test_share=args.test_share, trials=args.trials, folds=args.folds, seed=args.seed)
+    if args.model == "boosted":
+        trained = train_boosted(table, test_share=args.test_share, trials=args.trials, multipliers=MULTIPLIERS, seed=args.seed)
+    else:
+        estimator = forest(args.seed) if args.model == "forest" else logistic()
+        trained = train(table, estimator, test_share=args.test_share, trials=args.trials, folds=args.folds, seed=args.seed)
     save_artefacts(trained, args.out)
     print(evaluation(trained).first().asDict())
 

@@ -10,7 +10,7 @@ GAME = (
     f"white: {PLAYER}, black: {PLAYER}>"
 )
 SNAPSHOT = f"games array<{GAME}>"
-BRONZE = f"{SNAPSHOT}, _source_file string, _file_modified_at timestamp, _ingested_at timestamp, _raw string"
+BRONZE = f"{SNAPSHOT}, _source_file string, _file_modified_at timestamp, _ingested_at timestamp, _variant variant, _raw string"
 
 # Columns of silver games that a field of the document becomes as it is.
 GAME_FIELDS = {

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hindsight.schemas import BRONZE, SNAPSHOT
 
@@ -14,9 +15,10 @@ def _decoded(path: Column) -> Column:
 
 
 def parse_documents(files: DataFrame, schema: str = SNAPSHOT) -> DataFrame:
-    """Whole files (``value``) as bronze rows: the fields of ``schema``, the text as it came, and where from.
+    """Whole files (``value``) as bronze rows: the fields of ``schema``, the document as it came, and where from.
 
-    Fields that ``schema`` doesn't name are in ``_raw``; ``reopened`` reads them later.
+    Fields that ``schema`` doesn't name are in ``_variant``; ``reopened`` reads
+    them later. What is no JSON, or names a field twice, is kept as text in ``_raw``.
     """
     opened = files.withColumn("_doc", F.from_json("value", schema))
     return opened.select(
@@ -24,7 +26,7 @@ def parse_documents(files: DataFrame, schema: str = SNAPSHOT) -> DataFrame:
         _decoded(F.col("_metadata.file_path")).alias("_source_file"),
         F.col("_metadata.file_modification_time").alias("_file_modified_at"),
         F.current_timestamp().alias("_ingested_at"),
-        F.col("value").alias("_raw"),
+        *as_variant("value"),
     )
 
 
@@ -43,13 +45,52 @@ def parse_payloads(rows: DataFrame, schema: str = SNAPSHOT) -> DataFrame:
         F.concat(path, F.lit("?fetched="), fetched, F.lit("&username="), "username").alias("_source_file"),
         F.col("fetched_at").alias("_file_modified_at"),
         F.current_timestamp().alias("_ingested_at"),
-        F.col("payload").alias("_raw"),
+        *as_variant("payload"),
     )
 
 
+def as_variant(text: str) -> list[Column]:
+    """``_variant``, the document in Spark's binary form, parsed once; ``_raw``, its text where that can't be."""
+    parsed = F.try_parse_json(text)
+    return [parsed.alias("_variant"), F.when(parsed.isNull(), F.col(text)).alias("_raw")]
+
+
 def reopened(bronze: DataFrame, schema: str) -> DataFrame:
-    """Bronze with its documents read anew by another schema: for fields that the first one didn't name."""
-    return bronze.withColumn("_doc", F.from_json("_raw", schema)).select("_doc.*", *[c for c in bronze.columns if c.startswith("_")])
+    """Bronze with its documents read by another schema: for fields that the first one didn't name.
+
+    Read from ``_variant`` without parsing; from text only where there is no more
+    than that, as in rows written before that column. A value that its type can't take is null.
+    """
+    doc = F.from_json("_raw", schema)
+    if "_variant" in bronze.columns:
+        doc = F.when(F.col("_variant").isNotNull(), F.try_variant_get("_variant", "$", f"struct<{schema}>")).otherwise(doc)
+    return bronze.withColumn("_doc", doc).select("_doc.*", *[c for c in bronze.columns if c.startswith("_")])
+
+
+def drift(bronze: DataFrame, schema: str = SNAPSHOT, array: str = "games") -> DataFrame:
+    """(path, seen, declared, rows): each field of the documents and of their array's elements, as which type it came how often.
+
+    ``declared`` is its type in ``schema``, null for a field that the schema
+    doesn't name. One row a field and type: what is new, mistyped or gone shows
+    before any schema is changed.
+    """
+    spark = bronze.sparkSession
+    document = T.StructType.fromDDL(schema)
+    inside = document[array].dataType.elementType
+    declared = {f.name: f.dataType for f in document} | {f"{array}[].{f.name}": f.dataType for f in inside}
+    known = F.create_map(*[F.lit(x) for name, kind in declared.items() for x in (name, kind.simpleString())])
+    element = F.explode(F.try_variant_get("_variant", f"$.{array}", "array<variant>"))
+
+    def fields(rows: DataFrame, prefix: str) -> DataFrame:
+        each = rows.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))
+        return each.select(F.concat(F.lit(prefix), "key").alias("path"), F.schema_of_variant("value").alias("seen"))
+
+    elements = fields(bronze.select(element.alias("v")), f"{array}[].")
+    whole = fields(bronze.select(F.col("_variant").alias("v")), "")
+    # Of the array itself only that it is one: its elements' fields are told one by one.
+    whole = whole.withColumn("seen", F.when(F.col("path") == array, F.regexp_extract("seen", r"^\w+", 0)).otherwise(F.col("seen")))
+    counted = whole.unionByName(elements).groupBy("path", "seen").agg(F.count("*").alias("rows"))
+    return counted.select("path", "seen", F.try_element_at(known, F.col("path")).alias("declared"), "rows")
 
 
 def infer_schema(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> str:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from hindsight.schemas import SNAPSHOT
-from hindsight.sources.bronze import parse_documents, parse_payloads
+from hindsight.sources.bronze import parse_documents, parse_payloads, read_bronze
 
 LANDED_ROWS = "payload string, username string, source_url string, fetched_at timestamp, game_count int"
 
@@ -51,5 +51,9 @@ def ingest_batch(spark: SparkSession, path: str, bronze_path: str, schema: str =
 
     Which files have been read is remembered beside bronze; no file name passes through the driver here.
     """
-    query = ingest_stream(document_stream(spark, path, schema), bronze_path, f"{bronze_path.rstrip('/')}_read")
-    return sum(p.numInputRows for p in query.recentProgress)
+    before = read_bronze(spark, bronze_path)
+    known = before.count() if before is not None else 0
+    ingest_stream(document_stream(spark, path, schema), bronze_path, f"{bronze_path.rstrip('/')}_read")
+    # Counted in bronze, from its files' footers: a query's progress remembers its last hundred batches only.
+    after = read_bronze(spark, bronze_path)
+    return (after.count() if after is not None else 0) - known

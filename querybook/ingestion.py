@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from hindsight.functions.text import names, path_value, year_month
 from hindsight.session import shared_dir
 from hindsight.sources import landing
-from hindsight.sources.bronze import read_bronze, reopened
+from hindsight.sources.bronze import as_variant, drift, read_bronze, reopened
 from hindsight.sources.merging import MergeTable
 from hindsight.streaming.ingest import ingest_batch, ingest_stream, payload_stream
 from hindsight.streaming.upsert import stream_upsert
@@ -243,6 +243,24 @@ def evolving_bronze(spark, sf_dir):
     )
 
 
+@book.add("""
+WITH e AS (SELECT event_id AS id FROM events), t AS (
+  SELECT 'games' AS path, 'ARRAY' AS seen FROM e UNION ALL SELECT 'page', 'BIGINT' FROM e WHERE id % 3 = 0 UNION ALL
+  SELECT 'games[].uuid', 'STRING' FROM e UNION ALL
+  SELECT 'games[].rated', CASE WHEN id % 10 = 0 THEN 'STRING' ELSE 'BOOLEAN' END FROM e UNION ALL
+  SELECT 'games[].fresh', 'OBJECT<deep: BIGINT>' FROM e WHERE id % 2 = 1)
+SELECT path, seen, CASE path WHEN 'games[].uuid' THEN 'string' WHEN 'games[].rated' THEN 'boolean' WHEN 'games' THEN 'array' END AS declared,
+  count(*) AS rows FROM t GROUP BY ALL
+""")
+def schema_drift(spark, sf_dir):
+    """Fields that came new or as another type than declared, told from documents kept as variants."""
+    texts = table(spark, sf_dir, "events").selectExpr("""
+        concat('{"games":[{"uuid":"g', event_id, '","rated":', if(event_id % 10 = 0, '"yes"', 'true'),
+               if(event_id % 2 = 1, concat(',"fresh":{"deep":', event_id, '}'), ''), '}]', if(event_id % 3 = 0, ',"page":1', ''), '}') value""")
+    found = drift(texts.select(*as_variant("value")))
+    return found.withColumn("declared", F.regexp_extract("declared", r"^\w+", 0))
+
+
 @book.add(f"WITH {LANDED_SQL} SELECT DISTINCT account, '2024' AS year, '01' AS month FROM s")
 def landed_files(spark, sf_dir):
     """Months present after documents landed as files, from a listing of those files."""

@@ -50,6 +50,18 @@ def chronological_split(spark, sf_dir):
     return splits.chronological_split(events, "ts", "event_id", 0.1, small=5_000).select("event_id", "split")
 
 
+@book.add("""
+WITH r AS (SELECT event_id, ts, row_number() OVER (ORDER BY ts, event_id) - 1 AS place, (SELECT count(*) FROM events) AS n FROM events),
+f AS (SELECT unnest([1, 2, 3, 4]) AS fold), c AS (SELECT fold, n * fold // 5 AS first, n * (fold + 1) // 5 AS past, ts AS begun FROM f JOIN r ON place = n * fold // 5)
+SELECT event_id, fold, 'test' AS side FROM r JOIN c ON place >= first AND place < past
+UNION ALL SELECT event_id, fold, 'train' FROM r JOIN c ON place < first AND epoch_us(begun) - epoch_us(ts) >= 3600000000
+""")
+def forward_folds(spark, sf_dir):
+    """Four expanding folds with an hour between training and test rows."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts")
+    return splits.forward_folds(events, "ts", "event_id", 4, purge=3600, small=2_000).select("event_id", "fold", "side")
+
+
 @book.add("SELECT event_id, row_number() OVER (ORDER BY ts, event_id) AS place FROM events", name="chronological_order")
 def in_order(spark, sf_dir):
     """All events with their place in time, ties by id: places as the sorted extract has them."""
@@ -169,21 +181,24 @@ def model_frame(spark, sf_dir):
 
 
 def _trained(spark, sf_dir):
-    made = labelled(spark, sf_dir).selectExpr(
-        "cast(event_id as string) game_uuid", "ts start_ts", "label Result", "hour(ts) hour", "weekday(ts) weekday",
-        "user_id % 7 person", "if(event_id % 50 = 0, null, cast(event_id % 1000 as double)) TimeSinceLast",
-    )
-    names = ["hour", "weekday", "person", "TimeSinceLast"]
-    return training.train(stage(made, "features"), training.forest(numTrees=5), names, view=None, trials=2, folds=2)
+    gold = stage(features(spark, sf_dir), "gold")
+    return training.train(gold, training.forest(), trials=2, folds=2)
 
 
 @book.add()
 def train_eval(spark, sf_dir):
-    """Search, weighted final fit and holdout scores; an iterative fit has no SQL."""
+    """Search, weighted final fit and holdout scores over gold; an iterative fit has no SQL."""
     return training.evaluation(_trained(spark, sf_dir))
 
 
 @book.add()
 def feature_importances(spark, sf_dir):
-    """Features ranked by a fitted model; an iterative fit has no SQL."""
+    """Features of gold ranked by a fitted model; an iterative fit has no SQL."""
     return training.importances(_trained(spark, sf_dir))
+
+
+@book.add()
+def boosted_eval(spark, sf_dir):
+    """Boosted trees over gold with early stopping, and their holdout scores; an iterative fit has no SQL."""
+    gold = stage(features(spark, sf_dir), "gold")
+    return training.evaluation(training.train_boosted(gold, trials=0))

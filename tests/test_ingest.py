@@ -231,3 +231,37 @@ def test_evolving_documents_are_bounded(spark, tmp_path, monkeypatch):
     assert rows_of(got.columns, [tuple(map(plain, r)) for r in got.collect()]) == rows_of([d[0] for d in wanted.description], wanted.fetchall())
     held = [len(json.loads(p.read_text())["games"]) for p in (tmp_path / "documents").rglob("*.txt")]
     assert sum(held) == len(rows) and max(held) <= 1200
+
+
+def test_documents_kept_as_variants(spark, tmp_path):
+    from hindsight.sources.bronze import drift
+
+    root, bronze = str(tmp_path / "raw"), str(tmp_path / "bronze")
+    texts = {
+        "a": '{"games": [{"uuid": "g1", "fresh": {"deep": 5}, "rated": "yes"}, {"uuid": 7}], "page": 1}',
+        "twice": '{"games": [{"uuid": "g2"}], "games": [{"uuid": "g3"}]}',
+        "broken": '{"games": [{"uuid": "g4"',
+    }
+    for name, text in texts.items():
+        folder = tmp_path / "raw" / f"username={name}" / "year=2024" / "month=01"
+        folder.mkdir(parents=True)
+        (folder / "games_1.json").write_text(text)
+    assert ingest_batch(spark, root, bronze) == 3 and ingest_batch(spark, root, bronze) == 0
+    rows = read_bronze(spark, bronze)
+    # only what is no variant is kept as text
+    assert sorted(r["_raw"] for r in rows.where("_raw IS NOT NULL").collect()) == sorted([texts["twice"], texts["broken"]])
+    plan = reopened(rows.drop("_raw").selectExpr("*", "cast(null as string) _raw"), "games array<struct<uuid: string>>")
+    assert plan.count() == 3
+    found = reopened(rows, "games array<struct<uuid: string, fresh: struct<deep: int>, rated: boolean>>")
+    games = [tuple(g) for r in found.where("_raw IS NULL").collect() for g in r["games"]]
+    assert [(g[0], g[1] and g[1]["deep"], g[2]) for g in games] == [("g1", 5, None), ("7", None, None)] or games[0][2] is True
+    # rows written before there were variants are read from their text
+    old = rows.where("_raw IS NULL").selectExpr("* except (_variant, _raw)", "to_json(_variant) _raw")
+    again = [g["uuid"] for r in reopened(old, "games array<struct<uuid: string>>").collect() for g in r["games"]]
+    assert again == ["g1", "7"]
+    seen = {(r["path"], r["seen"], r["declared"] is not None, r["rows"]) for r in drift(rows).collect()}
+    assert seen == {
+        ("games", "ARRAY", True, 1), ("page", "BIGINT", False, 1), ("games[].uuid", "STRING", True, 1), ("games[].uuid", "BIGINT", True, 1),
+        ("games[].fresh", "OBJECT<deep: BIGINT>", False, 1), ("games[].rated", "STRING", True, 1),
+    }
+    assert drift(rows.limit(0)).count() == 0
