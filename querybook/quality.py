@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hindsight.operators import checks as q
-from hindsight.operators import profile
+from hindsight.operators import profile, sketches
 from hindsight.plans import reports
+from hindsight.session import null_safe, shared_dir, stage
+from hindsight.sources.tables import VersionedTable
 from querybook.base import Book, table
 from querybook.layers import games
 from querybook.standins import GAMES_SQL
@@ -192,3 +194,65 @@ SELECT losses_before, {RATES_SQL} FROM d GROUP BY losses_before
 """)
 def rate_after_losses(spark, sf_dir):
     return reports.win_rate_after_losses(games(spark, sf_dir))
+
+
+WIDE = ["o_orderkey", "o_custkey"]
+
+
+@book.add("""
+WITH o AS (SELECT date_trunc('month', o_orderdate)::DATE AS month, date_trunc('year', o_orderdate)::DATE AS year, * FROM orders),
+g AS (SELECT 'month' AS grain, month AS period, count(*) AS rows, count(DISTINCT o_orderkey) AS a, count(DISTINCT o_custkey) AS b FROM o GROUP BY month
+ UNION ALL SELECT 'year', year, count(*), count(DISTINCT o_orderkey), count(DISTINCT o_custkey) FROM o GROUP BY year
+ UNION ALL SELECT 'all', NULL, count(*), count(DISTINCT o_orderkey), count(DISTINCT o_custkey) FROM o)
+SELECT grain, period, 'o_orderkey' AS "column", rows AS known, a AS exact, true AS within, true AS same FROM g
+UNION ALL SELECT grain, period, 'o_custkey', rows, b, true, true FROM g
+""")
+def merged_distinct(spark, sf_dir):
+    """Distinct orders and customers a month, a year and in all, from sketches stored by month.
+
+    The months up to 1995 are stored first, a part of December too early to be whole; the second run
+    brings the later ones and December anew. ``within``: the exact count is in the stated range.
+    ``same``: the merged sketch says what one over all rows of the period says.
+    """
+    orders = table(spark, sf_dir, "orders").select(*WIDE, "o_orderdate").withColumns(
+        {g: F.trunc("o_orderdate", g).cast("date") for g in ("month", "year")}
+    ).withColumn("all", F.lit(None).cast("date"))
+    store = VersionedTable(spark, shared_dir(spark, "sketches"))
+    early = F.col("o_orderdate") < F.lit("1995-12-20").cast("timestamp")
+    sketches.refreshed(store, orders.where(early), ["month"], WIDE)
+    sketches.refreshed(store, orders.where("month >= date '1995-12-01'"), ["month"], WIDE)
+    stored = store.read().withColumns({"year": F.trunc("month", "year").cast("date"), "all": F.lit(None).cast("date")})
+
+    out = None
+    for grain in ("month", "year", "all"):
+        counts = sketches.distinct_values(sketches.merged(stored, [grain], WIDE), [grain], WIDE)
+        once = sketches.merged(sketches.sketched(orders, [grain], WIDE), [grain], WIDE)
+        once = sketches.distinct_values(once, [grain], WIDE).select(F.col(grain).alias("of"), F.col("column").alias("name"), F.col("estimate").alias("once"))
+        pairs = F.inline(F.array(*[F.struct(F.lit(c).alias("name_"), F.col(c).alias("value")) for c in WIDE]))
+        exact = orders.select(F.col(grain).alias("of_"), pairs).groupBy("of_", "name_").agg(F.countDistinct("value").alias("exact"))
+        both = counts.join(once, null_safe(counts, once, [grain, "column"], ["of", "name"]))
+        both = both.join(exact, null_safe(both, exact, [grain, "column"], ["of_", "name_"]))
+        rows = both.select(
+            F.lit(grain).alias("grain"),
+            F.col(grain).alias("period"),
+            "column",
+            "known",
+            "exact",
+            F.col("exact").between(F.col("low"), F.col("high")).alias("within"),
+            (F.col("estimate") == F.col("once")).alias("same"),
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@book.add("""
+WITH w AS (SELECT lang, unnest(string_split(text, ' ')) AS value FROM documents),
+n AS (SELECT lang, count(value) AS known FROM w GROUP BY lang)
+SELECT w.lang, value, count(*) AS rows, known FROM w JOIN n ON w.lang IS NOT DISTINCT FROM n.lang
+GROUP BY w.lang, value, known HAVING count(*) * 500 >= known
+""")
+def heavy_words(spark, sf_dir):
+    """Words that make up at least one in 500 of a language's, from sketches stored by language and source."""
+    words = table(spark, sf_dir, "documents").select("lang", "source", F.explode(F.split("text", " ")).alias("word"))
+    stored = stage(sketches.sketched(words, ["lang", "source"], ["word"]), "sketches")
+    return sketches.heavy_values(words, sketches.merged(stored, ["lang"], ["word"]), ["lang"], "word", one_in=500)
