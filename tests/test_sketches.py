@@ -25,8 +25,9 @@ def test_merged_equals_one_over_everything(spark, rows):
     whole = s.distinct_values(s.merged(s.sketched(df, [], ["value", "extra"]), [], ["value", "extra"]), [], ["value", "extra"])
     parts = s.distinct_values(s.merged(by_month, [], ["value", "extra"]), [], ["value", "extra"])
     twice = s.merged(s.merged(by_month.unionByName(by_month), ["month"], ["value", "extra"]), [], ["value", "extra"])
+    single = s.distinct_values(s.sketched(df.coalesce(1), [], ["value", "extra"]), [], ["value", "extra"])  # never merged
     as_set = lambda d: {(r.column, r.estimate, r.low, r.high) for r in d.collect()}
-    assert as_set(whole) == as_set(parts) == as_set(s.distinct_values(twice, [], ["value", "extra"]))
+    assert as_set(whole) == as_set(single) == as_set(parts) == as_set(s.distinct_values(twice, [], ["value", "extra"]))
     exact = {"value": len({v for _, v, _ in rows if v is not None}), "extra": len({e for _, _, e in rows})}
     for r in parts.collect():
         assert r.low <= exact[r.column] <= r.high
