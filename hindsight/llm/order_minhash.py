@@ -14,11 +14,13 @@ no candidates is 2e-5.
 Texts of equal words are one class and are compared once. Within a bucket no
 list of all pairs is made. First every member is aligned with the bucket's
 least member. Buckets whose members are then all in one component are done.
-Components that still meet in a bucket form a cluster, in which all texts
-outside the largest component are compared with all others, in blocks: one
-matrix product gives the shared k-mers of all pairs of two blocks, a bound on S,
-and pairs that can still link two components are aligned. So no link that would
-join two components is lost.
+Components that still meet in a bucket form a cluster. It falls apart into
+texts that share one of the rare k-mers which a linking pair must share, so that
+texts with a long template in common and nothing else are compared with nothing.
+In what is left all texts outside the largest component are compared with all
+others, in blocks: one matrix product gives the shared k-mers of all pairs of
+two blocks, a bound on S, and pairs that can still link two components are
+aligned. So no link that would join two components is lost.
 
 Edge cases: null texts and texts without words link with nothing and stay; a
 text under five words is one k-mer; rows of equal ids stay or go together; in a
@@ -268,22 +270,69 @@ def compare_block(group: pd.DataFrame, least: float) -> pd.DataFrame:
     return pd.DataFrame(links, columns=["a", "b"])
 
 
-def remaining(members: DataFrame, links: DataFrame) -> DataFrame:
-    """(block, few, key, component): block pairs of what may still link components.
+def meeting_clusters(placed: DataFrame) -> DataFrame:
+    """(cluster, key, component) of the texts in buckets (bucket, key, component) where components meet.
 
-    Components that meet in a bucket form a cluster. A cluster's texts outside its largest component
+    Components that meet in a bucket form a cluster. Two texts of different components that share a
+    bucket are both here, in one cluster.
+    """
+    meeting = placed.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most")
+    texts = stage(placed.join(stage(meeting, "meeting"), "bucket").select("key", "component", "least"), "texts")
+    pairs = texts.select("component", "least").where("least < component").distinct()
+    cluster = components(stage(pairs, "pairs")).toDF("component", "cluster")
+    return stage(texts.select("key", "component").distinct().join(stage(cluster, "cluster"), "component").select("cluster", "key", "component"), "texts")
+
+
+def cluster_kmers(texts: DataFrame, words: DataFrame) -> DataFrame:
+    """(key, component, kmers): the labelled k-mers of texts, hashed with the cluster."""
+
+    def rows(batches):
+        hashes = Words()
+        for batch in batches:
+            out = []
+            for cluster, words in zip(batch.column(0).to_pylist(), batch.column(3).to_pylist()):
+                salt = np.uint64(int.from_bytes(cluster[:8], "little"))
+                out.append(mixed(labelled(kmers_of(words, hashes)) ^ salt).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(out, pa.list_(pa.int64()))], names=["key", "component", "kmers"])
+
+    return texts.join(words, "key").select("cluster", "key", "component", "words").mapInArrow(rows, "key binary, component binary, kmers array<long>")
+
+
+def rare_kmers(texts: DataFrame, words: DataFrame, least: float) -> DataFrame:
+    """(bucket, key, component): what a text must share one of with any text of another component that it links with.
+
+    A link takes ``least`` of a text's n k-mers, and such k-mers are in two components of its cluster.
+    Of c k-mers of that kind, put in one order for all texts, rarest first, all but the last
+    ceil(least n) - 1 are taken: the first k-mer common to a linking pair is among them for both. A text
+    with fewer than ceil(least n) links with nothing. So a template that many texts share joins none of them.
+    """
+    kmers = stage(cluster_kmers(texts, words), "kmers")
+    each = kmers.select("key", "component", F.ceil(F.size("kmers") * least - 1e-9).alias("need"), F.explode("kmers").alias("bucket"))
+    often = each.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
+    often = stage(often.where("low < high").select("bucket", "n"), "often")
+    shared = (
+        each.join(often, "bucket")
+        .groupBy("key", "component", "need")
+        .agg(F.sort_array(F.collect_list(F.struct("n", "bucket"))).alias("shared"))
+        .where(F.size("shared") >= F.col("need"))
+    )
+    first = F.slice("shared", F.lit(1), (F.size("shared") - F.col("need") + 1).cast("int"))
+    return stage(shared.select("key", "component", F.explode(first).alias("at")).select(F.col("at.bucket").alias("bucket"), "key", "component"), "rare")
+
+
+def remaining(members: DataFrame, links: DataFrame, words: DataFrame, least: float) -> DataFrame:
+    """(cluster, i, j, few, key, component): block pairs of what may still link components.
+
+    Texts are clustered by the buckets in which components meet, and within these clusters by the rare
+    k-mers that a linking pair must share. A cluster's texts outside its largest component
     are dealt into groups of about ``FEW``, all its texts into groups of about ``MANY``; each pair of
     groups is one block. Each text is in one cluster, however many buckets hold it, so two texts are
-    compared once, and any two that share a bucket are.
+    compared once, and any two that share a bucket and can link are.
     """
     named = components(links).toDF("key", "component")
     placed = members.join(named, "key", "left").select("bucket", "key", F.coalesce("component", "key").alias("component"))
-    placed = stage(placed, "placed")
-    meeting = placed.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most")
-    pairs = placed.join(stage(meeting, "meeting"), "bucket").select("component", "least").where("least < component").distinct()
-    cluster = components(stage(pairs, "pairs")).toDF("component", "cluster")
-    texts = placed.select("key", "component").distinct().join(stage(cluster, "cluster"), "component")
-    texts = stage(texts.select("cluster", "component", "key", F.xxhash64("key").alias("h")), "texts")
+    candidates = meeting_clusters(stage(placed, "placed"))
+    texts = meeting_clusters(rare_kmers(candidates, words, least)).select("cluster", "component", "key", F.xxhash64("key").alias("h"))
     sizes = texts.groupBy("cluster", "component").agg(F.count("*").alias("n"))
     shape = (
         sizes.groupBy("cluster")
@@ -314,7 +363,7 @@ def near_duplicates(docs: DataFrame, least: float = LEAST) -> DataFrame:
     pairs = stage(members.where(F.col("a") != F.col("key")).select("a", F.col("key").alias("b")).distinct(), "pairs")
     links = stage(verified(pairs, words, least), "links")
 
-    blocks = stage(remaining(members, links), "blocks")
+    blocks = stage(remaining(members, links, words, least), "blocks")
     rest = (
         blocks.join(words, "key")
         .groupBy("cluster", "i", "j")

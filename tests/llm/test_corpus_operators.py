@@ -356,6 +356,45 @@ def test_links_that_the_leader_misses(documents):
     assert got == dict(zip([d for d, _, _ in table], want)) and set(want) == {0}
 
 
+def test_rare_kmers_join_all_that_can_link(spark):
+    """Without any help of buckets: in one cluster, pairs that link share a rare k-mer; templates join nothing."""
+    rng = random.Random(17)
+    template = [f"t{k}" for k in range(60)]
+    texts = [template + [f"own{i}_{k}" for k in range(30)] for i in range(30)]  # share 56 of 86, similar to none
+    for g in range(6):
+        base = template[: rng.randint(10, 60)] + [f"b{g}_{rng.randrange(40)}" for _ in range(rng.randint(20, 120))]
+        texts += [edited(rng, base, rng.choice([0, 1, 2, 3, 5])).copy() for _ in range(8)]
+    texts += [["again"] * 60, ["again"] * 66, ["a", "b"], ["b", "a"]]
+    joined = sorted({" ".join(t) for t in texts})
+    keys = {order_minhash.word_key(t.split(" ")): t for t in joined}
+    cluster = b"c" * 16
+    rows = spark.createDataFrame([(cluster, k, k) for k in keys], "cluster binary, key binary, component binary")
+    words = spark.createDataFrame(list(keys.items()), "key binary, words string")
+    rare = defaultdict(set)
+    for r in order_minhash.rare_kmers(rows, words, 0.8).collect():
+        rare[keys[bytes(r["key"])]].add(r["bucket"])
+    links = [(a, b) for a, b in combinations(joined, 2) if plain_similarity(a, b) >= 0.8]
+    assert len(links) > 30
+    assert all(rare[a] & rare[b] for a, b in links)
+    assert not [t for t in rare if "own" in t]
+
+
+def test_templates_make_no_blocks(spark, documents):
+    """Texts that share most of a template's buckets but are not similar: nothing is left to compare."""
+    template = " ".join(f"t{k}" for k in range(100))
+    table = [(i, template + " " + " ".join(f"own{i}_{k}" for k in range(40)), "s") for i in range(600)]
+    table += [(1000 + i, table[i][1] + " more", "s") for i in range(0, 600, 60)]
+    got = {r["doc_id"]: r["component_id"] for r in order_minhash.near_duplicates(documents(table)).collect()}
+    assert got == {d: d - 1000 if d >= 1000 else d for d, _, _ in table}
+    keys = [(order_minhash.word_key(t.split(" ")), t) for _, t, _ in table]
+    words = spark.createDataFrame(keys, "key binary, words string")
+    members = spark.createDataFrame([(7, k) for k, _ in keys], "bucket long, key binary")
+    at = dict(zip([d for d, _, _ in table], [k for k, _ in keys]))
+    links = spark.createDataFrame([(at[d - 1000], at[d]) for d in at if d >= 1000], "a binary, b binary")
+    assert order_minhash.remaining(members, links, words, 0.8).count() == 0
+    assert order_minhash.remaining(members, links.limit(0), words, 0.8).count() <= 40  # the ten pairs alone
+
+
 # Pipeline
 
 
