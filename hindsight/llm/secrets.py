@@ -3,7 +3,7 @@
 From each rule's regular expression follows a Boolean query of trigrams: any
 match must hold all trigrams of one of the query's alternatives (letters in
 lower case). The index lists, for each trigram that some query asks for, the
-texts that hold it. Texts are dealt over segments of bounded size by their key,
+texts that hold it; a text is read once to find all that it holds. Texts are dealt over segments of bounded size by their key,
 so a posting list is an array within its segment; queries intersect and unite
 these arrays. Candidates, and only they, are read again and verified with the
 rule's expression. Rules without mandatory trigrams scan all texts.
@@ -17,11 +17,11 @@ scanned; rows of equal texts get the same spans; an empty table gives no rows.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
-
-import re._parser as parser
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,37 +62,66 @@ RULES = [
 Parts = tuple[str | None, ...]
 
 
+#: What an expression is read by: characters, classes, groups, bars, repetitions (greedy, lazy or possessive).
+TOKEN = re.compile(
+    r"""\\x(?P<code>[0-9A-Fa-f]{2}) | \\(?P<escape>.) | \[(?P<set>\^?\]?(?:\\.|[^\]\\])*)\]
+    | (?P<open>\()(?:\?(?P<mode>i?:|.))? | (?P<close>\)) | (?P<bar>\|)
+    | (?P<times>[*+?]|\{(?P<least>[0-9]+)(?P<more>,(?P<most>[0-9]*))?\})[+?]? | (?P<any>[.^$]) | (?P<char>.)""",
+    re.X | re.S,
+)
+#: Of classes only those of so few plain characters are spelled out.
+MOST_CHARACTERS = 5
+
+
 def spelled(pattern: str) -> list[Parts]:
-    """Alternatives of mandatory strings and gaps that cover all matches of ``pattern``."""
-
-    def of(tokens) -> list[Parts]:
-        out: list[Parts] = [()]
-        for op, value in tokens:
-            out = [a + b for a in out for b in step(str(op), value)]
-            if len(out) > MOST_ALTERNATIVES:
-                out = [(None,)]
-        return out
-
-    def step(op: str, value) -> list[Parts]:
-        if op == "LITERAL":
-            return [(chr(value).lower(),)]
-        if op == "IN" and len(value) <= 5 and all(str(k) == "LITERAL" for k, _ in value):
-            return [(chr(v).lower(),) for _, v in value]
-        if op == "SUBPATTERN":
-            return of(value[-1])
-        if op == "BRANCH":
-            return [a for branch in value[1] for a in of(branch)]
-        if op in ("MAX_REPEAT", "MIN_REPEAT", "POSSESSIVE_REPEAT"):
-            least, most, inner = value
-            once = of(inner)
-            if least == most == 1:
-                return once
-            if (least, most) == (0, 1) and len(once) == 1 and len(once[0]) == 1 and once[0][0]:
-                return [(), *once]
-            return [(None,)] if not least else [a + (None,) for a in once] if least == 1 else [(None,)]
-        return [(None,)]
-
-    return of(parser.parse(pattern))
+    """Alternatives of mandatory strings and gaps that cover all matches of ``pattern``.
+
+    One gap where the expression holds what isn't read here, such as look-around or references.
+    """
+    anything: list[Parts] = [(None,)]
+    # A level for each open group: alternatives that ended, the one at hand, and its last item, which may be repeated.
+    ended, sequence, last = [[]], [[()]], [[()]]
+
+    def close_item() -> None:
+        out = [a + b for a in sequence[-1] for b in last[-1]]
+        sequence[-1], last[-1] = (out if len(out) <= MOST_ALTERNATIVES else anything), [()]
+
+    for m in TOKEN.finditer(pattern):
+        if m["times"]:
+            once, t = last[-1], m["times"]
+            least = int(m["least"]) if m["least"] else int(t == "+")
+            if least:
+                last[-1] = once if (m["least"], m["more"]) == ("1", None) else [a + (None,) for a in once]
+            else:
+                plain = t == "?" and len(once) == 1 and len(once[0]) == 1 and once[0][0]
+                last[-1] = [(), *once] if plain else anything
+            continue
+        close_item()
+        if m["open"]:
+            if m["mode"] not in (None, ":", "i:"):
+                return anything
+            for stack, fresh in ((ended, []), (sequence, [()]), (last, [()])):
+                stack.append(fresh)
+        elif m["bar"]:
+            ended[-1], sequence[-1] = ended[-1] + sequence[-1], [()]
+        elif m["close"]:
+            group = ended.pop() + sequence.pop()
+            last.pop()
+            last[-1] = group if len(group) <= MOST_ALTERNATIVES else anything
+        elif m["set"] is not None:
+            if "[" in m["set"] or "&&" in m["set"]:
+                return anything
+            few = len(m["set"]) <= MOST_CHARACTERS and not re.search(r"^\^|\\|-.", m["set"])
+            last[-1] = [(c.lower(),) for c in m["set"]] if few else anything
+        elif m["escape"]:
+            if m["escape"].isalnum() and m["escape"] not in "dDwWsSbB":
+                return anything
+            last[-1] = anything if m["escape"].isalnum() else [(m["escape"],)]
+        else:
+            c = chr(int(m["code"], 16)) if m["code"] else m["char"]
+            last[-1] = [(c.lower(),)] if c else anything
+    close_item()
+    return ended[-1] + sequence[-1]
 
 
 def query(pattern: str) -> list[frozenset[str]]:
@@ -108,17 +137,35 @@ def query(pattern: str) -> list[frozenset[str]]:
     return sorted((g for g in out if not any(o < g for o in out)), key=sorted)
 
 
+#: Trigrams whose bits share a number.
+BITS = 62
+
+
 def held_grams(rows: DataFrame, grams: list[str]) -> DataFrame:
-    """(key, doc_id, grams): distinct texts that hold any of ``grams``, with the least id that has the text."""
-    held = F.filter(F.array(*[F.when(F.contains("low", F.lit(g)), F.lit(g)) for g in grams]), lambda g: g.isNotNull())
-    held = rows.select("key", "doc_id", F.lower("text").alias("low")).select("key", "doc_id", held.alias("grams"))
-    return held.where(F.size("grams") > 0).groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("grams").alias("grams"))
+    """(key, doc_id, held): distinct texts that hold any of ``grams``, with the least id that has the text.
+
+    ``held`` has a bit for each trigram, in numbers of ``BITS``: plain arithmetic that compiles into one pass, with
+    the lower case taken once. Texts without any go after the aggregation: a filter before it would move below
+    the projections and look for all trigrams again, in a lower case taken anew for each.
+    """
+    low = rows.select("key", "doc_id", F.lower("text").alias("low"))
+
+    def bits(some: list[str]) -> Column:
+        return reduce(lambda a, b: a.bitwiseOR(b), [F.when(F.contains("low", F.lit(g)), 1 << i).otherwise(0).cast("long") for i, g in enumerate(some)])
+
+    numbers = {f"b{n}": bits(grams[n : n + BITS]) for n in range(0, len(grams), BITS)}
+    each = low.select("key", "doc_id", *[c.alias(name) for name, c in numbers.items()]).groupBy("key")
+    held = each.agg(F.min("doc_id").alias("doc_id"), *[F.bit_or(name).alias(name) for name in numbers])
+    return held.where(reduce(or_, [F.col(name) != 0 for name in numbers])).select("key", "doc_id", F.array(*numbers).alias("held"))
 
 
-def index(held: DataFrame) -> DataFrame:
+def index(held: DataFrame, grams: list[str]) -> DataFrame:
     """(segment, gram, keys): the posting lists, segments being made so many that each holds about ``SEGMENT`` texts."""
     segments = max(1, -(-held.count() // SEGMENT))
-    entries = held.select("key", F.explode("grams").alias("gram")).withColumn("segment", F.pmod(F.xxhash64("key"), F.lit(segments)))
+    own = F.array_compact(
+        F.array(*[F.when(F.get("held", F.lit(i // BITS)).bitwiseAND(F.lit(1 << i % BITS)) != 0, g) for i, g in enumerate(grams)])
+    )
+    entries = held.select("key", F.explode(own).alias("gram")).withColumn("segment", F.pmod(F.xxhash64("key"), F.lit(segments)))
     return entries.groupBy("segment", "gram").agg(F.collect_list("key").alias("keys"))
 
 
@@ -170,7 +217,7 @@ def by_text(rows: DataFrame, rules: list[Rule]) -> DataFrame:
         return narrow.withColumnRenamed("own", "spans")
     grams = sorted({g for q in queries.values() for alternative in q for g in alternative})
     held = stage(held_grams(rows, grams), "held")
-    wanted = candidates(index(held), {r.name: queries[r.name] for r in indexed}).join(held.drop("grams"), "key")
+    wanted = candidates(index(held, grams), {r.name: queries[r.name] for r in indexed}).join(held.drop("held"), "key")
     # The others: only candidates' texts are kept, one of each key; found by id, which copies don't share.
     r, w = rows.alias("r"), stage(wanted, "candidates").alias("w")
     same = F.col("r.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("r.key") == F.col("w.key"))

@@ -174,6 +174,27 @@ def test_trigram_queries():
     assert secrets.query("[a-z]+") == [] and secrets.query("(abc|[0-9])x") == [] and secrets.query("(abc)?d") == []
     assert secrets.query("ab(c|d)e") == [frozenset({"abc", "bce"}), frozenset({"abd", "bde"})]
     assert secrets.query("(?:abc)+d") == [frozenset({"abc"})]
+    assert secrets.query(r"((?i:A|b)c|\x64ef)g\x68") == [frozenset({"acg", "cgh"}), frozenset({"bcg", "cgh"}), frozenset({"def", "efg", "fgh"})]
+    assert secrets.query(r"a\.[bc]{2,}+d[^e]fgh") == [frozenset({"a.b", "fgh"}), frozenset({"a.c", "fgh"})]
+    assert secrets.query(r"(abc){2,}?\dxyz") == [frozenset({"abc", "xyz"})]
+    # What isn't read asks for nothing, so such rules scan all texts.
+    assert all(secrets.query(p) == [] for p in ["(?=abc)def", r"\p{Lu}abc", "[a-z&&[^b]]abc", r"(abc)\1def", "(?<n>abc)"])
+
+
+def test_trigram_entries(documents):
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("aAbBcCdD.-İK") for _ in range(rng.randint(0, 60))) for _ in range(200)]
+    grams = sorted({a + b + c for a in "abcd.-" for b in "abc" for c in "abcd"})[:70]  # more than one number's bits
+    docs = documents([(i, t, "s") for i, t in enumerate(texts + texts[:20])])
+    held = secrets.held_grams(docs.select("doc_id", "text", secrets.text_key(docs.text).alias("key")), grams)
+    postings = secrets.index(held, grams).collect()
+    key = {t: hashlib.md5(t.encode()).digest() for t in texts}
+    assert sorted((r["gram"], bytes(k)) for r in postings for k in r["keys"]) == sorted(
+        {(g, key[t]) for t in texts for g in grams if g in t.lower()}
+    )
+    assert {bytes(r["key"]): r["doc_id"] for r in held.collect()} == {
+        key[t]: texts.index(t) for t in texts if any(g in t.lower() for g in grams)
+    }
 
 
 def test_redaction(documents):
