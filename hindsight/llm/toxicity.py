@@ -3,7 +3,7 @@
 A word is the bag of its character n-grams (with word boundaries), each a row of
 a hashed embedding table; a word's vector is the mean of its n-grams', a text's
 vector the mean of its words'. A softmax layer on top is trained jointly with
-the table, in numpy, by full-batch Adam. Misspellings that never occurred in
+the table, in numpy, by Adam over batches of texts. Misspellings that never occurred in
 training still share most n-grams with the words that did.
 
 Training sees a bounded sample of labelled rows (``Settings.most`` of each
@@ -36,14 +36,14 @@ WORD = re.compile(r"\w+")
 @dataclass(frozen=True)
 class Settings:
     #: Most labelled rows that training sees of label 0 and of label 1, the only bound here.
-    most: tuple[int, int] = (3000, 2000)
+    most: tuple[int, int] = (10_000, 5_000)
     buckets: int = 1 << 17
     dim: int = 4
     shortest: int = 3
     longest: int = 5
-    #: Words of fewer sampled texts say nothing in training; they count in a text's mean and are scored.
-    least_docs: int = 3
-    steps: int = 100
+    #: Texts of a training step.
+    batch: int = 1000
+    steps: int = 150
     rate: float = 0.1
     decay: float = 1e-6
     #: Factor before the softmax: an average over a text of mostly plain words is small.
@@ -81,7 +81,7 @@ def bag_rows(batches):
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([list(b) for b in bags], pa.list_(pa.string())),
-                pa.array([list(b.values()) for b in bags], pa.list_(pa.int64())),
+                pa.array([list(b.values()) for b in bags], pa.list_(pa.int32())),
                 batch.column(1),
                 batch.column(2),
             ],
@@ -113,7 +113,7 @@ def sample(docs: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model:
-    schema = "words array<string>, counts array<long>, toxic int, weight double"
+    schema = "words array<string>, counts array<int>, toxic int, weight double"
     rows = sample(docs, labels, s).mapInArrow(bag_rows, schema).toArrow()
     y = rows.column("toxic").to_numpy()
     weight = rows.column("weight").to_numpy().astype(float)
@@ -126,93 +126,106 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model
     counts = rows.column("counts").combine_chunks().flatten().to_numpy()
     at, vocabulary = coded.indices.to_numpy(), coded.dictionary.to_pylist()
     del rows, words, coded
-    return fit(sizes, at, vocabulary, counts, y, weight, s)
+    return fit(Bags.of(sizes, at, vocabulary, counts, s), y, weight, s)
 
 
-#: Numbers in a temporary array of one product.
-CHUNK = 1 << 20
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of all stretches, one stretch after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
-class Sparse:
-    """A sparse matrix by rows and by columns, for products with thin dense ones."""
+def sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of stretches of rows; empty stretches give 0."""
+    out = np.zeros((len(sizes), values.shape[1]), np.float32)
+    full = np.flatnonzero(sizes)
+    if len(full):
+        out[full] = np.add.reduceat(values, (np.cumsum(sizes) - sizes)[full], axis=0)
+    return out
 
-    def __init__(self, rows: np.ndarray, cols: np.ndarray, values: np.ndarray, shape: tuple[int, int]):
-        self.forward = self._side(rows, cols, values, shape[0])
-        self.backward = self._side(cols, rows, values, shape[1])
 
-    @staticmethod
-    def _side(to, source, values, n):
-        order = np.argsort(to, kind="stable")
-        sizes = np.bincount(to, minlength=n)
-        return source[order].astype(np.int32), values[order].astype(np.float32), np.concatenate([[0], np.cumsum(sizes)])
+def added(to: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Rows of ``values`` added up by their numbers in ``to``."""
+    return np.stack([np.bincount(to, weights=column, minlength=n) for column in values.T], axis=1).astype(np.float32)
+
+
+@dataclass(frozen=True)
+class Bags:
+    """Texts of ``sizes`` different words, ``at`` their numbers and ``share`` their part of the text; words of ``lengths`` n-grams."""
+
+    sizes: np.ndarray
+    at: np.ndarray
+    share: np.ndarray
+    lengths: np.ndarray
+    grams: np.ndarray
 
     @staticmethod
-    def _times(side, dense):
-        """Sums of runs of rows, some runs at a time; empty runs give 0."""
-        source, values, ends = side
-        out = np.zeros((len(ends) - 1, dense.shape[1]), np.float32)
-        first = 0
-        while first < len(out):
-            last = max(first + 1, int(np.searchsorted(ends, ends[first] + CHUNK, side="right")) - 1)
-            begin, end = ends[first], ends[last]
-            if end > begin:
-                full = np.flatnonzero(ends[first + 1 : last + 1] > ends[first:last]) + first
-                out[full] = np.add.reduceat(dense[source[begin:end]] * values[begin:end, None], ends[full] - begin, axis=0)
-            first = last
-        return out
-
-    def dot(self, dense):
-        return self._times(self.forward, dense)
-
-    def transposed_dot(self, dense):
-        return self._times(self.backward, dense)
-
-
-def fit(sizes: np.ndarray, at: np.ndarray, words: list[str], times: np.ndarray, y: np.ndarray, weight: np.ndarray, s: Settings) -> Model:
-    """Train on texts of ``sizes`` different words each: their numbers in ``words``, and how often they occur."""
-    doc = np.repeat(np.arange(len(sizes)), sizes)
-    total = np.bincount(doc, weights=times, minlength=len(sizes))
-    often = np.bincount(at, minlength=len(words)) >= s.least_docs
-    vocabulary = [w for w, keep in zip(words, often) if keep]
-    if not vocabulary:
+    def of(sizes: np.ndarray, at: np.ndarray, words: list[str], times: np.ndarray, s: Settings) -> Bags:
+        grams, lengths = array("i"), []
+        for w in words:
+            own = subwords(w, s)
+            grams.extend(own)
+            lengths.append(len(own))
+        total = np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=times, minlength=len(sizes))
+        share = (times / np.repeat(total, sizes)).astype(np.float32)
+        return Bags(sizes, at, share, np.array(lengths, np.int64), np.frombuffer(grams, np.int32))
+
+    def some(self, texts: np.ndarray) -> Bags:
+        """Those texts alone, with the words that they have."""
+        sizes = self.sizes[texts]
+        entries = ranges((np.cumsum(self.sizes) - self.sizes)[texts], sizes)
+        words, at = np.unique(self.at[entries], return_inverse=True)
+        lengths = self.lengths[words]
+        return Bags(sizes, at, self.share[entries], lengths, self.grams[ranges((np.cumsum(self.lengths) - self.lengths)[words], lengths)])
+
+    def vectors(self, table: np.ndarray) -> np.ndarray:
+        """A text's mean of its words' means of their n-grams' rows."""
+        words = sums(table[self.grams], self.lengths) / self.lengths[:, None].astype(np.float32)
+        return sums(words[self.at] * self.share[:, None], self.sizes)
+
+    def gradient(self, by_text: np.ndarray, buckets: int) -> np.ndarray:
+        """The table's gradient from that of the texts' vectors."""
+        by_word = added(self.at, np.repeat(by_text, self.sizes, axis=0) * self.share[:, None], len(self.lengths))
+        return added(self.grams, np.repeat(by_word / self.lengths[:, None], self.lengths, axis=0), buckets)
+
+
+def gradients(bags: Bags, wanted: np.ndarray, weight: np.ndarray, params: list[np.ndarray], s: Settings) -> tuple[float, list[np.ndarray]]:
+    """Weighted log loss of the texts, with decay, and its gradient by table, layer and bias."""
+    table, layer, bias = params
+    hidden = bags.vectors(table)
+    logits = s.gain * (hidden @ layer) + bias
+    p = np.exp(logits - logits.max(1, keepdims=True))
+    p /= p.sum(1, keepdims=True)
+    delta = (p - wanted) * weight[:, None]
+    loss = -float((weight * np.log((p * wanted).sum(1))).sum()) + s.decay / 2 * float((table**2).sum() + (layer**2).sum())
+    return loss, [bags.gradient(s.gain * delta @ layer.T, s.buckets) + s.decay * table, s.gain * hidden.T @ delta + s.decay * layer, delta.sum(0)]
+
+
+def fit(bags: Bags, y: np.ndarray, weight: np.ndarray, s: Settings) -> Model:
+    """Adam over batches of the texts, its rate falling to 0; memory beyond ``bags`` is that of a batch."""
+    if not len(bags.lengths):
         share = float((weight * y).sum() / weight.sum())
         return Model(np.zeros(s.buckets, np.float32), float(np.log((share + 1e-9) / (1 - share + 1e-9))), s)
-    keep = often[at]
-    doc, at, times = doc[keep], (np.cumsum(often) - 1)[at[keep]], times[keep].astype(float)
-    by_doc = Sparse(doc, at, times / total[doc], (len(sizes), len(vocabulary)))
-    grams, n_grams = array("i"), []
-    for w in vocabulary:
-        own = subwords(w, s)
-        grams.extend(own)
-        n_grams.append(len(own))
-    used, gram = np.unique(np.frombuffer(grams, np.int32), return_inverse=True)
-    word = np.repeat(np.arange(len(vocabulary)), n_grams)
-    by_word = Sparse(word, gram, 1.0 / np.array(n_grams)[word], (len(vocabulary), len(used)))
-
     rng = np.random.default_rng(s.seed)
-    table = (rng.uniform(-1, 1, (len(used), s.dim)) / s.dim).astype(np.float32)
+    table = (rng.uniform(-1, 1, (s.buckets, s.dim)) / s.dim).astype(np.float32)
     layer, bias = rng.uniform(-1, 1, (s.dim, 2)) / s.dim, np.zeros(2)
-    weight = weight / weight.sum()
-    wanted = np.eye(2)[y]
     params = [table, layer, bias]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
+    wanted, order = np.eye(2)[y], np.empty(0, np.int64)
     for step in range(1, s.steps + 1):
-        hidden = by_doc.dot(by_word.dot(table))
-        logits = s.gain * (hidden @ layer) + bias
-        p = np.exp(logits - logits.max(1, keepdims=True))
-        p /= p.sum(1, keepdims=True)
-        delta = (p - wanted) * weight[:, None]
-        grads = [
-            by_word.transposed_dot(by_doc.transposed_dot(s.gain * delta @ layer.T)) + s.decay * table,
-            s.gain * hidden.T @ delta + s.decay * layer,
-            delta.sum(0),
-        ]
-        for k, (param, g) in enumerate(zip(params, grads)):
+        if len(order) < min(s.batch, len(y)):
+            order = np.concatenate([order, rng.permutation(len(y))])
+        texts, order = order[: s.batch], order[s.batch :]
+        own = weight[texts] / weight[texts].sum()
+        rate = s.rate * (1 - (step - 1) / s.steps)
+        for k, (param, g) in enumerate(zip(params, gradients(bags.some(texts), wanted[texts], own, params, s)[1])):
             first[k] = 0.9 * first[k] + 0.1 * g
             second[k] = 0.999 * second[k] + 0.001 * g * g
-            param -= s.rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
-    weights = np.zeros(s.buckets, np.float32)
-    weights[used] = s.gain * (table @ (layer[:, 1] - layer[:, 0]))
+            param -= (rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)).astype(param.dtype)
+    seen = np.zeros(s.buckets, bool)
+    seen[bags.grams] = True
+    # N-grams that training never saw say nothing.
+    weights = np.where(seen, s.gain * (table @ (layer[:, 1] - layer[:, 0])), 0).astype(np.float32)
     return Model(weights, float(bias[1] - bias[0]), s)
 
 

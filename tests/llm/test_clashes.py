@@ -44,6 +44,35 @@ def test_scorer_is_the_softmax_of_the_mean(spark):
         assert abs(scorer(text) - p[1]) < 1e-5
 
 
+def test_gradients_are_those_of_the_loss():
+    """Against differences of the loss, in batches with texts without words, rare words and shared n-grams."""
+    s = toxicity.Settings(buckets=64, dim=2, gain=3.0, decay=1e-2)
+    texts = ["one two two", "", "three one mispeld", "mispelt", "four five one"]
+    bags = [sorted(set(toxicity.WORD.findall(t))) for t in texts]
+    words = sorted({w for b in bags for w in b})
+    times = [texts[i].split().count(w) for i, b in enumerate(bags) for w in b]
+    sizes, at = np.array([len(b) for b in bags]), np.array([words.index(w) for b in bags for w in b])
+    chosen = np.array([3, 1, 2, 0])
+    batch = toxicity.Bags.of(sizes, at, words, np.array(times), s).some(chosen)
+    rng = np.random.default_rng(3)
+    params = [rng.normal(size=(s.buckets, s.dim)).astype(np.float32), rng.normal(size=(s.dim, 2)), rng.normal(size=2)]
+    for text, vector in zip(chosen, batch.vectors(params[0])):
+        found = texts[text].split()
+        mean = np.mean([params[0][toxicity.subwords(w, s)].mean(0) for w in found], axis=0) if found else np.zeros(s.dim)
+        assert np.allclose(vector, mean, atol=1e-5)
+    wanted, weight = np.eye(2)[[1, 0, 1, 0]], np.array([0.1, 0.2, 0.3, 0.4])
+    loss = lambda: toxicity.gradients(batch, wanted, weight, params, s)[0]
+    for param, own in zip(params, toxicity.gradients(batch, wanted, weight, params, s)[1]):
+        for place in list(np.ndindex(param.shape))[:40]:
+            before, step = param[place], 1e-2
+            param[place] = before + step
+            up = loss()
+            param[place] = before - step
+            down = loss()
+            param[place] = before
+            assert abs((up - down) / (2 * step) - own[place]) < 2e-3 * max(1, abs(own[place]))
+
+
 def test_conversations_without_a_neighbour_stay(spark, tmp_path):
     rng = random.Random(2)
     talk = {c: [(rng.choice(["user", "assistant"]), f"{c if rng.random() < 0.7 else ''}t{k}") for k in range(rng.randint(1, 7))] for c in (0, 2, 3, 8, 9, 10, 11, -1)}
