@@ -2,6 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+import os
+import re
+import uuid
+from collections import Counter
+from collections.abc import Iterator, Sequence
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -78,16 +87,58 @@ def land_snapshots(payloads: DataFrame, path: str, as_files: bool = False) -> No
     """
     rows = payloads.withColumn("game_count", game_count("payload")).withColumnRenamed("account", "username")
     if as_files:
-        folders = ["username", "year", "month"]
-        text = rows.select("payload", *folders).hint("rebalance", *folders)
-        writer = text.write.mode("append").partitionBy(*folders).option("maxRecordsPerFile", 1)
-        writer.text(path)
+        write_documents(rows, "payload", ["username", "year", "month"], path)
         rows.drop("payload").write.mode("append").parquet(f"{path.rstrip('/')}_log")
     else:
         # AQE evens out the partitions, splitting a month that is very large
         rows.hint("rebalance", "year", "month").write.mode("append").partitionBy("year", "month").parquet(path)
 
 
+# What a folder's name can't hold as it is; Spark escapes the same ones.
+_ODD = re.compile(r"[\x00-\x1f\x7f\"#%'*/:=?\\{\[\]^]")
+
+
+def write_documents(rows: DataFrame, document: str, folders: Sequence[str], path: str) -> None:
+    """Each row's ``document`` as a file of its own, added below ``<folder>=<value>/…``; null is an empty file.
+
+    On a file system Spark's writer starts a process for the rights of each file
+    and folder, and the driver moves every folder once more. There a task writes
+    each file under a hidden name and then gives it its own, which tells the run,
+    the partition, the content and, for equal ones, which of them: a task that is
+    repeated replaces just what it wrote. A run that fails leaves whole files only.
+    """
+    spark = rows.sparkSession
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    root = location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(location).toUri()
+    wanted = rows.select(F.col(document).alias("_document"), *folders)
+    if root.getScheme() != "file":
+        wanted.write.mode("append").partitionBy(*folders).option("maxRecordsPerFile", 1).text(path)
+        return
+    base, run, names, odd = root.getPath(), uuid.uuid4().hex, list(folders), _ODD
+
+    def segment(name: str, value) -> str:
+        text = "" if value is None else str(value)
+        return f"{name}={odd.sub(lambda c: f'%{ord(c[0]):02X}', text) or '__HIVE_DEFAULT_PARTITION__'}"
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
+        seen: Counter[tuple[str, str]] = Counter()
+        for batch in batches:
+            for text, *values in zip(*(column.to_pylist() for column in batch.columns)):
+                data = f"{text or ''}\n".encode()
+                folder = "/".join([base, *map(segment, names, values)])
+                digest = hashlib.sha256(data).hexdigest()[:32]
+                seen[folder, digest] += 1
+                name = f"{part:05d}-{digest}-{seen[folder, digest]}-{run}.txt"
+                os.makedirs(folder, exist_ok=True)
+                with open(f"{folder}/_{attempt}-{name}", "wb") as out:
+                    out.write(data)
+                os.replace(f"{folder}/_{attempt}-{name}", f"{folder}/{name}")
+        yield pa.RecordBatch.from_pydict({"files": [sum(seen.values())]})
+
+    wanted.mapInArrow(write, "files bigint").write.format("noop").mode("overwrite").save()
+
+
 def landed_rows(spark: SparkSession, path: str) -> DataFrame:
     """Distinct (account, year, month) among payloads landed as rows; reads no payload."""
     keys = "username string, year string, month string"

@@ -190,8 +190,7 @@ def _documents(spark, sf_dir, path):
     sizes = rows.groupBy("username").agg(F.ceil(F.count("*") / 1000).alias("parts"))
     split = rows.join(sizes, "username").withColumn("part", F.pmod(F.xxhash64("g.uuid", "g.url"), F.col("parts")))
     documents = split.groupBy("username", "part").agg(F.to_json(F.struct(F.collect_list("g").alias("games"))).alias("d"))
-    writer = documents.select("username", "d").hint("rebalance", "username").write.partitionBy("username")
-    writer.option("maxRecordsPerFile", 1).text(path)
+    landing.write_documents(documents, "d", ["username"], path)
 
 
 #: Events of a user in one document of ``evolving_bronze``, about.

@@ -265,3 +265,32 @@ def test_documents_kept_as_variants(spark, tmp_path):
         ("games[].fresh", "OBJECT<deep: BIGINT>", False, 1), ("games[].rated", "STRING", True, 1),
     }
     assert drift(rows.limit(0)).count() == 0
+
+
+def test_documents_are_written_one_a_file_in_tasks(spark, tmp_path):
+    rows = [("p 1+é%/x", "a"), ("p 1+é%/x", "a"), ("p 1+é%/x", "b\nc"), (None, "d"), ("", None)]
+    texts = spark.createDataFrame(rows, "username string, d string").repartition(3, "username")
+    path = str(tmp_path / "documents")
+    for _ in range(2):
+        landing.write_documents(texts, "d", ["username"], path)
+    read = spark.read.text(path, wholetext=True)
+    wanted = [("p 1+é%/x", "a\n")] * 4 + [("p 1+é%/x", "b\nc\n")] * 2 + [(None, "d\n")] * 2 + [(None, "\n")] * 2
+    assert sorted(map(str, [(r.username, r.value) for r in read.collect()])) == sorted(map(str, wanted))
+    assert not [p for p in (tmp_path / "documents").rglob("*") if p.is_file() and (p.name[0] in "._" or p.suffix != ".txt")]
+
+
+def test_listing_takes_few_tasks_per_core(spark):
+    from hindsight.session import configure
+
+    spark.conf.unset("spark.sql.sources.parallelPartitionDiscovery.parallelism")
+    configure(spark)
+    assert int(spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")) == 4 * spark.sparkContext.defaultParallelism
+
+
+def test_document_folders_are_named_as_spark_names_them(spark, tmp_path):
+    odd = "".join(map(chr, range(1, 128))).replace("/", "").replace(".", "") + "é\u2028"
+    texts = spark.createDataFrame([(c, "x") for c in odd] + [("a/b=c", "x")], "k string, d string")
+    landing.write_documents(texts, "d", ["k"], str(tmp_path / "ours"))
+    texts.write.partitionBy("k").text(str(tmp_path / "sparks"))
+    ours, sparks = (sorted(p.name for p in (tmp_path / n).iterdir() if p.is_dir()) for n in ("ours", "sparks"))
+    assert ours == sparks
