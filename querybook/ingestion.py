@@ -230,8 +230,7 @@ def evolving_bronze(spark, sf_dir):
         documents = split.where(F.col("later") == later).groupBy("username", "later", "part").agg(
             F.to_json(F.struct(F.collect_list(fields).alias("games"))).alias("d")
         )
-        writer = documents.select("username", "later", "d").write.mode("append").partitionBy("username", "later")
-        writer.option("maxRecordsPerFile", 1).text(path)
+        landing.write_documents(documents, "d", ["username", "later"], path)
         for _ in range(2):
             ingest_batch(spark, path, bronze)
     opened = reopened(read_bronze(spark, bronze), "games array<struct<uuid: string, fresh: struct<deep: bigint>>>")
