@@ -264,7 +264,7 @@ def landed_files(spark, sf_dir):
     """Months present after documents landed as files, from a listing of those files."""
     path = shared_dir(spark, "files")
     rows = payloads(spark, sf_dir).groupBy(F.col("account").alias("username"), "year", "month").agg(F.min("payload").alias("d"))
-    rows.write.partitionBy("username", "year", "month").text(path)
+    landing.write_documents(rows, "d", ["username", "year", "month"], path)
     return landing.landed_partitions(spark, path)
 
 
