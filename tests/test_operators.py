@@ -202,3 +202,21 @@ def test_lineage_names_each_offender(spark):
     assert report == {"u": (False, "1 repeated keys"), "r": (False, "1 keys missing, 1 keys extra"), "c": (False, "4 rows repeat a key"), "o": (False, "2 orphan rows")}
     clean = q.Lineage(source.limit(0), parents.limit(0), lineage.children.limit(0), ["k"], "at").check("u", "r", "c", "o")
     assert all(r["ok"] for r in clean.collect())
+
+
+def test_report_counts_repeated_keys_of_moves(spark):
+    from hindsight.plans.checks import layer_report
+    from hindsight.schemas import BRONZE, MOVES_CONTRACT
+    from querybook import layers
+
+    assert layers.LEAST_POPULATION == 5_769 and "0 repeated keys" in layers.book.sql["check_report"] and "pop >= 5769" in layers.book.sql["check_report"]
+    games = spark.createDataFrame([("g", "a", "chess", "won")], "game_uuid string, account string, rules string, result string").selectExpr(
+        "*", "true rated", "'rapid' time_class", "false is_friend", "false is_self_play", "current_timestamp() start_ts")
+    moves = spark.createDataFrame([("g", "a", p) for p in (1, 1, 1, 2, 2, 3)], "game_uuid string, account string, ply int")
+    moves = moves.selectExpr("*", *[f"cast(null as {t}) {c}" for c, t in MOVES_CONTRACT.items() if c not in moves.columns])
+    openings = [f"0 {c}" for c in ("ECO_A00", "ECO_B01", "ECO_C00", "ECO_D00", "ECO_Other")]
+    gold = games.selectExpr("game_uuid", "account account_id", "'p' person_id", "start_ts", "1.0D TimeSinceLast", *openings)
+    from hindsight.config import Settings
+
+    report = layer_report(spark.createDataFrame([], BRONZE), games, moves, gold, Settings(openings=("A00", "B01", "C00", "D00")))
+    assert {r["name"]: r["detail"] for r in report.collect()}["moves key uniqueness"] == "2 repeated keys"
