@@ -193,7 +193,8 @@ d AS (SELECT hit, CASE WHEN l1 = 'lost' AND l2 = 'lost' THEN 2 WHEN l1 = 'lost'
 SELECT losses_before, {RATES_SQL} FROM d GROUP BY losses_before
 """)
 def rate_after_losses(spark, sf_dir):
-    return reports.win_rate_after_losses(games(spark, sf_dir))
+    # written, as the timeline's slices read their rows twice
+    return reports.win_rate_after_losses(stage(games(spark, sf_dir), "games"))
 
 
 WIDE = ["o_orderkey", "o_custkey"]

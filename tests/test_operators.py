@@ -220,3 +220,13 @@ def test_report_counts_repeated_keys_of_moves(spark):
 
     report = layer_report(spark.createDataFrame([], BRONZE), games, moves, gold, Settings(openings=("A00", "B01", "C00", "D00")))
     assert {r["name"]: r["detail"] for r in report.collect()}["moves key uniqueness"] == "2 repeated keys"
+
+
+def test_games_are_made_once_for_rates_after_losses(spark, monkeypatch):
+    from querybook import quality
+
+    staged, made = [], spark.range(1)
+    monkeypatch.setattr(quality, "games", lambda *_: made)
+    monkeypatch.setattr(quality, "stage", lambda df, name: staged.append(df) or "written")
+    monkeypatch.setattr(quality.reports, "win_rate_after_losses", lambda games: games)
+    assert quality.rate_after_losses(spark, "") == "written" and staged == [made]
