@@ -23,6 +23,7 @@ import re
 import zlib
 from array import array
 from collections import Counter
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -75,13 +76,13 @@ def subwords(word: str, s: Settings) -> list[int]:
 
 
 def bag_rows(batches):
-    """Arrow batches of (text, toxic, weight) to (words, counts, toxic, weight)."""
+    """Arrow batches of (text, toxic, weight) to (words, counts, toxic, weight), words and counts deflated."""
     for batch in batches:
         bags = [Counter(WORD.findall((t or "").lower())) for t in batch.column(0).to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([list(b) for b in bags], pa.list_(pa.string())),
-                pa.array([list(b.values()) for b in bags], pa.list_(pa.int32())),
+                pa.array([zlib.compress(" ".join(b).encode(), 1) for b in bags], pa.binary()),
+                pa.array([zlib.compress(np.array([*b.values()], np.int32).tobytes(), 1) for b in bags], pa.binary()),
                 batch.column(1),
                 batch.column(2),
             ],
@@ -89,6 +90,17 @@ def bag_rows(batches):
         )
 
 
+def inflated(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
+    """What ``bag_rows`` made, one text after the other: sizes, numbers of words in order of first use, the words, counts."""
+    sizes, at, numbers, counts = array("q"), array("i"), {}, array("i")
+    for words, times in zip(rows.column("words"), rows.column("counts")):
+        found = zlib.decompress(words.as_py()).decode().split()
+        sizes.append(len(found))
+        at.extend([numbers.setdefault(w, len(numbers)) for w in found])
+        counts.frombytes(zlib.decompress(times.as_py()))
+    return np.frombuffer(sizes, np.int64), np.frombuffer(at, np.int32), [*numbers], np.frombuffer(counts, np.int32)
+
+
 def sample(docs: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
     """At most ``most`` labelled rows of each class with the weight that restores the class's share."""
     known = (
@@ -113,26 +125,25 @@ def sample(docs: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model:
-    schema = "words array<string>, counts array<int>, toxic int, weight double"
+    schema = "words binary, counts binary, toxic int, weight double"
     rows = sample(docs, labels, s).mapInArrow(bag_rows, schema).toArrow()
     y = rows.column("toxic").to_numpy()
     weight = rows.column("weight").to_numpy().astype(float)
     if not len(y) or y.min() == y.max():
         share = float(y.mean()) if len(y) else 0.0
         return Model(np.zeros(s.buckets, np.float32), float(np.log((share + 1e-9) / (1 - share + 1e-9))), s)
-    words = rows.column("words").combine_chunks()
-    coded = words.flatten().dictionary_encode()
-    sizes = np.diff(words.offsets.to_numpy())
-    counts = rows.column("counts").combine_chunks().flatten().to_numpy()
-    at, vocabulary = coded.indices.to_numpy(), coded.dictionary.to_pylist()
-    del rows, words, coded
-    return fit(Bags.of(sizes, at, vocabulary, counts, s), y, weight, s)
+    sizes, at, vocabulary, counts = inflated(rows)
+    del rows
+    bags = Bags.of(sizes, at, vocabulary, counts, s)
+    del vocabulary, counts
+    return fit(bags, y, weight, s)
 
 
 def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The numbers of all stretches, one stretch after the other."""
-    ends = np.cumsum(sizes)
-    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+    numbers = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+    numbers += np.arange(len(numbers))
+    return numbers
 
 
 def sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -144,9 +155,9 @@ def sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
-def added(to: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    """Rows of ``values`` added up by their numbers in ``to``."""
-    return np.stack([np.bincount(to, weights=column, minlength=n) for column in values.T], axis=1).astype(np.float32)
+def added(to: np.ndarray, columns: Iterable[np.ndarray], n: int) -> np.ndarray:
+    """Rows added up by their numbers in ``to``; their columns are made one at a time."""
+    return np.stack([np.bincount(to, weights=column, minlength=n).astype(np.float32) for column in columns], axis=1)
 
 
 @dataclass(frozen=True)
@@ -166,8 +177,12 @@ class Bags:
             own = subwords(w, s)
             grams.extend(own)
             lengths.append(len(own))
-        total = np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=times, minlength=len(sizes))
-        share = (times / np.repeat(total, sizes)).astype(np.float32)
+        ends, share = np.cumsum(sizes), np.empty(len(at), np.float32)
+        for first in range(0, len(sizes), s.batch):
+            some = sizes[first : first + s.batch]
+            own = slice(int(ends[first] - sizes[first]), int(ends[first + len(some) - 1]))
+            total = np.bincount(np.repeat(np.arange(len(some)), some), weights=times[own], minlength=len(some))
+            share[own] = times[own] / np.repeat(total, some)
         return Bags(sizes, at, share, np.array(lengths, np.int64), np.frombuffer(grams, np.int32))
 
     def some(self, texts: np.ndarray) -> Bags:
@@ -185,8 +200,8 @@ class Bags:
 
     def gradient(self, by_text: np.ndarray, buckets: int) -> np.ndarray:
         """The table's gradient from that of the texts' vectors."""
-        by_word = added(self.at, np.repeat(by_text, self.sizes, axis=0) * self.share[:, None], len(self.lengths))
-        return added(self.grams, np.repeat(by_word / self.lengths[:, None], self.lengths, axis=0), buckets)
+        by_word = added(self.at, (np.repeat(column, self.sizes) * self.share for column in by_text.T), len(self.lengths))
+        return added(self.grams, (np.repeat(column / self.lengths, self.lengths) for column in by_word.T), buckets)
 
 
 def gradients(bags: Bags, wanted: np.ndarray, weight: np.ndarray, params: list[np.ndarray], s: Settings) -> tuple[float, list[np.ndarray]]:
@@ -223,7 +238,8 @@ def fit(bags: Bags, y: np.ndarray, weight: np.ndarray, s: Settings) -> Model:
             second[k] = 0.999 * second[k] + 0.001 * g * g
             param -= (rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)).astype(param.dtype)
     seen = np.zeros(s.buckets, bool)
-    seen[bags.grams] = True
+    for first in range(0, len(bags.grams), s.buckets):  # numpy widens an index to 64 bits
+        seen[bags.grams[first : first + s.buckets]] = True
     # N-grams that training never saw say nothing.
     weights = np.where(seen, s.gain * (table @ (layer[:, 1] - layer[:, 0])), 0).astype(np.float32)
     return Model(weights, float(bias[1] - bias[0]), s)

@@ -1,8 +1,11 @@
 """Columns of the documents that are named like ours, repeated ids, odd conversations."""
 
 import random
+import tracemalloc
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hindsight.llm import mixing, order_minhash, queries, secrets, toxicity
 
@@ -91,3 +94,29 @@ def test_conversations_without_a_neighbour_stay(spark, tmp_path):
     assert got[0]["rejected"] == "" and got[0]["prompt_turns"] == 0
     spark.createDataFrame([], schema).write.parquet(str(tmp_path / "none" / "conversations.parquet"))
     assert queries.op7_preference_format(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_bags_of_a_sample_take_few_bytes_an_entry():
+    """In the driver, beyond the words' n-grams; no array of all entries is there but for their numbers and shares."""
+    rng, words = np.random.default_rng(1), [f"word{i}" for i in range(30_000)]
+    at = np.concatenate([rng.choice(len(words), 100, replace=False) for _ in range(4000)]).astype(np.int32)
+    times = rng.integers(1, 5, len(at)).astype(np.int32)
+    tracemalloc.start()
+    try:
+        bags = toxicity.Bags.of(np.full(4000, 100), at, words, times, toxicity.Settings())
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < bags.grams.nbytes * 1.3 + 10 * len(at)
+    assert np.array_equal(bags.share, (times / np.repeat(times.reshape(-1, 100).sum(1), 100)).astype(np.float32))
+
+
+def test_words_go_to_the_driver_deflated():
+    texts = [" ".join(f"word{(i * j) % 997}" for j in range(3000)) + " word1 word1" for i in range(1, 9)] + ["", None]
+    batch = pa.RecordBatch.from_pydict({"text": texts, "toxic": [0] * 10, "weight": [1.0] * 10})
+    made = pa.Table.from_batches(toxicity.bag_rows([batch]))
+    sizes, at, words, counts = toxicity.inflated(made)
+    want = [Counter(toxicity.WORD.findall(t or "")) for t in texts]
+    assert sizes.tolist() == [len(b) for b in want] and sizes[-2:].tolist() == [0, 0]
+    assert [(words[w], n) for w, n in zip(at, counts)] == [entry for b in want for entry in b.items()]
+    assert made.column("words").nbytes < sum(len(w) for b in want for w in b) / 2
