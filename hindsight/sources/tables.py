@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hindsight.operators.upsert import require_unique, upsert, upsert_groups
+from hindsight.operators.upsert import DuplicateKeys, require_unique, upsert, upsert_groups
 from hindsight.session import delete, null_safe, staged
 from hindsight.sources.commits import Commits, Contended, file_system
 
@@ -101,24 +101,30 @@ class VersionedTable:
 
 @dataclass(frozen=True)
 class PartitionedTable:
-    """Partitions of which an upsert writes only those it touches, for tables too large to write anew.
+    """Partitions in slices, of which an upsert writes only those it touches, for tables too large to write anew.
 
     Every write goes to a folder of its own, ``table_write=<n>-<id>/<partition>=<value>``,
-    and nothing is ever written over. A manifest names the folder that each
-    partition is now read from, and the table's schema; the write counts from the
-    moment the next manifest is in place. A crash before that leaves the table as
-    it was.
+    a *slice* of the partition, and nothing is ever written over. A manifest names
+    the slices that each partition is now read from, and the table's schema; the
+    write counts from the moment the next manifest is in place. A crash before
+    that leaves the table as it was.
 
-    Writers don't wait for each other. One that finds its manifest's number taken
-    looks at what came between: if that touched none of its partitions and brought
-    none of its keys, its own partitions go on top of it, else it merges anew with
-    what the table is now. So the outcome is that of some order of the writes.
+    The rows of an upsert are written once, as slices beside those there are. Of
+    the slices that hold one of its keys, and of partitions that have ``SLICES`` of
+    them, the other rows are written anew.
 
-    Beside each written partition lies a filter of its keys, a Bloom filter as
-    rows: a key marks four bits of one 64-bit word, chosen by its hash, and words
-    are as many as a quarter of the keys. An upsert joins its keys with the words
-    and opens only partitions whose words have all bits of one, about one in a
-    hundred by chance. Partitions written under other keys are opened always.
+    Writers don't wait for each other. One that finds its manifest's number taken
+    looks at what came between: if the slices that it replaces are still there and
+    the new ones have none of its keys, its own go on top of it, else it merges
+    anew with what the table is now. So the outcome is that of some order of the
+    writes.
+
+    Beside each slice lies a filter of its keys, a Bloom filter as rows: a key
+    marks four bits of one 64-bit word, chosen by its hash, and words are as many
+    as a quarter of the keys. An upsert joins its keys with the words and opens
+    only partitions whose words have all bits of one, about one in a hundred by
+    chance, so none is ruled out for more than ``FILTERED`` keys. Partitions written
+    under other keys are opened always.
 
     Folders that no manifest names go by ``vacuum``, never on their own.
     """
@@ -140,7 +146,7 @@ class PartitionedTable:
         return self.commits.read(number) if number else {"entries": {}, "schema": None, "touched": []}
 
     def manifest(self, number: int | None = None) -> dict[str, dict]:
-        """What is known of each partition, by its folder's name: the write it is in, its filter's words and keys."""
+        """What is known of each partition, by its folder's name: the write it is in, its filter's words and keys; the same of ``more`` slices."""
         return self.state(number)["entries"]
 
     def _commit(self, state: dict, number: int) -> bool:
@@ -154,8 +160,9 @@ class PartitionedTable:
         return T.StructType.fromJson(json.loads(text)) if text else None
 
     def _load(self, entries: dict[str, dict], schema: T.StructType) -> DataFrame:
-        folders = [f"{self.path}/{entry['write']}/{name}" for name, entry in sorted(entries.items())]
-        return self.spark.read.option("basePath", self.path).schema(schema).parquet(*folders).drop(WRITE)
+        folders = [f"{self.path}/{part['write']}/{name}" for name, part in _slices(entries)]
+        rows = self.spark.read.option("basePath", self.path).schema(schema).parquet(*folders)
+        return rows if WRITE in schema.names else rows.drop(WRITE)
 
     def read(self, like: DataFrame | None = None) -> DataFrame:
         """All rows; with ``like`` its column types win and its new columns are there, null."""
@@ -178,35 +185,36 @@ class PartitionedTable:
 
     def holding(self, keys_of: DataFrame, keys: list[str]) -> list[str | None]:
         """Partitions that now hold one of the keys; of those that their filters let pass, key columns are read."""
-        state = self.state()
-        return self._holding(state, state["entries"], keys_of, keys)
+        return sorted({self.value_of(name) for name, _ in self._holding(self.state()["entries"], keys_of, keys)}, key=lambda v: (v is None, v))
 
-    def _holding(self, state: dict, entries: dict[str, dict], keys_of: DataFrame, keys: list[str]) -> list[str | None]:
+    def _holding(self, entries: dict[str, dict], keys_of: DataFrame, keys: list[str]) -> set[tuple[str, str]]:
+        """Slices that hold one of the keys: their partitions' folders and writes."""
         entries = self.possibly_holding(entries, keys_of, keys)
         if not entries:
-            return []
+            return set()
         fields = [keys_of.schema[k] for k in keys if k != self.partition]
-        target = self._load(entries, T.StructType([*fields, T.StructField(self.partition, T.StringType())]))
+        places = [T.StructField(WRITE, T.StringType()), T.StructField(self.partition, T.StringType())]
+        target = self._load(entries, T.StructType([*fields, *places]))
         wanted = keys_of.select(*keys).distinct()
         held = target.join(wanted, null_safe(target, wanted, keys), "left_semi")
-        return [row[0] for row in held.select(self.partition).distinct().collect()]
+        return {(self.folder(r[0]), f"{WRITE}={r[1]}") for r in held.select(target[self.partition], target[WRITE]).distinct().collect()}
 
     def possibly_holding(self, entries: dict[str, dict], keys_of: DataFrame, keys: list[str]) -> dict[str, dict]:
-        """The entries whose filters don't rule out all of the keys."""
+        """The entries, with those slices whose filters don't rule out all of the keys."""
         kind = _kinds(keys_of, keys)
-        filtered = {n: e for n, e in entries.items() if e["keys"] == kind}
-        if not filtered:
+        filtered = [(n, e) for n, e in _slices(entries) if e["keys"] == kind]
+        if not filtered or keys_of.limit(FILTERED + 1).count() > FILTERED:
             return entries
         hashed = keys_of.select(key_hash(keys).alias("h")).distinct()
-        classes = F.array(*[F.lit(w).cast("long") for w in sorted({e["words"] for e in filtered.values()})])
+        classes = F.array(*[F.lit(w).cast("long") for w in sorted({e["words"] for _, e in filtered})])
         wanted = hashed.select(F.explode(classes).alias("words"), "h").select("words", _word("h", "words").alias("word"), _mask("h").alias("mask"))
-        known = self.spark.createDataFrame([(n, e["write"]) for n, e in filtered.items()], "part string, write string")
-        writes = sorted({e["write"] for e in filtered.values()})
+        known = self.spark.createDataFrame([(n, e["write"]) for n, e in filtered], "part string, write string")
+        writes = sorted({e["write"] for _, e in filtered})
         filters = self.spark.read.schema(FILTER).parquet(*[f"{self.path}/_keys/{w}" for w in writes])
         here = filters.join(known, ["part", "write"], "left_semi").join(wanted, ["words", "word"])
-        names = here.where(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask")).select("part").distinct()
-        hits = {row[0] for row in names.collect()}
-        return {n: e for n, e in entries.items() if n in hits or n not in filtered}
+        places = here.where(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask")).select("part", "write").distinct()
+        hits = {tuple(row) for row in places.collect()}
+        return _entries([(n, e) for n, e in _slices(entries) if (n, e["write"]) in hits or e["keys"] != kind])
 
     def _write_filters(self, write: str, names: Sequence[str], schema: T.StructType, keys: list[str]) -> dict[str, dict]:
         """Filters of the partitions just written; their manifest entries."""
@@ -252,10 +260,7 @@ class PartitionedTable:
         where others have written meanwhile what this write touches,
         ``Contended`` is raised, for the caller to make them anew.
         """
-        with staged(df) as source:
-            if check:
-                require_unique(source, keys)
-            self._replace(source, source.select(*keys), keys, held, at)
+        self._replace(df, None, keys, held, at, check=check)
 
     def replace_groups(
         self,
@@ -270,8 +275,7 @@ class PartitionedTable:
 
         ``note`` is kept with the commit, and with later ones until there is another.
         """
-        with staged(df) as source:
-            self._replace(source, groups.select(*keys).distinct(), keys, held, at, note)
+        self._replace(df, groups.select(*keys).distinct(), keys, held, at, note)
 
     def replace_all(self, df: DataFrame, keys: list[str], note: dict | None = None) -> None:
         """``df`` is the table from now on."""
@@ -299,43 +303,69 @@ class PartitionedTable:
         for folder in (f"{self.path}/{write}", f"{self.path}/_keys/{write}"):
             delete(self.spark, folder)
 
-    def _replace(self, source: DataFrame, touched: DataFrame, keys: list[str], held, at: int | None, note: dict | None = None) -> None:
-        new = {row[0] for row in source.select(self.partition).distinct().collect()}
+    def _replace(
+        self, df: DataFrame, groups: DataFrame | None, keys: list[str], held, at: int | None, note: dict | None = None, check: bool = False
+    ) -> None:
+        """``df`` instead of the rows of ``groups``, which are its own keys if there are none."""
+        # Written once, whatever others do meanwhile.
+        own, mine = self._write(df, (self.commits.newest() if at is None else at) + 1, keys)
+        schema = _wider(None, df.schema, self.partition)
+        source = self._load(mine, schema) if mine else self.spark.createDataFrame([], schema)
+        touched = source.select(*keys) if groups is None else groups
+        if check:
+            try:
+                require_unique(source, keys)
+            except DuplicateKeys:
+                self._forget(own)
+                raise
         for _ in range(ATTEMPTS if at is None else 1):
             number = self.commits.newest() if at is None else at
             state = self.state(number)
-            # Touched are the partitions of the new rows and those now holding one of
-            # the keys: a row that moves to another partition leaves no copy behind.
-            values = new | set(held if held is not None else self._holding(state, state["entries"], touched, keys))
-            names = {self.folder(v) for v in values}
-            entries = {n: e for n, e in state["entries"].items() if n in names}
-            affected = self._typed(entries, state, source)
-            kept = affected.join(touched, null_safe(affected, touched, keys), "left_anti")
-            merged = kept.unionByName(source, allowMissingColumns=True)
-            write, made = self._write(merged, number + 1, keys)
-            # Touched partitions that weren't written are empty now.
-            if self._land(number, state, names | made.keys(), made, merged.schema, touched, keys, note):
+            there = _slices(state["entries"])
+            # A row that moves to another partition leaves no copy behind.
+            if held is None:
+                gone = self._holding(state["entries"], touched, keys)
+            else:
+                names = {self.folder(v) for v in held}
+                gone = {(n, e["write"]) for n, e in there if n in names}
+            full = {n for n in mine if n in state["entries"] and len(_slices({n: state["entries"][n]})) >= SLICES}
+            gone |= {(n, e["write"]) for n, e in there if n in full}
+            again, kept = None, {}
+            if gone:
+                affected = self._typed(_entries([(n, e) for n, e in there if (n, e["write"]) in gone]), state, source)
+                again, kept = self._write(affected.join(touched, null_safe(affected, touched, keys), "left_anti"), number + 1, keys)
+            # Partitions without slices are empty now.
+            if self._land(number, state, gone, [*_slices(mine), *_slices(kept)], schema, touched, keys, note, at is not None):
                 return
             held = None
-            self._forget(write)
+            if again:
+                self._forget(again)
+        self._forget(own)
         raise Contended(f"{self.path}: others wrote what this write touches")
 
     def _land(
-        self, number: int, state: dict, gone: set[str], made: dict[str, dict], schema, touched: DataFrame, keys: list[str], note: dict | None
+        self, number: int, state: dict, gone: set[tuple[str, str]], made: list[tuple[str, dict]], schema, touched: DataFrame, keys: list[str], note: dict | None, alone: bool
     ) -> bool:
-        """Commit on top of ``state`` or of what came since, if that leaves this write right; whether it did."""
+        """Commit on top of ``state`` or of what came since, if that leaves this write right; whether it did.
+
+        With ``alone`` nothing else may have been written to its partitions.
+        """
+        places = {n for n, _ in [*gone, *made]}
         while True:
-            entries = {n: e for n, e in state["entries"].items() if n not in gone} | made
+            entries = _entries([*[(n, e) for n, e in _slices(state["entries"]) if (n, e["write"]) not in gone], *made])
             wider = _wider(state["schema"], schema, self.partition).json()
-            after = {"entries": entries, "schema": wider, "touched": sorted(gone), "note": note or state.get("note")}
+            after = {"entries": entries, "schema": wider, "touched": sorted(places), "note": note or state.get("note")}
             if self._commit(after, number + 1):
                 return True
             newest = self.commits.newest()
             if not set(range(number + 1, newest + 1)) <= set(self.manifests()):
                 return False  # vacuum took what came between
             others = set().union(*(self.state(n)["touched"] for n in range(number + 1, newest + 1)))
-            number, state = newest, self.state(newest)
-            if others & gone or self._holding(state, {n: e for n, e in state["entries"].items() if n in others}, touched, keys):
+            before, state, number = {(n, e["write"]) for n, e in _slices(state["entries"])}, self.state(newest), newest
+            now = _slices(state["entries"])
+            if (alone and others & places) or not gone <= {(n, e["write"]) for n, e in now}:
+                return False
+            if self._holding(_entries([(n, e) for n, e in now if (n, e["write"]) not in before]), touched, keys):
                 return False
 
     def vacuum(self, keep: int = 1, grace_hours: float = 24.0) -> None:
@@ -345,7 +375,7 @@ class PartitionedTable:
         once they are older than ``grace_hours``.
         """
         numbers = self.manifests()
-        folders = lambda some: {f"{e['write']}/{name}" for n in some for name, e in self.manifest(n).items()}
+        folders = lambda some: {f"{e['write']}/{name}" for n in some for name, e in _slices(self.manifest(n))}
         named, once = folders(numbers[-keep:]), folders(numbers[:-keep])
         files, location = file_system(self.spark, self.path)
         oldest = (time.time() - 3600 * grace_hours) * 1000
@@ -369,6 +399,26 @@ class PartitionedTable:
 FILTER = T.StructType().add("part", "string").add("write", "string").add("words", "long").add("word", "long").add("bits", "long")
 #: A write that others get ahead of is merged anew so often.
 ATTEMPTS = 20
+#: A partition that has so many slices is written as a whole by the next write to it.
+SLICES = 8
+#: More keys than this pass some word of any filter by chance.
+FILTERED = 5000
+
+
+def _slices(entries: dict[str, dict]) -> list[tuple[str, dict]]:
+    """Partitions' folders with one slice each."""
+    return [(n, {k: v for k, v in part.items() if k != "more"}) for n, e in sorted(entries.items()) for part in (e, *e.get("more", []))]
+
+
+def _entries(slices: Sequence[tuple[str, dict]]) -> dict[str, dict]:
+    """The same by folder: the first slice, and ``more`` of them where there are."""
+    entries: dict[str, dict] = {}
+    for name, part in slices:
+        if name in entries:
+            entries[name].setdefault("more", []).append(part)
+        else:
+            entries[name] = dict(part)
+    return entries
 
 
 def key_hash(keys: Sequence[str]) -> Column:
@@ -412,7 +462,7 @@ def publish(spark: SparkSession, name: str, table: VersionedTable | PartitionedT
         state = table.state()
         fields = [f for f in table.schema() if f.name != table.partition]
         parts = []
-        for name_, entry in sorted(state["entries"].items()):
+        for name_, entry in _slices(state["entries"]):
             # the writes' own schema says which columns a partition lacks
             have = set(entry.get("columns", [f.name for f in fields]))
             listed = ", ".join(f"`{f.name}`" if f.name in have else f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in fields)

@@ -111,9 +111,54 @@ def test_vacuum_spares_a_write_under_way(spark, tmp_path, monkeypatch):
     assert rows_of(table.read()) == [("a", "1", 10), ("b", "2", 20)]
 
 
+def slices_of(table, folder):
+    entry = table.manifest()[folder]
+    return [part["write"] for part in (entry, *entry.get("more", []))]
+
+
+def test_writers_of_other_keys_of_a_partition_write_their_rows_once(spark, tmp_path, monkeypatch):
+    table = PartitionedTable(spark, str(tmp_path / "t"), "part")
+    table.upsert(frame(spark, [("a", "1", 1), ("b", "1", 2)]), ["k"])
+    first = slices_of(table, "part=1")
+    between(monkeypatch, table, lambda: table.upsert(frame(spark, [("c", "1", 3)]), ["k"]))
+    table.upsert(frame(spark, [("d", "1", 4), ("e", None, 5)]), ["k"])
+    assert rows_of(table.read()) == [("a", "1", 1), ("b", "1", 2), ("c", "1", 3), ("d", "1", 4), ("e", None, 5)]
+    # nothing was merged: both writes lie beside the first, and no folder is left over
+    assert slices_of(table, "part=1")[:1] == first and len(slices_of(table, "part=1")) == 3
+    assert len(list((tmp_path / "t").glob("table_write=*"))) == 3
+    # of the slices, only the one that holds the key is written anew
+    table.upsert(frame(spark, [("c", "2", 30)]), ["k"])
+    assert slices_of(table, "part=1")[:1] == first and len(slices_of(table, "part=1")) == 2
+    want = [("a", "1", 1), ("b", "1", 2), ("c", "2", 30), ("d", "1", 4), ("e", None, 5)]
+    assert rows_of(table.read()) == want and rows_of(table.at(table.commits.newest(), {"part=1"})) == [w for w in want if w[1] == "1"]
+    table.vacuum(grace_hours=0)
+    tables.publish(spark, "sliced", table)
+    try:
+        assert rows_of(table.read()) == want and rows_of(spark.table("sliced")) == want
+    finally:
+        spark.sql("DROP VIEW IF EXISTS sliced")
+
+
+def test_a_partition_of_many_slices_is_merged(spark, tmp_path):
+    table = PartitionedTable(spark, str(tmp_path / "t"), "part")
+    for n in range(tables.SLICES + 2):
+        table.upsert(frame(spark, [(f"k{n}", "1", n), (f"l{n}", "2" if n < 2 else "1", n)]), ["k"])
+    assert len(slices_of(table, "part=1")) == 3 and len(slices_of(table, "part=2")) == 2
+    assert rows_of(table.read()) == sorted([(f"{c}{n}", "2" if c == "l" and n < 2 else "1", n) for n in range(tables.SLICES + 2) for c in "kl"], key=str)
+
+
 # Key filters
 
 
+def test_filters_are_not_asked_about_more_keys_than_they_can_tell(spark, tmp_path, monkeypatch):
+    table = PartitionedTable(spark, str(tmp_path / "t"), "part")
+    table.upsert(spark.range(400).selectExpr("concat('k', id) k", "cast(id % 4 as string) part", "cast(id as int) v"), ["k"])
+    entries, keys = table.manifest(), spark.range(50).selectExpr("concat('absent', id) k").unionByName(frame(spark, [("k5", "", 0)]).select("k"))
+    assert "part=1" in table.possibly_holding(entries, keys, ["k"])
+    monkeypatch.setattr(tables, "FILTERED", 50)
+    assert table.possibly_holding(entries, keys, ["k"]) == entries and table.holding(keys, ["k"]) == ["1"]
+
+
 def test_only_partitions_that_may_hold_a_key_are_opened(spark, tmp_path, monkeypatch):
     table = PartitionedTable(spark, str(tmp_path / "t"), "part")
     rows = spark.range(40_000).selectExpr("concat('k', id) k", "cast(id % 40 as string) part", "cast(id as int) v")
