@@ -326,7 +326,8 @@ class PartitionedTable:
             if held is None:
                 gone = self._holding(state["entries"], touched, keys)
             else:
-                names = {self.folder(v) for v in held}
+                # The new rows' own partitions too: a write that is replayed may have put the keys there.
+                names = {self.folder(v) for v in held} | mine.keys()
                 gone = {(n, e["write"]) for n, e in there if n in names}
             full = {n for n in mine if n in state["entries"] and len(_slices({n: state["entries"][n]})) >= SLICES}
             gone |= {(n, e["write"]) for n, e in there if n in full}

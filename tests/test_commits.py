@@ -139,6 +139,14 @@ def test_writers_of_other_keys_of_a_partition_write_their_rows_once(spark, tmp_p
         spark.sql("DROP VIEW IF EXISTS sliced")
 
 
+def test_a_replay_under_named_partitions_leaves_keys_once(spark, tmp_path):
+    table = PartitionedTable(spark, str(tmp_path / "t"), "part")
+    table.upsert(frame(spark, [("a", "1", 1), ("b", "2", 2)]), ["k"])
+    for _ in range(2):
+        table.upsert(frame(spark, [("a", "2", 10)]), ["k"], held=["1"])
+    assert rows_of(table.read()) == [("a", "2", 10), ("b", "2", 2)]
+
+
 def test_a_partition_of_many_slices_is_merged(spark, tmp_path):
     table = PartitionedTable(spark, str(tmp_path / "t"), "part")
     for n in range(tables.SLICES + 2):
