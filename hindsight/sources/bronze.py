@@ -14,17 +14,20 @@ def _decoded(path: Column) -> Column:
     return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
-def parse_documents(files: DataFrame, schema: str = SNAPSHOT) -> DataFrame:
+def parse_documents(
+    files: DataFrame, schema: str = SNAPSHOT, path: Column | None = None, modified: Column | None = None
+) -> DataFrame:
     """Whole files (``value``) as bronze rows: the fields of ``schema``, the document as it came, and where from.
 
     Fields that ``schema`` doesn't name are in ``_variant``; ``reopened`` reads
     them later. What is no JSON, or names a field twice, is kept as text in ``_raw``.
+    Files that no reader of Spark has opened need ``path`` and ``modified``.
     """
     opened = files.withColumn("_doc", F.from_json("value", schema))
     return opened.select(
         "_doc.*",
-        _decoded(F.col("_metadata.file_path")).alias("_source_file"),
-        F.col("_metadata.file_modification_time").alias("_file_modified_at"),
+        (_decoded(F.col("_metadata.file_path")) if path is None else path).alias("_source_file"),
+        (F.col("_metadata.file_modification_time") if modified is None else modified).alias("_file_modified_at"),
         F.current_timestamp().alias("_ingested_at"),
         *as_variant("value"),
     )

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hindsight.functions.text import empty_to_null, path_value, year_month
+from hindsight.sources.commits import file_system
 
 MONTH_KEY = ["account", "year", "month"]
 PAYLOAD = "games array<struct<uuid: string>>"
@@ -139,6 +140,78 @@ def write_documents(rows: DataFrame, document: str, folders: Sequence[str], path
     wanted.mapInArrow(write, "files bigint").write.format("noop").mode("overwrite").save()
 
 
+#: Of a file that ``documents_below`` finds: milliseconds and bytes.
+FOUND = "path binary, modified bigint, size bigint, folder boolean"
+
+
+def documents_below(spark: SparkSession, path: str, work: str) -> DataFrame:
+    """(path, modified, size) of each file below ``path``, a folder, file or pattern on a file system.
+
+    As for Spark's readers, hidden and empty ones are none. Tasks list the folders,
+    a level at a time, and write what they find below ``work``: the driver holds
+    no name but those that ``path`` stands for.
+    """
+    files, location = file_system(spark, path)
+    if (given := files.globStatus(location)) is None:
+        spark.read.text(path)  # there is no such folder: raises what Spark raises then
+    roots = [(s.getPath().toUri().getPath().encode(), s.getModificationTime(), s.getLen(), s.isDirectory()) for s in given]
+    wide = 4 * spark.sparkContext.defaultParallelism
+
+    def batch(found: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict(dict(zip(("path", "modified", "size", "folder"), map(list, zip(*found)))))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = []
+        for given in batches:
+            for folder in given.column(0).to_pylist():
+                with os.scandir(folder) as entries:
+                    for entry in entries:
+                        name, inside = entry.name, entry.is_dir()
+                        shown = b"=" in name or inside and name.startswith((b"_metadata", b"_common_metadata"))
+                        if name.startswith(b".") or name.endswith(b"._COPYING_") or name.startswith(b"_") and not shown:
+                            continue
+                        try:
+                            told = None if inside else entry.stat()
+                        except FileNotFoundError:  # gone since, or a link to nothing
+                            continue
+                        found.append((entry.path, told and told.st_mtime_ns // 1_000_000, told and told.st_size, inside))
+                        if len(found) == 10_000:
+                            yield batch(found)
+                            found = []
+        if found:
+            yield batch(found)
+
+    levels = [f"{work}/0"]
+    spark.createDataFrame(roots, FOUND).coalesce(1).write.parquet(levels[0])
+    while count := (folders := spark.read.schema(FOUND).parquet(levels[-1]).where("folder").select("path")).count():
+        levels.append(f"{work}/{len(levels)}")
+        folders.repartition(min(wide, -(-count // 50))).mapInArrow(scan, FOUND).write.parquet(levels[-1])
+    return spark.read.schema(FOUND).parquet(*levels).where("not folder and size > 0").drop("folder")
+
+
+def read_documents(files: DataFrame) -> DataFrame:
+    """(value, path, modified) of ``files(path, modified, …)``, each read whole by the task that has its row."""
+
+    def batch(held: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict(dict(zip(("value", "path", "modified"), map(list, zip(*held)))))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for given in batches:
+            for path, modified in zip(*(column.to_pylist() for column in given.columns)):
+                with open(path, "rb") as file:
+                    held.append((file.read(), path, modified))
+                size += len(held[-1][0])
+                if size > 1 << 22 or len(held) == 1000:
+                    yield batch(held)
+                    held, size = [], 0
+        if held:
+            yield batch(held)
+
+    texts = files.select("path", "modified").mapInArrow(read, "value binary, path binary, modified bigint")
+    return texts.withColumn("value", F.col("value").cast("string"))
+
+
 def landed_rows(spark: SparkSession, path: str) -> DataFrame:
     """Distinct (account, year, month) among payloads landed as rows; reads no payload."""
     keys = "username string, year string, month string"
