@@ -184,9 +184,10 @@ def stream_ingest(spark, sf_dir):
 
 def _documents(spark, sf_dir, path):
     """JSON documents below username=/, one per account and thousand games or so."""
+    # For ``explode`` Spark looks at each array's size first, which builds all games of a row twice.
     rows = snapshots(spark, sf_dir).select(
-        path_value("_source_file", "username").alias("username"), F.explode("games").alias("g")
-    )
+        path_value("_source_file", "username").alias("username"), F.posexplode_outer("games").alias("at", "g")
+    ).where("at is not null").drop("at")
     sizes = rows.groupBy("username").agg(F.ceil(F.count("*") / 1000).alias("parts"))
     split = rows.join(sizes, "username").withColumn("part", F.pmod(F.xxhash64("g.uuid", "g.url"), F.col("parts")))
     documents = split.groupBy("username", "part").agg(F.to_json(F.struct(F.collect_list("g").alias("games"))).alias("d"))

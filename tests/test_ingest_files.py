@@ -127,3 +127,27 @@ def test_a_bronze_goes_on_as_it_was_begun(spark, tmp_path):
     with pytest.raises(ValueError, match="begun by ingest_batch"):
         ingest_stream(document_stream(spark, str(root)), other, str(tmp_path / "seen"))
     assert uuids(spark, other) == ["a", "b"]
+
+
+def test_games_of_a_document_are_built_once_a_pass(spark, tmp_path, monkeypatch):
+    from querybook import ingestion
+
+    columns = "event_id long, ts timestamp, user_id long, event_type string, value double"
+    made = spark.range(60).selectExpr("id", "timestamp_seconds(1700000000 + id)", "id % 3", "'view'", "1.5D").toDF(*[c.split()[0] for c in columns.split(", ")])
+    made.write.parquet(str(tmp_path / "events.parquet"))
+    frames = []
+    monkeypatch.setattr(ingestion.landing, "write_documents", lambda rows, *_: frames.append(rows))
+    ingestion._documents(spark, str(tmp_path), "unused")
+    games = sorted(json.dumps(g) for r in frames[0].collect() for g in json.loads(r["d"])["games"])
+    wanted = ingestion.snapshots(spark, str(tmp_path)).selectExpr("to_json(struct(games)) d")
+    assert games == sorted(json.dumps(g) for r in wanted.collect() for g in json.loads(r["d"])["games"])
+    assert "(size(" not in frames[0]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_variants_are_written_whole(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    root, bronze = tmp_path / "raw", str(tmp_path / "bronze")
+    write(root, "a.json", "a")
+    assert ingest_batch(spark, str(root), bronze) == 1
+    assert "typed_value" not in str(pq.read_schema(next((tmp_path / "bronze").glob("part-*"))))
